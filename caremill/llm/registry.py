@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from caremill.llm import exact_dedup
+from caremill.llm import chat_format, decontamination, exact_dedup, license_scan
 
-MODULES = [exact_dedup]
+MODULES = [decontamination, license_scan, exact_dedup, chat_format]
 
 
 def queries() -> dict:
