@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -107,3 +108,21 @@ def batches(parts: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.Rec
             held, size = [], 0
     if held and sum(b.num_rows for b in held):
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def mounted(path: str) -> str:
+    """The local path of a shared folder's file. Memory-mapping needs a shared folder that is mounted on all machines."""
+    scheme, found, rest = path.partition(":")
+    if found and scheme != "file":
+        raise ValueError(f"{path}: memory-mapped files need spark.checkpoint.dir on a mounted file system (file:)")
+    return "/" + (rest if found else path).lstrip("/")
+
+
+def put_file(path: str, data: bytes) -> None:
+    """Write a file below a mounted shared folder, whole or not at all; repeated tries write the same."""
+    name = mounted(path)
+    os.makedirs(os.path.dirname(name), exist_ok=True)
+    part = f"{name}.{uuid.uuid4().hex}"
+    with open(part, "wb") as f:
+        f.write(data)
+    os.replace(part, name)
