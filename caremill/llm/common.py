@@ -8,7 +8,9 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,3 +128,47 @@ def put_file(path: str, data: bytes) -> None:
     with open(part, "wb") as f:
         f.write(data)
     os.replace(part, name)
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """The documents with a _row that tells them apart in every plan: doc_id where it is an integer, never null and
+    never repeated (checked over all rows), else a number that is written down with the row."""
+    if docs.schema["doc_id"].dataType.simpleString() in ("bigint", "int"):
+        per_id = docs.groupBy("doc_id").count().filter("doc_id is null or count > 1")
+        if per_id.isEmpty():
+            return docs.withColumn("_row", F.col("doc_id").cast("long"))
+    return settled(numbered(docs))
+
+
+class WordHashes(dict):
+    """64-bit hash of each word met; forgets when it holds too many."""
+
+    MOST = 300_000
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.MOST:
+            self.clear()
+        self[word] = found = xxhash.xxh64_intdigest(word)
+        return found
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of pairs of hashes, in order."""
+    x = (a ^ (a >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + b * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def groups_of(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive items with at most that size together, or of one item."""
+    start = total = 0
+    for i, n in enumerate(sizes):
+        if i > start and total + n > most:
+            yield start, i
+            start, total = i, 0
+        total += n
+    if start < len(sizes):
+        yield start, len(sizes)

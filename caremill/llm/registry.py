@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from caremill.llm import bpe, chat_format, decontamination, exact_dedup, license_scan
+from caremill.llm import bpe, chat_format, decontamination, exact_dedup, license_scan, substring_dedup
 
-MODULES = [decontamination, license_scan, exact_dedup, bpe, chat_format]
+MODULES = [decontamination, license_scan, exact_dedup, bpe, substring_dedup, chat_format]
 
 
 def queries() -> dict:
