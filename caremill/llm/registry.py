@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from caremill.llm import bpe, chat_format, decontamination, exact_dedup, html_extract, license_scan, near_dedup, substring_dedup
+from caremill.llm import bpe, chat_format, decontamination, exact_dedup, html_extract, language_id, license_scan, near_dedup, substring_dedup
 
-MODULES = [decontamination, license_scan, exact_dedup, bpe, substring_dedup, html_extract, near_dedup, chat_format]
+MODULES = [decontamination, language_id, license_scan, exact_dedup, bpe, substring_dedup, html_extract, near_dedup, chat_format]
 
 
 def queries() -> dict:
