@@ -151,9 +151,9 @@ def drop_contaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW, p
     """The documents that aren't contaminated, all columns as they are."""
     parts = _parts(bench, part_bytes)
     if len(parts) > 1:
-        rows = settled(numbered(docs, "_doc"))
-        bad = contamination(rows, bench, window, part_bytes, ("_doc",)).filter("contaminated").select("_doc")
-        return rows.join(bad, "_doc", "left_anti").drop("_doc")
+        rows = settled(numbered(docs.select(F.struct("*").alias("_doc"), "text"), "_nth"))
+        bad = contamination(rows, bench, window, part_bytes, ("_nth",)).filter("contaminated").select("_nth")
+        return rows.join(bad, "_nth", "left_anti").select("_doc.*")
     shared = _loaded(parts[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

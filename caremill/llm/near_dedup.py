@@ -241,9 +241,9 @@ def _judged(classes: DataFrame) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The documents that stay, with all columns."""
-    rows = keyed(docs)
+    rows = keyed(docs.select(F.struct("*").alias("_doc"), "doc_id", "text"))
     gone = settled(_judged(near_classes(rows.select("_row", "doc_id", "text"), similarity)).filter("not kept").select("_row"))
-    return rows.join(if_small(gone), "_row", "left_anti").drop("_row")
+    return rows.join(if_small(gone), "_row", "left_anti").select("_doc.*")
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
