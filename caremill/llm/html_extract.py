@@ -25,8 +25,8 @@ from caremill.llm.common import map_arrow, table
 
 #: Bound of the labelled sample.
 LABELLED, LABELLED_BYTES = 1000, 65536
-#: Least and largest weight of a tag and of a word, and times that one must be seen to have a weight of its own.
-LEAST, LARGEST, SEEN = 0.1, 8.0, 20
+#: Least weight, largest of a word and of a tag, and times that one must be seen to have a weight of its own.
+LEAST, LARGEST, LARGEST_TAG, SEEN = 0.1, 8.0, 2.0, 20
 
 # Elements of HTML and what they are here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -124,7 +124,7 @@ def weights_of(pages: list[str]) -> dict[str, float]:
     a, b = sum(within.values()) + 1, sum(without.values()) + 1
     odds = lambda k: math.log((within[k] + 0.5) / a) - math.log((without[k] + 0.5) / b) if within[k] + without[k] >= SEEN else 0.0
     held = lambda x: max(LEAST, min(LARGEST, x))
-    found = {k: -held(-odds(k)) for k in {*within, *without} if k.startswith("tag ")}
+    found = {k: -min(LARGEST_TAG, held(-odds(k))) for k in {*within, *without} if k.startswith("tag ")}
     found |= {"word plain": held(odds("word plain")), "word link": held(odds("word link")) if odds("word link") >= 0 else -held(-odds("word link")), "word outside": -held(-odds("word outside")), "word beyond": -LARGEST, "word blank": 0.0}
     return found | {"tag": -0.5}
 
