@@ -23,14 +23,16 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caremill.llm.common import map_arrow, mounted, put_file, sha256, shared_dir, table
+from caremill.llm.common import groups_of, map_arrow, mounted, put_file, sha256, shared_dir, table
 
 #: Words in the lexicon: the most frequent ones.
-WORDS = 100_000
+WORDS = 250_000
 #: Longest word, in bytes, that the lexicon takes.
 WORD_BYTES = 64
 #: Words that a worker remembers between batches.
 REMEMBERED = 200_000
+#: Characters of text whose words are looked up together.
+CHUNK_CHARS = 4 << 20
 #: Distinct words that are counted together before they are handed on.
 COUNTED = 300_000
 
@@ -64,7 +66,9 @@ class Merges:
         letters = byte_letters()
         self.inner = [vocab[c] for c in letters]
         self.last = [vocab[c + WORD_END] for c in letters]
-        self.ranks = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(map(self._pair, spec["model"]["merges"]))}
+        pairs = [self._pair(x) for x in spec["model"]["merges"]]
+        self.ranks = {(vocab[a], vocab[b]): rank for rank, (a, b) in enumerate(pairs)}
+        self.made = [vocab[a + b] for a, b in pairs]
 
     @staticmethod
     def _pair(merge) -> tuple[str, str]:
@@ -76,16 +80,16 @@ class Merges:
         return self._short(ids) if len(ids) <= 48 else self._long(ids)
 
     def _short(self, ids: list[int]) -> list[int]:
-        ranks = self.ranks
-        while len(ids) > 1:
-            best, at = None, -1
-            for i in range(len(ids) - 1):
-                found = ranks.get((ids[i], ids[i + 1]))
-                if found and (best is None or found < best):
-                    best, at = found, i
-            if best is None:
-                break
-            ids[at : at + 2] = [best[1]]
+        rank, none = self.ranks.get, len(self.made)
+        ranks = [rank(pair, none) for pair in zip(ids, ids[1:], strict=False)]
+        while ranks and (best := min(ranks)) < none:
+            at = ranks.index(best)
+            ids[at : at + 2] = [self.made[best]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank((ids[at - 1], ids[at]), none)
+            if at < len(ranks):
+                ranks[at] = rank((ids[at], ids[at + 1]), none)
         return ids
 
     def _long(self, ids: list[int]) -> list[int]:
@@ -97,8 +101,8 @@ class Merges:
 
         def offer(i: int) -> None:
             j = after[i] if i >= 0 else -1
-            if j >= 0 and (found := self.ranks.get((ids[i], ids[j]))):
-                heapq.heappush(heap, (found[0], i, ids[i], ids[j], found[1]))
+            if j >= 0 and (found := self.ranks.get((ids[i], ids[j]))) is not None:
+                heapq.heappush(heap, (found, i, ids[i], ids[j], self.made[found]))
 
         for i in range(n - 1):
             offer(i)
@@ -219,7 +223,7 @@ class Lexicon:
 
     @classmethod
     def mapped(cls, folder: str) -> Lexicon:
-        return cls({name: np.load(f"{mounted(folder)}/{name}.npy", mmap_mode="r") for name in cls.ARRAYS})
+        return cls({name: np.load(f"{mounted(folder)}/{name}.npy", mmap_mode="r").view(np.ndarray) for name in cls.ARRAYS})
 
 
 class Codec:
@@ -234,7 +238,7 @@ class Codec:
         """Ids of words: from the transducer, else by merging."""
         if len(self.seen) > REMEMBERED:
             self.seen.clear()
-        new = [w for w in words if w not in self.seen]
+        new = [w for w in words if w not in self.seen]  # all of them, if it has just been emptied
         if not new:
             return
         raw = [w.encode() for w in new]
@@ -243,17 +247,23 @@ class Codec:
         for word, data, i in zip(new, raw, places.tolist(), strict=True):
             self.seen[word] = ids[starts[i] : starts[i + 1]].tolist() if i >= 0 else self.merges.merge(data)
 
+    def encode_all(self, texts: list[str | None]) -> Iterator[list[int]]:
+        """Ids of each text; the words of all of them are looked up together."""
+        for a, b in groups_of([len(t or "") for t in texts], CHUNK_CHARS):
+            cut = [list(self.words.parts(t or "")) for t in texts[a:b]]
+            self.learn({w for parts in cut for _, words in parts for w in words})
+            seen = self.seen
+            for parts in cut:
+                out: list[int] = []
+                for special, words in parts:
+                    if special is not None:
+                        out.append(special)
+                    for w in words:
+                        out += seen[w]
+                yield out
+
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        for special, words in self.words.parts(text):
-            if special is not None:
-                out.append(special)
-            else:
-                self.learn(set(words))
-                seen = self.seen
-                for w in words:
-                    out += seen[w]
-        return out
+        return next(self.encode_all([text]))
 
     def decode(self, ids: list[int]) -> str:
         """The file names no decoder: tokens are joined by spaces; ids that it lacks say nothing."""
@@ -296,7 +306,7 @@ def encode(docs: DataFrame, path: str, folder: str) -> DataFrame:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(path, folder)
         for batch in parts:
-            ids = [codec.encode(t or "") for t in batch.column("text").to_pylist()]
+            ids = list(codec.encode_all(batch.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, ids array<int>")
@@ -324,8 +334,7 @@ def coded(docs: DataFrame, path: str, folder: str) -> DataFrame:
         digits = {i: str(i) for i in codec.merges.tokens}
         for batch in parts:
             n, of_ids, of_text = [], [], []
-            for text in batch.column("text").to_pylist():
-                ids = codec.encode(text or "")
+            for ids in codec.encode_all(batch.column("text").to_pylist()):
                 n.append(len(ids))
                 of_ids.append(sha256(" ".join([digits[i] for i in ids]).encode()))
                 of_text.append(sha256(codec.decode(ids).encode()))
