@@ -11,7 +11,7 @@ from caremill import schemas
 from caremill.functions.values import SOURCE_VOCABULARIES
 from caremill.operators.vocabulary import EXTENSION, NO_SOURCE, NO_VOCABULARY, UCUM, attach_vocabulary, is_invalid, unique_concepts, vocabulary_map
 
-KEYS = ["tnx_table", "code_system", "code"]
+KEYS = ["source_table", "code_system", "code"]
 #: The domain that each source table is expected to fill, and the lengths of the reports.
 EXPECTED = {"diagnosis": "Condition", "procedure": "Procedure", "medication_ingredient": "Drug", "lab_result": "Measurement", "vitals_signs": "Measurement"}
 TOP_MULTI, TOP_UNMAPPED, TOP_UNITS, TOP_TEXTS = 15, 20, 30, 30
@@ -36,31 +36,31 @@ def _literal_map(value: Column, mapping: dict[str, str]) -> Column:
 def record_coverage(df: DataFrame, table: str, codes: DataFrame) -> DataFrame:
     """Output rows per code and outcome: the target table, or the reason why there is none."""
     counts = df.select(F.col("code_system").cast("string"), F.col("code").cast("string")).groupBy("code_system", "code").agg(F.count("*").alias("rows"))
-    mine = codes.filter(F.col("tnx_table") == table).select("code_system", "code", "concept_id", "domain_id", "exclusion_reason")
+    mine = codes.filter(F.col("source_table") == table).select("code_system", "code", "concept_id", "domain_id", "exclusion_reason")
     outcome = F.when(F.col("concept_id").isNotNull(), _literal_map(F.col("domain_id"), schemas.DOMAIN_TABLE)).otherwise(F.coalesce("exclusion_reason", F.lit(NO_SOURCE)))
-    return counts.join(mine, ["code_system", "code"], "left").groupBy("code_system", "code", outcome.alias("outcome")).agg(F.sum("rows").alias("rows")).select(F.lit(table).alias("tnx_table"), "code_system", "code", "outcome", "rows")
+    return counts.join(mine, ["code_system", "code"], "left").groupBy("code_system", "code", outcome.alias("outcome")).agg(F.sum("rows").alias("rows")).select(F.lit(table).alias("source_table"), "code_system", "code", "outcome", "rows")
 
 
 def coverage(parts: DataFrame) -> DataFrame:
     """Rows and codes per table, code system and outcome, and their shares of the table. ``parts``: see record_coverage()."""
-    codes = parts.filter("code is not null").select(*KEYS).distinct().groupBy("tnx_table").agg(F.count("*").alias("_codes"))
-    each = parts.groupBy("tnx_table", "code_system", "outcome").agg(F.sum("rows").alias("rows"), F.countDistinct("code").alias("codes")).join(codes, "tnx_table", "left")
-    total = F.sum("rows").over(Window.partitionBy("tnx_table"))
-    return each.select("tnx_table", "code_system", "outcome", "rows", percent(F.col("rows"), total, 2).alias("rows_pct"), "codes", F.coalesce(percent(F.col("codes"), F.col("_codes"), 2), F.lit(0.0)).alias("codes_pct"))
+    codes = parts.filter("code is not null").select(*KEYS).distinct().groupBy("source_table").agg(F.count("*").alias("_codes"))
+    each = parts.groupBy("source_table", "code_system", "outcome").agg(F.sum("rows").alias("rows"), F.countDistinct("code").alias("codes")).join(codes, "source_table", "left")
+    total = F.sum("rows").over(Window.partitionBy("source_table"))
+    return each.select("source_table", "code_system", "outcome", "rows", percent(F.col("rows"), total, 2).alias("rows_pct"), "codes", F.coalesce(percent(F.col("codes"), F.col("_codes"), 2), F.lit(0.0)).alias("codes_pct"))
 
 
 def coverage_by_outcome(table: DataFrame) -> DataFrame:
-    return table.groupBy("tnx_table", "outcome").agg(F.sum("rows").alias("rows")).orderBy("tnx_table", F.desc("rows"), "outcome")
+    return table.groupBy("source_table", "outcome").agg(F.sum("rows").alias("rows")).orderBy("source_table", F.desc("rows"), "outcome")
 
 
 def excluded_by_table(table: DataFrame) -> DataFrame:
     """Rows of each source table that reach no target table."""
-    return table.filter(~F.col("outcome").isin(*schemas.DOMAIN_TABLE.values())).groupBy("tnx_table").agg(F.sum("rows").alias("rows"))
+    return table.filter(~F.col("outcome").isin(*schemas.DOMAIN_TABLE.values())).groupBy("source_table").agg(F.sum("rows").alias("rows"))
 
 
 def _counted(tables: dict[str, DataFrame], columns: list[str], names: list[str] | None = None) -> DataFrame:
-    parts = [t.groupBy(F.lit(n).alias("tnx_table"), *(F.col(c).cast("string").alias(c) for c in columns)).agg(F.count("*").alias("rows")) for n, t in tables.items() if (names is None or n in names) and all(c in t.columns for c in columns)]
-    return reduce(DataFrame.unionByName, parts).groupBy("tnx_table", *columns).agg(F.sum("rows").alias("rows"))
+    parts = [t.groupBy(F.lit(n).alias("source_table"), *(F.col(c).cast("string").alias(c) for c in columns)).agg(F.count("*").alias("rows")) for n, t in tables.items() if (names is None or n in names) and all(c in t.columns for c in columns)]
+    return reduce(DataFrame.unionByName, parts).groupBy("source_table", *columns).agg(F.sum("rows").alias("rows"))
 
 
 def source_code_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -77,12 +77,12 @@ def source_text_counts(labs: DataFrame) -> DataFrame:
 
 def with_known(counts: DataFrame, mapping: dict = SOURCE_VOCABULARIES) -> DataFrame:
     """Counts with vocabulary_id and whether the pair of table and code system is configured."""
-    pairs = vocabulary_map(counts, mapping).select("tnx_table", "code_system", F.lit(True).alias("_known"))
-    return attach_vocabulary(counts, mapping).join(F.broadcast(pairs), ["tnx_table", "code_system"], "left").withColumn("known", F.coalesce("_known", F.lit(False))).drop("_known")
+    pairs = vocabulary_map(counts, mapping).select("source_table", "code_system", F.lit(True).alias("_known"))
+    return attach_vocabulary(counts, mapping).join(F.broadcast(pairs), ["source_table", "code_system"], "left").withColumn("known", F.coalesce("_known", F.lit(False))).drop("_known")
 
 
 def code_system_pairs(counts: DataFrame, mapping: dict = SOURCE_VOCABULARIES) -> DataFrame:
-    return with_known(counts, mapping).groupBy("tnx_table", "code_system", "vocabulary_id", "known").agg(F.sum("rows").alias("rows"), F.count("*").alias("distinct_codes"))
+    return with_known(counts, mapping).groupBy("source_table", "code_system", "vocabulary_id", "known").agg(F.sum("rows").alias("rows"), F.count("*").alias("distinct_codes"))
 
 
 def vocabulary_availability(vocabularies: DataFrame, concepts: DataFrame, mapping: dict = SOURCE_VOCABULARIES) -> DataFrame:
@@ -94,13 +94,13 @@ def vocabulary_availability(vocabularies: DataFrame, concepts: DataFrame, mappin
     return joined.select("vocabulary_id", F.coalesce("_there", F.lit(False)).alias("available"), F.coalesce("_c", F.lit(0)).alias("concepts"), F.coalesce("_e", F.lit(0)).alias("empty_names"))
 
 
-def expected_domain(table: str = "tnx_table") -> Column:
+def expected_domain(table: str = "source_table") -> Column:
     return _literal_map(F.col(table), EXPECTED)
 
 
 def code_summary(codes: DataFrame) -> DataFrame:
     """Per code: source concept, usable targets, whether a target lies outside the expected domain, the smallest reason."""
-    return codes.filter(F.col("tnx_table").isin(*EXPECTED)).groupBy(*KEYS).agg(F.max("source_concept_id").alias("source_concept_id"), _count(F.col("exclusion_reason").isNull()).alias("n_targets"), F.coalesce(F.bool_or(F.col("domain_id") != expected_domain()), F.lit(False)).alias("off_domain"), F.min("exclusion_reason").alias("exclusion_reason"))
+    return codes.filter(F.col("source_table").isin(*EXPECTED)).groupBy(*KEYS).agg(F.max("source_concept_id").alias("source_concept_id"), _count(F.col("exclusion_reason").isNull()).alias("n_targets"), F.coalesce(F.bool_or(F.col("domain_id") != expected_domain()), F.lit(False)).alias("off_domain"), F.min("exclusion_reason").alias("exclusion_reason"))
 
 
 def source_concepts(concepts: DataFrame, source_ids: DataFrame) -> DataFrame:
@@ -130,7 +130,7 @@ def self_mapping(found: DataFrame, maps_to: DataFrame) -> DataFrame:
 
 def _summary(mapped: DataFrame) -> DataFrame:
     multi, std = F.col("n_targets") > 1, F.col("n_targets") > 0
-    return mapped.groupBy("tnx_table", "code_system").agg(
+    return mapped.groupBy("source_table", "code_system").agg(
         F.count("*").alias("codes"), _count(F.col("has_source")).alias("codes_src"), _count(F.col("source_invalid")).alias("codes_src_invalid"), _count(std).alias("codes_std"), _count(multi).alias("codes_multi"), _count(F.col("off_domain")).alias("codes_off_domain"),
         F.sum("rows").alias("rows"), _rows(F.col("has_source")).alias("rows_src"), _rows(F.col("source_invalid")).alias("rows_src_invalid"), _rows(std).alias("rows_std"), _rows(multi).alias("rows_multi"), F.sum(F.col("rows") * F.greatest(F.col("n_targets") - 1, F.lit(0))).alias("extra_rows"), _rows(F.col("off_domain")).alias("rows_off_domain"),
     )
@@ -138,23 +138,23 @@ def _summary(mapped: DataFrame) -> DataFrame:
 
 def coverage_by_code(mapped: DataFrame) -> DataFrame:
     s = _summary(mapped)
-    return s.select("tnx_table", "code_system", "codes", "codes_src", percent(F.col("codes_src"), F.col("codes")).alias("src_pct"), "codes_src_invalid", "codes_std", percent(F.col("codes_std"), F.col("codes")).alias("std_pct"), "codes_multi", "codes_off_domain")
+    return s.select("source_table", "code_system", "codes", "codes_src", percent(F.col("codes_src"), F.col("codes")).alias("src_pct"), "codes_src_invalid", "codes_std", percent(F.col("codes_std"), F.col("codes")).alias("std_pct"), "codes_multi", "codes_off_domain")
 
 
 def coverage_by_row(mapped: DataFrame) -> DataFrame:
     s = _summary(mapped)
-    return s.select("tnx_table", "code_system", "rows", "rows_src", percent(F.col("rows_src"), F.col("rows")).alias("src_pct"), "rows_src_invalid", "rows_std", percent(F.col("rows_std"), F.col("rows")).alias("std_pct"), "rows_multi", "extra_rows", "rows_off_domain", percent(F.col("rows_off_domain"), F.col("rows")).alias("off_domain_pct"))
+    return s.select("source_table", "code_system", "rows", "rows_src", percent(F.col("rows_src"), F.col("rows")).alias("src_pct"), "rows_src_invalid", "rows_std", percent(F.col("rows_std"), F.col("rows")).alias("std_pct"), "rows_multi", "extra_rows", "rows_off_domain", percent(F.col("rows_off_domain"), F.col("rows")).alias("off_domain_pct"))
 
 
 def coverage_totals(mapped: DataFrame) -> DataFrame:
-    t = _summary(mapped).groupBy("tnx_table").agg(*(F.sum(c).alias(c) for c in ("rows", "rows_std", "rows_off_domain", "extra_rows")))
+    t = _summary(mapped).groupBy("source_table").agg(*(F.sum(c).alias(c) for c in ("rows", "rows_std", "rows_off_domain", "extra_rows")))
     return t.withColumn("std_pct", percent(F.col("rows_std"), F.col("rows")))
 
 
 def target_domains(codes: DataFrame, counts: DataFrame) -> DataFrame:
     """Codes and source rows per table, code system, expected and actual domain; a code counts once for each target."""
-    joined = codes.filter("domain_id is not null").filter(F.col("tnx_table").isin(*EXPECTED)).join(counts, KEYS)
-    return joined.groupBy("tnx_table", "code_system", expected_domain().alias("expected_domain"), "domain_id").agg(F.countDistinct("code").alias("codes"), F.sum("rows").alias("rows"))
+    joined = codes.filter("domain_id is not null").filter(F.col("source_table").isin(*EXPECTED)).join(counts, KEYS)
+    return joined.groupBy("source_table", "code_system", expected_domain().alias("expected_domain"), "domain_id").agg(F.countDistinct("code").alias("codes"), F.sum("rows").alias("rows"))
 
 
 def top_multi_target(mapped: DataFrame, most: int = TOP_MULTI) -> DataFrame:
@@ -168,12 +168,12 @@ def _unmapped(mapped: DataFrame, vocabularies: DataFrame) -> DataFrame:
 
 
 def unmapped_by_reason(mapped: DataFrame, vocabularies: DataFrame) -> DataFrame:
-    return _unmapped(mapped, vocabularies).groupBy("tnx_table", "reason").agg(F.count("*").alias("codes"), F.sum("rows").alias("rows"))
+    return _unmapped(mapped, vocabularies).groupBy("source_table", "reason").agg(F.count("*").alias("codes"), F.sum("rows").alias("rows"))
 
 
 def top_unmapped(mapped: DataFrame, vocabularies: DataFrame, most: int = TOP_UNMAPPED) -> DataFrame:
-    w = Window.partitionBy("tnx_table").orderBy(F.desc("rows"), F.col("code_system").asc_nulls_last(), F.col("code").asc_nulls_last())
-    return _unmapped(mapped, vocabularies).withColumn("nth", F.row_number().over(w)).filter(F.col("nth") <= most).select("tnx_table", "nth", "code_system", "code", "rows", "reason", "source_concept_id", "source_concept_name")
+    w = Window.partitionBy("source_table").orderBy(F.desc("rows"), F.col("code_system").asc_nulls_last(), F.col("code").asc_nulls_last())
+    return _unmapped(mapped, vocabularies).withColumn("nth", F.row_number().over(w)).filter(F.col("nth") <= most).select("source_table", "nth", "code_system", "code", "rows", "reason", "source_concept_id", "source_concept_name")
 
 
 def marked_units(counts: DataFrame, units: DataFrame) -> DataFrame:
@@ -183,7 +183,7 @@ def marked_units(counts: DataFrame, units: DataFrame) -> DataFrame:
 
 
 def unit_summary(units: DataFrame) -> DataFrame:
-    s = units.groupBy("tnx_table").agg(F.count("*").alias("distinct_units"), _count(F.col("empty")).alias("distinct_empty"), _count(F.col("ucum")).alias("distinct_ucum"), F.sum("rows").alias("rows"), _rows(F.col("empty")).alias("rows_empty"), _rows(F.col("ucum")).alias("rows_ucum"))
+    s = units.groupBy("source_table").agg(F.count("*").alias("distinct_units"), _count(F.col("empty")).alias("distinct_empty"), _count(F.col("ucum")).alias("distinct_ucum"), F.sum("rows").alias("rows"), _rows(F.col("empty")).alias("rows_empty"), _rows(F.col("ucum")).alias("rows_ucum"))
     return s.withColumn("ucum_pct", percent(F.col("rows_ucum"), F.col("rows")))
 
 

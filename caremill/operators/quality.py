@@ -121,18 +121,18 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def excluded_counts(excluded: DataFrame) -> DataFrame:
-    return excluded.groupBy("tnx_table", "exclusion_reason").agg(F.count("*").alias("rows")).orderBy("tnx_table", F.desc("rows"), "exclusion_reason")
+    return excluded.groupBy("source_table", "exclusion_reason").agg(F.count("*").alias("rows")).orderBy("source_table", F.desc("rows"), "exclusion_reason")
 
 
 def check_coverage(coverage: DataFrame, excluded: DataFrame, tables: DataFrame) -> DataFrame:
     """Coverage against what was written. ``excluded``: see excluded_counts(); ``tables``: see table_counts()."""
-    outcomes = coverage.groupBy("tnx_table", "outcome").agg(F.sum("rows").alias("said"))
+    outcomes = coverage.groupBy("source_table", "outcome").agg(F.sum("rows").alias("said"))
     target = F.col("outcome").isin(*schemas.DOMAIN_TABLE.values())
-    left = outcomes.filter(~target).join(excluded.withColumnRenamed("exclusion_reason", "outcome"), ["tnx_table", "outcome"], "full_outer").filter(~F.col("said").eqNullSafe(F.col("rows")))
+    left = outcomes.filter(~target).join(excluded.withColumnRenamed("exclusion_reason", "outcome"), ["source_table", "outcome"], "full_outer").filter(~F.col("said").eqNullSafe(F.col("rows")))
     said = outcomes.filter(target).groupBy(F.col("outcome").alias("table")).agg(F.sum("said").alias("said"))
     right = said.join(tables, "table", "left").filter(~F.col("said").eqNullSafe(F.coalesce("rows", F.lit(0))))
     gap = F.coalesce("said", F.lit(0)) - F.coalesce("rows", F.lit(0))
-    one = left.select(F.lit("coverage").alias("check"), F.col("tnx_table").alias("table"), F.lit("COVERAGE_EXCLUDED_MISMATCH").alias("error_type"), F.col("outcome").alias("column"), gap.alias("n_bad"), _nothing().alias("examples"), F.lit(False).alias("skipped"))
+    one = left.select(F.lit("coverage").alias("check"), F.col("source_table").alias("table"), F.lit("COVERAGE_EXCLUDED_MISMATCH").alias("error_type"), F.col("outcome").alias("column"), gap.alias("n_bad"), _nothing().alias("examples"), F.lit(False).alias("skipped"))
     two = right.select(F.lit("coverage").alias("check"), "table", F.lit("COVERAGE_TABLE_MISMATCH").alias("error_type"), F.lit(None).cast("string").alias("column"), gap.alias("n_bad"), _nothing().alias("examples"), F.lit(False).alias("skipped"))
     return one.unionByName(two)
 
@@ -183,7 +183,7 @@ def triage_results(checks: DataFrame, accepted: DataFrame) -> DataFrame:
     nature, broadcast whatever joins it. Of several patterns that match, the smallest gives the reason.
     """
     short = accepted.select("pattern", "reason", _pattern(F.col("pattern")).alias("_p"))
-    found = checks.select("check_id").distinct().join(F.broadcast(short), F.lower("check_id").rlike(F.col("_p"))).groupBy("check_id").agg(F.min(F.struct("pattern", "reason")).alias("_best"))
+    found = checks.select("check_id").distinct().join(F.broadcast(short), F.rlike(F.lower("check_id"), F.col("_p"))).groupBy("check_id").agg(F.min(F.struct("pattern", "reason")).alias("_best"))
     joined = checks.join(found, "check_id", "left")
     good = (F.col("is_error") == 0) & (F.col("failed") == 0)
     outcome = F.when(good & (F.col("not_applicable") == 1), "not_applicable").when(good, "passed").when(F.col("_best").isNotNull(), "accepted").when(F.col("is_error") == 1, "error").otherwise("failed")
@@ -194,7 +194,7 @@ def unused_patterns(checks: DataFrame, accepted: DataFrame) -> DataFrame:
     """Patterns that match no failed or broken check."""
     failed = checks.filter("failed = 1 or is_error = 1").select("check_id").distinct()
     short = accepted.select("pattern", _pattern(F.col("pattern")).alias("_p"))
-    used = failed.join(F.broadcast(short), F.lower("check_id").rlike(F.col("_p"))).select("pattern").distinct()
+    used = failed.join(F.broadcast(short), F.rlike(F.lower("check_id"), F.col("_p"))).select("pattern").distinct()
     return accepted.select("pattern").join(used, "pattern", "left_anti")
 
 

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 
 def queries() -> dict:
-    return {}
+    from caremill.plans.queries import QUERIES
+
+    return {name: fn for name, (fn, _) in QUERIES.items()}
 
 
 def oracle_sql() -> dict:
-    return {}
+    from caremill.plans.queries import QUERIES
+
+    return {name: sql for name, (_, sql) in QUERIES.items() if sql}

@@ -13,15 +13,15 @@ from caremill.functions.values import dictionary_cast, parse_yyyymmdd
 #: A value that no file holds: with it as the null value, quoted empty strings stay apart from empty fields.
 NO_VALUE = "\u0001"
 #: What derived columns are called, the dictionary's header, the vocabulary's files.
-DERIVED, HEADER = "derived_by_trinetx", ("table", "column", "data_type")
+DERIVED, HEADER = "derived_by_", ("table", "column", "data_type")
 MAPS_TO, NO_VOCABULARY_ID = "Maps to", "None"
 CONCEPT_COLUMNS = ["concept_id", "concept_name", "domain_id", "vocabulary_id", "concept_class_id", "standard_concept", "concept_code", "valid_start_date", "valid_end_date", "invalid_reason"]
 
 
 def read_source(spark: SparkSession, root: str, table: str) -> DataFrame:
     """``<root>/<source>/<table>.csv`` of every source, as strings, with _source_id from the folder."""
-    df = spark.read.option("header", True).option("nullValue", NO_VALUE).option("escape", '"').option("multiLine", True).csv(f"{root}/*/{table}.csv")
-    return df.withColumn("_source_id", F.regexp_extract("_metadata.file_path", f"([^/]+)/{table}\\.csv$", 1))
+    df = spark.read.option("header", True).option("nullValue", NO_VALUE).option("escape", '"').csv(f"{root}/*/{table}.csv")
+    return df.withColumn("_source_id", F.regexp_extract("_metadata.file_path", f"([^/]+)/{table}\\.csv(?:/[^/]+)?$", 1))
 
 
 def drop_derived(df: DataFrame, pattern: str = DERIVED) -> DataFrame:

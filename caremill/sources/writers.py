@@ -40,7 +40,7 @@ def write_excluded(excluded: dict[str, DataFrame], root: str) -> list[str]:
 def write_coverage(coverage: DataFrame, root: str) -> str:
     """The coverage table, a few rows by nature, as one sorted CSV file."""
     path = f"{root}/coverage"
-    coverage.coalesce(1).sortWithinPartitions(*(F.col(c).asc_nulls_last() for c in ("tnx_table", "code_system", "outcome"))).write.mode("overwrite").option("header", True).csv(path)
+    coverage.coalesce(1).sortWithinPartitions(*(F.col(c).asc_nulls_last() for c in ("source_table", "code_system", "outcome"))).write.mode("overwrite").option("header", True).csv(path)
     return path
 
 

@@ -12,5 +12,5 @@ from caremill.sources.readers import NO_VALUE
 def follow_source(spark: SparkSession, root: str, table: str, columns: list[str]) -> DataFrame:
     """read_source() as a stream: each new ``<root>/<source>/<table>.csv`` once; columns are given, not looked up."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    df = spark.readStream.schema(schema).option("header", True).option("nullValue", NO_VALUE).option("escape", '"').option("multiLine", True).csv(f"{root}/*/{table}.csv")
-    return df.withColumn("_source_id", F.regexp_extract("_metadata.file_path", f"([^/]+)/{table}\\.csv$", 1))
+    df = spark.readStream.schema(schema).option("header", True).option("nullValue", NO_VALUE).option("escape", '"').csv(f"{root}/*/{table}.csv")
+    return df.withColumn("_source_id", F.regexp_extract("_metadata.file_path", f"([^/]+)/{table}\\.csv(?:/[^/]+)?$", 1))
