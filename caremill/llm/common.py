@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 import tempfile
@@ -11,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +54,30 @@ def dropped(df: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of stages that nothing needs any more: it does so when the driver forgets them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def packed(rows: DataFrame) -> DataFrame:
+    """Rows with their text compressed, for a shuffle; null is empty. See unpacked()."""
+    keep = [c for c in rows.columns if c != "text"]
+    schema = rows.select(*keep).schema.add("packed", "binary")
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in parts:
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(map(pack, texts_of(batch)), pa.binary())], [*keep, "packed"])
+
+    return map_arrow(rows, run, schema)
+
+
+def unpacked(batch: pa.RecordBatch) -> list[bytes]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return [unpack(x) for x in batch.column("packed").to_pylist()]
+
+
 def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
 

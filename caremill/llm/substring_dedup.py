@@ -9,7 +9,7 @@ anchor. A 35-word window holds the anchor of its first 20 starts together with t
 windows have equal anchors and no repeat is lost.
 
 Scale: level one shuffles one row of four numbers for about a tenth of the words; later levels only what is
-left. Hashes are counted with map-side combining and joined back, so that a passage that a third of all
+left. Texts are shuffled compressed. Hashes are counted with map-side combining and joined back, so that a passage that a third of all
 documents share is neither gathered in one task nor paired with itself. Of a 64-word window's copies only one
 hands its inner windows to the last level.
 """
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caremill.llm.common import WordHashes, groups_of, if_small, keyed, map_arrow, mix, settled, sha256, table, texts_of
+from caremill.llm.common import WordHashes, dropped, groups_of, keyed, map_arrow, mix, packed, release, settled, sha256, table, texts_of, unpacked
 
 #: Fixed by the contract: words of a window.
 WINDOW = 35
@@ -98,7 +98,10 @@ def _repeated_anchors(docs: DataFrame) -> DataFrame:
     wide = left.groupBy("h16", "tail").agg(F.count("*").alias("n"), F.min(F.struct("_row", "pos")).alias("best")).filter("n > 1")
     wide = wide.select("h16", "tail", F.col("best._row").alias("best_row"), F.col("best.pos").alias("best_pos"))
     marked = left.join(wide, ["h16", "tail"], "left").select("_row", F.struct("pos", F.col("best_row").isNotNull().alias("sure"), ((F.col("best_row") == F.col("_row")) & (F.col("best_pos") == F.col("pos"))).alias("first")).alias("a"))
-    return settled(marked.groupBy("_row").agg(F.collect_list("a").alias("anchors")))
+    found = settled(marked.groupBy("_row").agg(F.collect_list("a").alias("anchors")))
+    dropped(rows)
+    dropped(left)
+    return found
 
 
 def _unsure_windows(docs: DataFrame, anchors: DataFrame) -> DataFrame:
@@ -108,7 +111,7 @@ def _unsure_windows(docs: DataFrame, anchors: DataFrame) -> DataFrame:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for batch in parts:
-            texts, rows, found = texts_of(batch), np.array(batch.column("_row"), np.int64), batch.column("anchors").to_pylist()
+            texts, rows, found = unpacked(batch), np.array(batch.column("_row"), np.int64), batch.column("anchors").to_pylist()
             for a, b in groups_of([len(t) for t in texts], CHUNK_BYTES):
                 h = Hashes(texts[a:b], cache)
                 levels = h.levels(32)
@@ -129,18 +132,23 @@ def _unsure_windows(docs: DataFrame, anchors: DataFrame) -> DataFrame:
                 h35 = mix(levels[32][keep], levels[32][keep + WINDOW - 32])
                 yield pa.RecordBatch.from_arrays([pa.array(rows[a:b][doc]), pa.array((keep - h.starts[doc]).astype(np.int32)), pa.array(levels[32][keep].view(np.int64)), pa.array(h35.view(np.int64)), pa.array(held_at[keep])], schema=schema)
 
-    joined = docs.select("_row", "text").join(if_small(anchors), "_row")
+    joined = packed(docs.select("_row", "text")).join(anchors, "_row")
     return map_arrow(joined, run, "_row long, pos int, h32 long, h35 long, held boolean")
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """Settled _row, spans: array of (start, end) words that windows occurring more than once cover."""
     anchors = _repeated_anchors(docs)
+    release(docs.sparkSession)
     windows = settled(_unsure_windows(docs, anchors))
+    release(docs.sparkSession)
     twice = windows.groupBy("h32", "h35").count().filter("count > 1").select("h32", "h35")
     last = windows.filter("not held").join(twice, ["h32", "h35"], "left_semi").select("_row", F.struct("pos", (F.col("pos") + WINDOW).alias("end")).alias("s"))
     sure = anchors.select("_row", F.explode(F.filter("anchors", lambda x: x["sure"])).alias("x")).select("_row", F.struct(F.col("x.pos").alias("pos"), (F.col("x.pos") + WIDEST).alias("end")).alias("s"))
-    return settled(sure.unionByName(last).groupBy("_row").agg(F.collect_list("s").alias("spans")))
+    found = settled(sure.unionByName(last).groupBy("_row").agg(F.collect_list("s").alias("spans")))
+    dropped(windows)
+    dropped(anchors)
+    return found
 
 
 def _cut(text: bytes, spans: list[dict] | None) -> tuple[int, list[bytes]]:
@@ -166,12 +174,13 @@ def substring_dedup(docs: DataFrame, text_out: bool = False) -> DataFrame:
     """
     rows = keyed(docs.select("doc_id", "text"))
     spans = repeated_spans(rows)
+    release(docs.sparkSession)
     names = ["doc_id", "n_words", "n_removed", "kept_sha256"] + ["kept_text"] * text_out
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
             n, gone, sha, kept = [], [], [], []
-            for text, one in zip(texts_of(batch), batch.column("spans").to_pylist(), strict=True):
+            for text, one in zip(unpacked(batch), batch.column("spans").to_pylist(), strict=True):
                 total, words = _cut(text, one)
                 joined = b" ".join(words)
                 n.append(total)
@@ -181,7 +190,7 @@ def substring_dedup(docs: DataFrame, text_out: bool = False) -> DataFrame:
                     kept.append(joined.decode())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha, pa.string()), *[pa.array(kept, pa.string())] * text_out], names)
 
-    joined = rows.join(if_small(spans), "_row", "left").select("doc_id", "text", "spans")
+    joined = packed(rows).join(spans, "_row", "left").select("doc_id", "packed", "spans")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return map_arrow(joined, run, f"doc_id {id_type}, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * text_out)
 
