@@ -1 +1,5 @@
 """Spark DataFrame operators for coded event records: reading, cleaning, numbering, vocabulary, eras, coverage, checks."""
+
+from caremill.plans.convert import convert, validate
+
+__all__ = ["convert", "validate"]
