@@ -73,9 +73,9 @@ def packed(rows: DataFrame) -> DataFrame:
     return map_arrow(rows, run, schema)
 
 
-def unpacked(batch: pa.RecordBatch) -> list[bytes]:
+def unpacked(batch: pa.RecordBatch, column: str = "packed") -> list[bytes]:
     unpack = zstandard.ZstdDecompressor().decompress
-    return [unpack(x) for x in batch.column("packed").to_pylist()]
+    return [unpack(x) for x in batch.column(column).to_pylist()]
 
 
 def small_batches(spark: SparkSession) -> None:

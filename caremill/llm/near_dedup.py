@@ -21,12 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caremill.llm.common import WordHashes, if_small, keyed, map_arrow, mix, settled, table, texts_of, words_of
+from caremill.llm.common import WordHashes, if_small, keyed, map_arrow, mix, packed, release, settled, table, texts_of, unpacked, words_of
 
 #: Words of a shingle; weighted Jaccard similarity from which two documents are near copies.
 SHINGLE, SIMILARITY = 5, 0.8
 #: Hashed features of document frequencies, and how many of them travel together.
 FEATURES, SLICE = 1 << 18, 1 << 12
+#: How far inverse document frequency tells shingles apart: weights go from 1 to 1 + DAMPED times the term frequency, so that
+#: copies in a group that holds much of the corpus stay as alike as copies of a rare text.
+DAMPED = 0.25
 #: Samples of a document, and bands of SAMPLES / BANDS samples: at similarity 0.8, 0.9998 of the pairs meet.
 SAMPLES, BANDS = 64, 16
 #: Shingles that are sampled at once; draws in the tables of random numbers.
@@ -103,7 +106,7 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
 
 
 def document_frequencies(rows: DataFrame) -> np.ndarray:
-    """Inverse document frequency of each hashed feature, over all documents. The driver gets FEATURES numbers."""
+    """Damped inverse document frequency of each hashed feature, over all documents. The driver gets FEATURES numbers."""
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, docs, shingles = np.zeros(FEATURES, np.int64), 0, Shingles()
@@ -132,7 +135,7 @@ def document_frequencies(rows: DataFrame) -> np.ndarray:
     for i, data in ((r[0], bytes(r[1])) for r in whole):
         at = i * SLICE if i >= 0 else FEATURES
         df[at : at + len(data) // 8] += np.frombuffer(data, np.int64)
-    return (np.log((df[FEATURES] + 1) / (df[:FEATURES] + 1)) + 1).astype(np.float32)
+    return (1 + DAMPED * np.log((df[FEATURES] + 1) / (df[:FEATURES] + 1)) / np.log(df[FEATURES] + 2)).astype(np.float32)
 
 
 def _signatures(rows: DataFrame, idf) -> DataFrame:
@@ -157,12 +160,10 @@ def _signatures(rows: DataFrame, idf) -> DataFrame:
     return settled(map_arrow(rows.select("_row", "doc_id", "text"), run, f"_row long, doc_id {id_type}, g1 long, g2 long, bands array<long>"))
 
 
-def _verified(rows: DataFrame, pairs: DataFrame, idf, similarity: float) -> DataFrame:
-    """Settled pairs (a, b) of that similarity."""
-    ids = settled(pairs.select(F.explode(F.array("a", "b")).alias("_row")).distinct())
-    texts = rows.select("_row", "text").join(if_small(ids), "_row", "left_semi")
-    near = pairs.join(texts.select(F.col("_row").alias("b"), F.col("text").alias("text_b")), "b")
-    both = near.join(texts.select(F.col("_row").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
+def _verified(texts: DataFrame, pairs: DataFrame, idf, similarity: float) -> DataFrame:
+    """Settled pairs (a, b) of that similarity. ``texts``: _row, packed of all that pairs name."""
+    near = pairs.join(texts.select(F.col("_row").alias("b"), F.col("packed").alias("packed_b")), "b")
+    both = near.join(texts.select(F.col("_row").alias("a"), F.col("packed").alias("packed_a")), "a").select("a", "b", "packed_a", "packed_b")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
@@ -173,7 +174,7 @@ def _verified(rows: DataFrame, pairs: DataFrame, idf, similarity: float) -> Data
             return s, n * idf.value[feature(s)]
 
         for batch in parts:
-            ok = [weighted_jaccard(weighted(x), weighted(y)) >= similarity for x, y in zip(texts_of(batch, "text_a"), texts_of(batch, "text_b"), strict=True)]
+            ok = [weighted_jaccard(weighted(x), weighted(y)) >= similarity for x, y in zip(unpacked(batch, "packed_a"), unpacked(batch, "packed_b"), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return settled(map_arrow(both, run, "a long, b long"))
@@ -199,26 +200,29 @@ def near_classes(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     marks = _signatures(rows, idf)
     same = settled(marks.filter("g1 is not null").groupBy("g1", "g2").agg(F.min("_row").alias("rep"), F.min("bands").alias("bands")))
     buckets = same.select("rep", F.explode("bands").alias("key"))
-    met = buckets.groupBy("key").agg(F.count("*").alias("size"), F.min("rep").alias("lead")).filter("size > 1")
+    met = settled(buckets.groupBy("key").agg(F.count("*").alias("size"), F.min("rep").alias("lead")).filter("size > 1"))
     members = settled(buckets.join(met, "key"))
-    links = _verified(rows, members.filter("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), idf, similarity)
+    texts = settled(packed(rows.select("_row", "text")).join(members.select(F.col("rep").alias("_row")).distinct(), "_row", "left_semi"))
+    release(rows.sparkSession)
+    links = _verified(texts, members.filter("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), idf, similarity)
     labels = components(links)
-    reach = 1
+    members, reach = members.filter("size > 2"), 1
     while True:
         named = members.join(labels.withColumnsRenamed({"v": "rep", "c": "_c"}), "rep", "left").select("key", "rep", "size", "lead", F.coalesce("_c", "rep").alias("c"))
         mixed = named.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select("key")
-        members_left = settled(named.join(mixed, "key", "left_semi"))
-        if members_left.isEmpty():
+        members = settled(named.join(mixed, "key", "left_semi"))
+        if members.isEmpty():
             break
         share = F.pmod(F.xxhash64(F.lit(7), "rep"), F.lit(1 << 30)) / F.lit(float(1 << 30)) * F.col("size")
-        lead = members_left.filter((share >= (0 if reach == 1 else reach)) & (share < reach * GROWTH)).select("key", F.col("rep").alias("x"), F.col("c").alias("cx"))
-        more = lead.join(members_left, "key").filter("c <> cx and x <> rep and x <> lead and rep <> lead")
-        found = _verified(rows, more.select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct(), idf, similarity)
+        members = members.withColumn("leads", (share >= (0 if reach == 1 else reach)) & (share < reach * GROWTH))
+        leaders = members.filter("leads").select("key", F.col("rep").alias("x"), F.col("c").alias("cx"))
+        more = leaders.join(members, "key").filter("c <> cx and x <> lead and rep <> lead and (x < rep or not leads)")
+        found = _verified(texts, more.select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct(), idf, similarity)
         if not found.isEmpty():
             links = settled(links.unionByName(found))
             labels = components(links)
         reach *= GROWTH
-        members = members_left.filter(F.col("size") > reach).select("key", "rep", "size", "lead")
+        members = members.filter(F.col("size") > reach).select("key", "rep", "size", "lead")
     to_class = same.select("g1", "g2", "rep").join(labels.withColumnsRenamed({"v": "rep", "c": "_c"}), "rep", "left").select("g1", "g2", F.coalesce("_c", "rep").alias("_class"))
     return marks.join(to_class, ["g1", "g2"], "left").select("_row", "doc_id", F.coalesce("_class", "_row").alias("_class"))
 
