@@ -6,9 +6,13 @@ consistent weighted samples, in BANDS bands, name the buckets of a document.
 
 Scale: documents with the same weighted shingles stand for one another, so groups of copies cost one row each.
 In a bucket, members are compared with a leader first; links are merged into classes, and only members of
-different classes meet more leaders, eight times as many each round, until a bucket is one class or all its pairs
-of different classes were compared. So no link between classes in a bucket is lost, and a large bucket of near
+different classes meet more leaders, GROWTH times as many each round, until a bucket is one class or all its pairs
+of different classes were settled. So no link between classes in a bucket is lost, and a large bucket of near
 copies costs one comparison for each member.
+
+A family of texts that are only half alike shares buckets without being one class. What a text has alone among
+all that are still to be compared bounds its similarity to any of them, so most such pairs are settled without
+being made: a pair is made, once, in the first bucket it shares, if the bound leaves it a chance.
 """
 
 from __future__ import annotations
@@ -35,7 +39,9 @@ SAMPLES, BANDS = 64, 16
 #: Shingles that are sampled at once; draws in the tables of random numbers.
 BLOCK, DRAWS = 2048, 1 << 16
 #: Growth of the leaders in each round.
-GROWTH = 8
+GROWTH = 64
+#: Slack of bounds on similarity, for rounding.
+SLACK = 1e-6
 
 
 class Shingles:
@@ -139,25 +145,28 @@ def document_frequencies(rows: DataFrame) -> np.ndarray:
 
 
 def _signatures(rows: DataFrame, idf) -> DataFrame:
-    """Settled _row, doc_id, g1, g2 (the weighted shingles' identity; null without words), bands."""
+    """Settled _row, doc_id, g1, g2 (the weighted shingles' identity; null without words), weight (of all shingles), bands."""
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, sampler = Shingles(), Sampler()
         for batch in parts:
-            names, bands = [], []
+            names, totals, bands = [], [], []
             for text in texts_of(batch):
                 s, n = shingles.of(text)
                 if not len(s):
                     names.append((None, None))
+                    totals.append(0.0)
                     bands.append([])
                     continue
                 both = [int(np.bitwise_xor.reduce(mix(mix(s, n.astype(np.uint64)), np.full(len(s), np.uint64(seed)))).view(np.int64)) for seed in (3, 5)]
                 names.append(both)
-                bands.append(Sampler.bands(sampler.sample(s, n * idf.value[feature(s)])))
-            yield pa.RecordBatch.from_arrays([batch.column("_row"), batch.column("doc_id"), pa.array([x[0] for x in names], pa.int64()), pa.array([x[1] for x in names], pa.int64()), pa.array(bands, pa.list_(pa.int64()))], ["_row", "doc_id", "g1", "g2", "bands"])
+                weights = n * idf.value[feature(s)]
+                totals.append(float(weights.sum()))
+                bands.append(Sampler.bands(sampler.sample(s, weights)))
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), batch.column("doc_id"), pa.array([x[0] for x in names], pa.int64()), pa.array([x[1] for x in names], pa.int64()), pa.array(totals, pa.float64()), pa.array(bands, pa.list_(pa.int64()))], ["_row", "doc_id", "g1", "g2", "weight", "bands"])
 
-    return settled(map_arrow(rows.select("_row", "doc_id", "text"), run, f"_row long, doc_id {id_type}, g1 long, g2 long, bands array<long>"))
+    return settled(map_arrow(rows.select("_row", "doc_id", "text"), run, f"_row long, doc_id {id_type}, g1 long, g2 long, weight double, bands array<long>"))
 
 
 def _verified(texts: DataFrame, pairs: DataFrame, idf, similarity: float) -> DataFrame:
@@ -180,6 +189,21 @@ def _verified(texts: DataFrame, pairs: DataFrame, idf, similarity: float) -> Dat
     return settled(map_arrow(both, run, "a long, b long"))
 
 
+def _own_weight(texts: DataFrame, idf) -> DataFrame:
+    """rep, own: the weight of the shingles that no other of these texts has, where there are any. ``texts``: _row, packed."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles()
+        for batch in parts:
+            for row, text in zip(batch.column("_row").to_pylist(), unpacked(batch), strict=True):
+                s, n = shingles.of(text)
+                columns = np.full(len(s), row, np.int64), s.view(np.int64), (n * idf.value[feature(s)]).astype(np.float64)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["rep", "shingle", "weight"])
+
+    once = map_arrow(texts, run, "rep long, shingle long, weight double").groupBy("shingle").agg(F.count("*").alias("n"), F.min("rep").alias("rep"), F.min("weight").alias("weight")).filter("n = 1")
+    return once.groupBy("rep").agg(F.sum("weight").alias("own"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """Settled (v, c): the smallest node of each linked node's component. Labels spread and jump until none changes."""
     both = settled(links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v"))).distinct())
@@ -194,35 +218,54 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _contested(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Settled members of the buckets that hold more than one class, with their class c."""
+    named = members.join(labels.withColumnsRenamed({"v": "rep", "c": "_c"}), "rep", "left").select(*members.columns, F.coalesce("_c", "rep").alias("c"))
+    mixed = named.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select("key")
+    return settled(named.join(mixed, "key", "left_semi"))
+
+
+def _facts(members: DataFrame, same: DataFrame, texts: DataFrame, idf, least: float) -> DataFrame:
+    """Settled rep, own, shared (weight of the shingles that no other, or another, of the members has too), bands. A member
+    with so much of its own that no other can be similar is left out."""
+    reps = settled(members.select("rep").distinct())
+    own = _own_weight(texts.join(reps.withColumnRenamed("rep", "_row"), "_row", "left_semi"), idf)
+    found = same.join(reps, "rep", "left_semi").join(own, "rep", "left").withColumn("own", F.coalesce("own", F.lit(0.0)))
+    return settled(found.withColumn("shared", F.col("weight") - F.col("own")).filter(F.col("shared") >= least * F.col("weight")).select("rep", "own", "shared", "bands"))
+
+
 def near_classes(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """_row, doc_id, class: documents of a class are linked by pairs of that similarity. ``rows``: see keyed()."""
     idf = rows.sparkSession.sparkContext.broadcast(document_frequencies(rows))
     marks = _signatures(rows, idf)
-    same = settled(marks.filter("g1 is not null").groupBy("g1", "g2").agg(F.min("_row").alias("rep"), F.min("bands").alias("bands")))
-    buckets = same.select("rep", F.explode("bands").alias("key"))
-    met = settled(buckets.groupBy("key").agg(F.count("*").alias("size"), F.min("rep").alias("lead")).filter("size > 1"))
+    same = settled(marks.filter("g1 is not null").groupBy("g1", "g2").agg(F.min("_row").alias("rep"), F.min("weight").alias("weight"), F.min("bands").alias("bands")))
+    buckets = same.select("rep", "weight", F.explode("bands").alias("key"))
+    met = settled(buckets.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("rep", "weight")).alias("first")).filter("size > 1").select("key", "size", F.col("first.rep").alias("lead"), F.col("first.weight").alias("lead_weight")))
     members = settled(buckets.join(met, "key"))
     texts = settled(packed(rows.select("_row", "text")).join(members.select(F.col("rep").alias("_row")).distinct(), "_row", "left_semi"))
     release(rows.sparkSession)
-    links = _verified(texts, members.filter("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), idf, similarity)
+    least = similarity * (1 - SLACK)
+    chance = F.least("weight", "lead_weight") >= least * F.greatest("weight", "lead_weight")
+    links = _verified(texts, members.filter("rep <> lead").filter(chance).select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), idf, similarity)
     labels = components(links)
-    members, reach = members.filter("size > 2"), 1
-    while True:
-        named = members.join(labels.withColumnsRenamed({"v": "rep", "c": "_c"}), "rep", "left").select("key", "rep", "size", "lead", F.coalesce("_c", "rep").alias("c"))
-        mixed = named.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select("key")
-        members = settled(named.join(mixed, "key", "left_semi"))
-        if members.isEmpty():
-            break
-        share = F.pmod(F.xxhash64(F.lit(7), "rep"), F.lit(1 << 30)) / F.lit(float(1 << 30)) * F.col("size")
-        members = members.withColumn("leads", (share >= (0 if reach == 1 else reach)) & (share < reach * GROWTH))
-        leaders = members.filter("leads").select("key", F.col("rep").alias("x"), F.col("c").alias("cx"))
-        more = leaders.join(members, "key").filter("c <> cx and x <> lead and rep <> lead and (x < rep or not leads)")
-        found = _verified(texts, more.select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct(), idf, similarity)
+    members = _contested(members.filter("size > 2").select("key", "rep", "size", "lead"), labels).drop("c")
+    if not members.isEmpty():
+        members = settled(members.join(_facts(members, same, texts, idf, least), "rep"))
+    reach = 0
+    while not (members := _contested(members, labels)).isEmpty():
+        after = max(1, reach) * GROWTH
+        members = members.withColumn("place", F.pmod(F.xxhash64(F.lit(7), "rep"), F.lit(1 << 30)) / F.lit(float(1 << 30)) * F.col("size")).filter(F.col("place") >= reach)
+        leaders = members.filter((F.col("place") < after) & (F.col("rep") != F.col("lead"))).select("key", F.col("rep").alias("x"), F.col("c").alias("cx"), F.col("own").alias("own_x"), F.col("shared").alias("shared_x"), F.col("bands").alias("bands_x"))
+        other = (F.col("c") != F.col("cx")) & (F.col("rep") != F.col("lead")) & ((F.col("x") < F.col("rep")) | (F.col("place") >= after))
+        chance = F.least("shared", "shared_x") >= least * (F.col("own") + F.col("own_x") + F.greatest("shared", "shared_x"))
+        first = F.array_intersect("bands_x", "bands")[0] == F.col("key")
+        more = leaders.join(members, "key").filter(other & chance & first)
+        found = _verified(texts, more.select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")), idf, similarity)
         if not found.isEmpty():
             links = settled(links.unionByName(found))
             labels = components(links)
-        reach *= GROWTH
-        members = members.filter(F.col("size") > reach).select("key", "rep", "size", "lead")
+        reach = after
+        members = members.filter((F.col("size") > reach) & (F.col("place") >= reach)).drop("c", "place")
     to_class = same.select("g1", "g2", "rep").join(labels.withColumnsRenamed({"v": "rep", "c": "_c"}), "rep", "left").select("g1", "g2", F.coalesce("_c", "rep").alias("_class"))
     return marks.join(to_class, ["g1", "g2"], "left").select("_row", "doc_id", F.coalesce("_class", "_row").alias("_class"))
 
