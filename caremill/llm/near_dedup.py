@@ -37,7 +37,7 @@ DAMPED = 0.25
 #: Samples of a document, and bands of SAMPLES / BANDS samples: at similarity 0.8, 0.9998 of the pairs meet.
 SAMPLES, BANDS = 64, 16
 #: Shingles that are sampled at once; draws in the tables of random numbers.
-BLOCK, DRAWS = 2048, 1 << 16
+BLOCK, DRAWS = 512, 1 << 16
 #: Growth of the leaders in each round.
 GROWTH = 64
 #: Slack of bounds on similarity, for rounding.
@@ -63,7 +63,8 @@ class Shingles:
 
 
 def feature(shingles: np.ndarray) -> np.ndarray:
-    return (shingles & np.uint64(FEATURES - 1)).astype(np.int64)
+    """Leading bits: features of sorted shingles are sorted."""
+    return (shingles >> np.uint64(65 - FEATURES.bit_length())).astype(np.int64)
 
 
 class Sampler:
@@ -78,20 +79,27 @@ class Sampler:
     def sample(self, shingles: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """A hash for each of SAMPLES samples: the chosen shingle and its quantised weight."""
         best = np.full(SAMPLES, np.inf, np.float32)
-        chosen, level = np.zeros(SAMPLES, np.uint64), np.zeros(SAMPLES, np.int64)
+        chosen, level, every = np.zeros(SAMPLES, np.uint64), np.zeros(SAMPLES, np.int64), np.arange(SAMPLES)
         ln_w = np.log(weights).astype(np.float32)
         for at in range(0, len(shingles), BLOCK):
             s = shingles[at : at + BLOCK]
-            x = mix(np.broadcast_to(s[:, None], (len(s), SAMPLES)), self.seeds[None, :])
-            r, ln_c = self.r[x & np.uint64(DRAWS - 1)], self.ln_c[(x >> np.uint64(16)) & np.uint64(DRAWS - 1)]
-            beta = (x >> np.uint64(32)).astype(np.float32) * np.float32(2.0**-32)
-            t = np.floor(ln_w[at : at + BLOCK, None] / r + beta)
-            ln_a = ln_c - r * (t - beta + 1)
+            x = mix(s[:, None], self.seeds[None, :])
+            part = x.view(np.uint16).reshape(len(s), SAMPLES, 4)
+            r, ln_a = self.r.take(part[:, :, 0]), self.ln_c.take(part[:, :, 1])
+            t = (x >> np.uint64(32)).astype(np.float32)
+            t *= np.float32(2.0**-32)  # beta
+            level_at = ln_w[at : at + BLOCK, None] / r
+            level_at += t
+            np.floor(level_at, out=level_at)
+            np.subtract(level_at, t, out=t)
+            t += np.float32(1)
+            t *= r
+            ln_a -= t
             first = ln_a.argmin(axis=0)
-            least = ln_a[first, np.arange(SAMPLES)]
+            least = ln_a[first, every]
             better = least < best
             best[better], chosen[better] = least[better], s[first[better]]
-            level[better] = t[first, np.arange(SAMPLES)][better].astype(np.int64)
+            level[better] = level_at[first, every][better].astype(np.int64)
         return mix(chosen, level.view(np.uint64))
 
     @staticmethod
@@ -119,7 +127,8 @@ def document_frequencies(rows: DataFrame) -> np.ndarray:
         for batch in parts:
             for text in texts_of(batch):
                 s, _ = shingles.of(text)
-                found[np.unique(feature(s))] += 1
+                f = feature(s)
+                found[f[np.diff(f, prepend=-1) > 0]] += 1
                 docs += bool(len(s))
         if docs:
             slices = found.reshape(-1, SLICE)
