@@ -251,7 +251,8 @@ def near_classes(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     buckets = same.select("rep", "weight", F.explode("bands").alias("key"))
     met = settled(buckets.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("rep", "weight")).alias("first")).filter("size > 1").select("key", "size", F.col("first.rep").alias("lead"), F.col("first.weight").alias("lead_weight")))
     members = settled(buckets.join(met, "key"))
-    texts = settled(packed(rows.select("_row", "text")).join(members.select(F.col("rep").alias("_row")).distinct(), "_row", "left_semi"))
+    involved = settled(members.select(F.col("rep").alias("_row")).distinct())
+    texts = settled(packed(rows.select("_row", "text")).join(if_small(involved), "_row", "left_semi"))
     release(rows.sparkSession)
     least = similarity * (1 - SLACK)
     chance = F.least("weight", "lead_weight") >= least * F.greatest("weight", "lead_weight")
