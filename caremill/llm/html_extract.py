@@ -3,7 +3,8 @@
 A page is a sequence of words and tags. Words score positive, tags negative, and so do words where menus, forms,
 adverts and the like stand; a linear scan finds the contiguous region with the largest sum, and its blocks are
 the text. The weights are log odds counted on labelled pages: those whose authors marked the main text with an
-``article`` element. The mark itself is no tag that scores.
+``article`` element. The mark only labels words for that count: it is no tag that scores, and words outside of it
+score and are given out like any others.
 
 Scale: one pass over the pages, no shuffle. The weights come from at most LABELLED pages of at most
 LABELLED_BYTES each, chosen by hash.
@@ -39,9 +40,10 @@ OUTSIDE_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|notice|gdpr|popup|modal|newsletter|subscribe|signup|login|nav\w*|menu\w*|breadcrumbs?|sidebar|side|widget|footer|masthead|topbar|toolbar|comments?|replies|respond|disqus|share|sharing|social|related|recommend\w*|pagination|pager|tags|skip|legal|copyright|hidden)(?:$|[\s_-])",
     re.I,
 )
+#: Class or id of what holds cards or comments, which may be article elements of their own.
+CARDS = re.compile(r"(?:^|\s)(?:comments?(?:-?(?:list|area|section))?|replies|related(?:-?(?:posts|articles))?)(?:$|\s)", re.I)
 TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*?)>", re.S)
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-MARKED = re.compile(r"<article[\s>]", re.I)
 
 
 class Piece:
@@ -56,21 +58,26 @@ class Piece:
 def pieces_of(page: str) -> list[Piece | tuple[str, bool]]:
     """Pieces of text and (tag, in the article), in page order.
 
-    Kinds of text: plain, link, outside (in a menu, form, advert and so on), beyond (out of the article of a page that has one).
+    Kinds of text: plain, link, outside (in a menu, form, advert and so on).
     """
     out: list = []
-    stack: list[tuple[str, bool, bool]] = []  # name, outside, marked
+    stack: list[tuple[str, bool, bool, bool]] = []  # name, outside, marked, holds cards
+    closed: dict[str, bool] = {}
     block = outside = links = inside = 0
-    marked = bool(MARKED.search(page))
     at, n = 0, len(page)
 
     def text(a: int, b: int) -> None:
         if a < b and not page[a:b].isspace():
-            kind = "outside" if outside else "beyond" if marked and not inside else "link" if links else "plain"
+            kind = "outside" if outside else "link" if links else "plain"
             out.append(Piece(block, html.unescape(page[a:b]), kind, bool(inside)))
         elif a < b:
             out.append(Piece(block, " ", "blank", bool(inside)))
 
+    def is_closed(name: str) -> bool:
+        if name not in closed:
+            closed[name] = len(re.findall(rf"<{re.escape(name)}[\s>]", page, re.I)) <= len(re.findall(rf"</{re.escape(name)}[\s>]", page, re.I))
+        return closed[name]
+
     while at < n:
         m = TAG.search(page, at)
         if not m:
@@ -101,11 +108,13 @@ def pieces_of(page: str) -> list[Piece | tuple[str, bool]]:
             out.append(("outside" if outside else name, bool(inside)))
             continue
         elif name not in VOID and name not in LOOSE:
-            if name in MAIN and not any(x[1] and OUTSIDE_NAMES.search(x[0]) for x in stack) and outside and not inside:
+            if name in MAIN and outside and not inside and not any(x[1] and (OUTSIDE_NAMES.search(x[0]) or name == "article" and x[3] and is_closed(x[0])) for x in stack):
                 outside, stack = 0, []  # an element before the article was never closed
-            named = " ".join(x.strip("\"'") for x in NAMED.findall(m[3]))
+            named = [x.strip("\"'") for x in NAMED.findall(m[3])]
+            cards = name == "aside" or any(CARDS.search(x) for x in named)
+            named = " ".join(named)
             off = name in OUTSIDE and not (name == "header" and inside) or name not in MAIN and bool(named and OUTSIDE_NAMES.search(named))
-            stack.append((name, off, name == "article"))
+            stack.append((name, off, name == "article", cards))
             outside += off
             inside += name == "article"
             links += name == "a"
@@ -119,13 +128,13 @@ def weights_of(pages: list[str]) -> dict[str, float]:
     within, without = Counter(), Counter()
     for page in pages:
         for x in pieces_of(page):
-            key, n, inside = (f"word {'plain' if x.kind == 'beyond' else x.kind}", x.words, x.inside) if isinstance(x, Piece) else (f"tag {x[0]}", 1, x[1])
+            key, n, inside = (f"word {x.kind}", x.words, x.inside) if isinstance(x, Piece) else (f"tag {x[0]}", 1, x[1])
             (within if inside else without)[key] += n
     a, b = sum(within.values()) + 1, sum(without.values()) + 1
     odds = lambda k: math.log((within[k] + 0.5) / a) - math.log((without[k] + 0.5) / b) if within[k] + without[k] >= SEEN else 0.0
     held = lambda x: max(LEAST, min(LARGEST, x))
     found = {k: -min(LARGEST_TAG, held(-odds(k))) for k in {*within, *without} if k.startswith("tag ")}
-    found |= {"word plain": held(odds("word plain")), "word link": held(odds("word link")) if odds("word link") >= 0 else -held(-odds("word link")), "word outside": -held(-odds("word outside")), "word beyond": -LARGEST, "word blank": 0.0}
+    found |= {"word plain": held(odds("word plain")), "word link": held(odds("word link")) if odds("word link") >= 0 else -held(-odds("word link")), "word outside": -held(-odds("word outside")), "word blank": 0.0}
     return found | {"tag": -0.5}
 
 
@@ -147,7 +156,7 @@ def main_text(page: str, weights: dict[str, float]) -> str:
     a, b = best_region([x.words * weights[f"word {x.kind}"] if isinstance(x, Piece) else weights.get(f"tag {x[0]}", weights["tag"]) for x in pieces])
     blocks: dict[int, list[str]] = {}
     for x in pieces[a:b]:
-        if isinstance(x, Piece) and x.kind not in ("outside", "beyond"):
+        if isinstance(x, Piece) and x.kind != "outside":
             blocks.setdefault(x.block, []).append(x.text)
     lines = (" ".join("".join(parts).split()) for parts in blocks.values())
     return "\n".join(line for line in lines if line)

@@ -199,6 +199,22 @@ def test_html_extraction_leaves_boilerplate(spark):
     assert html_extract.main_text(page, weights) == "Title & x\nSome text long enough to be read <b> by all\none\ntwo"
 
 
+def test_html_extraction_of_text_outside_article_elements(spark):
+    weights = html_extract.learned_weights(table(spark, SF, "pages"))
+    prose = "<h1>Title of the page</h1><p>The main text of this page stands here and is long enough to be read by all.</p><p>A second paragraph of the main text follows the first one.</p>"
+    want = "Title of the page\nThe main text of this page stands here and is long enough to be read by all.\nA second paragraph of the main text follows the first one."
+    menu, foot = "<body><nav><a href=/>home</a></nav>", "<footer>foot</footer>"
+    teasers = "<aside><article><h2><a href=/1>One teaser</a></h2><p>Short</p></article><article><h2><a href=/2>Two</a></h2></article></aside>"
+    comments = "<section class='comments'><article><p>A reader wrote a comment that is rather long.</p></article><article>Great post</article></section>"
+    for cards in (teasers, comments):
+        assert html_extract.main_text(f"{menu}<main>{prose}{cards}</main>{foot}", weights) == want
+        assert html_extract.main_text(f"{menu}<main>{cards}{prose}</main>{foot}", weights) == want
+    plain = "<article><p>A card in the main text, with words of its own.</p></article>"
+    assert html_extract.main_text(f"{menu}<main>{prose}{plain}</main>{foot}", weights) == f"{want}\nA card in the main text, with words of its own."
+    before = prose.replace("</h1>", "</h1><article>")
+    assert html_extract.main_text(f"{menu}<main>{before}</article></main>{foot}", weights) == want
+
+
 def test_near_dedup_against_all_pairs(spark):
     rows = near_dedup.op9_near_dedup(spark, SF).collect()
     docs = table(spark, SF, "documents")
