@@ -37,10 +37,23 @@ def seeds_of(phrase: str, edits: int) -> list[tuple[int, str]]:
     return [(a, phrase[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+def occurrences(phrase: str, edits: int, first: regex.Pattern, best: regex.Pattern, text: str, a: int, b: int) -> Iterator[regex.Match]:
+    """All occurrences in text[a:b] without overlaps, with the fewest edits of each: the best one near the first, then what is
+    left on both sides of it."""
+    todo = [(a, b)]
+    while todo:
+        a, b = todo.pop()
+        if m := first.search(text, a, b):
+            a = m.start()
+            m = best.search(text, a, min(b, max(m.end(), a + len(phrase) + 3 * edits)))
+            yield m
+            todo += [(m.end(), b), (a, m.start())]
+
+
 class Scanner:
     def __init__(self, base: dict[str, str] = BASE_PHRASES, notices: list[tuple[str, str, int]] = NOTICES):
         self.base = [(f" {p} ", label) for p, label in base.items()]
-        self.notices = [(p, label, k, seeds_of(p, k), regex.compile(f"(?b)(?:{regex.escape(p)}){{e<={k}}}")) for p, label, k in notices]
+        self.notices = [(p, label, k, seeds_of(p, k), *(regex.compile(f"{flag}(?:{regex.escape(p)}){{e<={k}}}") for flag in ("", "(?b)"))) for p, label, k in notices]
         self.any_seed = re.compile("|".join(sorted({re.escape(s) for n in self.notices for _, s in n[3]}, key=len, reverse=True)))
 
     def exact(self, text: str) -> list[tuple[int, str]]:
@@ -56,7 +69,7 @@ class Scanner:
     def fuzzy(self, text: str) -> list[tuple[int, int, str, int]]:
         """(start, end, label, edits) of the verified occurrences of each notice, without overlaps of one notice."""
         found = []
-        for phrase, label, k, seeds, pattern in self.notices:
+        for phrase, label, k, seeds, first, best in self.notices:
             windows: list[list[int]] = []
             for offset, seed in seeds:
                 at = text.find(seed)
@@ -69,10 +82,7 @@ class Scanner:
                     joined[-1][1] = max(b, joined[-1][1])
                 else:
                     joined.append([a, b])
-            for a, b in joined:
-                while m := pattern.search(text, a, b):
-                    found.append((m.start(), m.end(), label, sum(m.fuzzy_counts)))
-                    a = max(m.end(), a + 1)
+            found += [(m.start(), m.end(), label, sum(m.fuzzy_counts)) for a, b in joined for m in occurrences(phrase, k, first, best, text, a, b)]
         return found
 
     def scan(self, raw: bytes) -> dict:

@@ -110,6 +110,17 @@ def test_license_scan_finds_edits():
     assert got["labels"] == "mit" and got["base_labels"] == "" and 0.8 < got["score"] < 1 and got["notices"][0]["first_word"] == 2
 
 
+def test_license_scan_finds_adjacent_notices():
+    parts = [("released undr the mit licence", 2), ("released under the mit license", 0), ("released under the mit licence", 1), ("relesed undr the mit licence", 3)]
+    for order in itertools.product(parts, repeat=3):
+        text, want = " ".join(p for p, _ in order), []
+        for p, edits in order:
+            at = want[-1][1] if want else 0
+            want.append((at, at + len(p.split()), edits))
+        got = license_scan.Scanner().scan(text.encode())["notices"]
+        assert [(x["first_word"], x["end_word"], x["edits"]) for x in got] == want and {x["label"] for x in got} == {"mit"}, text
+
+
 def test_bpe_against_the_library(spark):
     from tokenizers import Tokenizer
 
