@@ -10,7 +10,9 @@ Scale: one pass over the documents, no shuffle; the notices are a fixed, small t
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import regex
@@ -20,13 +22,16 @@ from caremill.llm.common import map_arrow, table, texts_of, words_of
 
 #: The phrases whose exact places are counted, with their labels.
 BASE_PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
-#: Notices that are also found with edits: phrase, label, edits in characters.
+#: Notices that are also found with edits: phrase, label, edits in characters. Base phrases stand between spaces, as whole words.
 NOTICES = [
     ("released under the mit license", "mit", 3), ("licensed under the apache license version 2 0", "apache-2", 4), ("licensed under cc by nc 4 0", "cc-by-nc", 2),
     ("licensed under the gnu general public license", "gpl", 4), ("gnu lesser general public license", "lgpl", 3), ("gnu affero general public license", "agpl", 3),
     ("mozilla public license version 2", "mpl-2", 3), ("creative commons attribution", "cc-by", 2), ("redistribution and use in source and binary forms", "bsd", 4),
     ("permission is hereby granted free of charge to any person obtaining a copy", "mit", 6), ("released into the public domain", "public-domain", 3),
+    (" under the mit license ", "mit", 2), (" apache license version 2 ", "apache-2", 2), (" cc by nc ", "cc-by-nc", 1),
 ]
+#: Words within the edits of a base phrase that are no misspelling of it: other licences, versions, plain words.
+OTHERS = {" under the mit license ": (" mpl ", " nist "), " apache license version 2 ": (" version 1 ",), " cc by nc ": (" by nd ", " by no ")}
 
 SCAN = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, notices array<struct<label:string,first_word:int,end_word:int,edits:int>>"
 
@@ -39,7 +44,7 @@ def seeds_of(phrase: str, edits: int) -> list[tuple[int, str]]:
 
 def occurrences(phrase: str, edits: int, first: regex.Pattern, best: regex.Pattern, text: str, a: int, b: int) -> Iterator[regex.Match]:
     """All occurrences in text[a:b] without overlaps, with the fewest edits of each: the best one near the first, then what is
-    left on both sides of it."""
+    left on both sides of it. The space between two phrases that stand between spaces belongs to both."""
     todo = [(a, b)]
     while todo:
         a, b = todo.pop()
@@ -47,7 +52,7 @@ def occurrences(phrase: str, edits: int, first: regex.Pattern, best: regex.Patte
             a = m.start()
             m = best.search(text, a, min(b, max(m.end(), a + len(phrase) + 3 * edits)))
             yield m
-            todo += [(m.end(), b), (a, m.start())]
+            todo += [(m.end() - phrase.endswith(" "), b), (a, m.start() + phrase.startswith(" "))]
 
 
 class Scanner:
@@ -82,7 +87,12 @@ class Scanner:
                     joined[-1][1] = max(b, joined[-1][1])
                 else:
                     joined.append([a, b])
-            found += [(m.start(), m.end(), label, sum(m.fuzzy_counts)) for a, b in joined for m in occurrences(phrase, k, first, best, text, a, b)]
+            places = [(m.start(), m.end(), label, sum(m.fuzzy_counts)) for a, b in joined for m in occurrences(phrase, k, first, best, text, a, b) if not any(x in m[0] for x in OTHERS.get(phrase, ()))]
+            if phrase[0] == " " and places:  # a base phrase in a longer notice of its label is that notice
+                longer = sorted((a, b) for a, b, other, _ in found if other == label)
+                ends = [0, *accumulate((b for _, b in longer), max)]
+                places = [x for x in places if ends[bisect_left(longer, (x[1] - 1,))] <= x[0] + 1]
+            found += places
         return found
 
     def scan(self, raw: bytes) -> dict:

@@ -110,6 +110,17 @@ def test_license_scan_finds_edits():
     assert got["labels"] == "mit" and got["base_labels"] == "" and 0.8 < got["score"] < 1 and got["notices"][0]["first_word"] == 2
 
 
+def test_license_scan_finds_misspelt_base_phrases():
+    scan = license_scan.Scanner().scan
+    for text, label in (("distributed under the mit licence", "mit"), ("shared undr the mit licence", "mit"), ("shared under the mti license", "mit"), ("available under the apache licence version 2 0", "apache-2"), ("terms of cc by mc here", "cc-by-nc")):
+        got = scan(text.encode())
+        assert (got["labels"], got["n_base"], len(got["notices"])) == (label, 0, 1) and 0.8 < got["score"] < 1, text
+    for text in ("available under the mpl license", "the apache license version 1 1", "shared as cc by nd 4 0", "under the old tree"):
+        assert scan(text.encode())["labels"] == "", text
+    assert [(x["first_word"], x["end_word"], x["edits"]) for x in scan(b"shared as cc by nc cc by nc")["notices"]] == [(2, 5, 0), (5, 8, 0)]
+    assert len(scan(b"released under the mit license")["notices"]) == 1
+
+
 def test_license_scan_finds_adjacent_notices():
     parts = [("released undr the mit licence", 2), ("released under the mit license", 0), ("released under the mit licence", 1), ("relesed undr the mit licence", 3)]
     for order in itertools.product(parts, repeat=3):
