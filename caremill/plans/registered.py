@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -910,6 +911,74 @@ def _(spark, patient):
     return quality.validate({"person": entities.person(patient), "death": entities.death(patient)})
 
 
+def _all_tables_sql() -> dict[str, str]:
+    """SELECT of each target and era table; tables made from others read them as all_<table>."""
+    plain = lambda name: QUERIES[name][1]
+    out = {"person": plain("person"), "death": plain("death"), "visit_occurrence": plain("visit"), "cdm_source": plain("cdm_source"), "concept": plain("build_concepts")}
+    for domain, name in schemas.DOMAIN_TABLE.items():
+        routed = " UNION ALL ".join(f"({events_of(t)} WHERE _domain_id = {quoted(domain)})" for t in CODED)
+        out[name] = with_inputs(_numbered(name, rows_of(name, f"({routed}) AS e")), STEPS)
+    spans = " UNION ALL ".join(f"SELECT person_id, least({', '.join(d)}) AS s, greatest({', '.join(d)}) AS e FROM all_{t}" for t, d in schemas.PERIOD_DATES.items())
+    out["observation_period"] = f"SELECT person_id AS observation_period_id, person_id, min(s) AS observation_period_start_date, max(e) AS observation_period_end_date, 32817 AS period_type_concept_id FROM ({spans}) AS s GROUP BY person_id HAVING min(s) IS NOT NULL"
+    for name, eras, concept in (("condition_era", _CONDITION_ERAS, "condition_concept_id"), ("drug_era", _DRUG_ERAS, "drug_concept_id")):
+        read = eras.replace("FROM conditions", "FROM all_condition_occurrence").replace("FROM exposures", "FROM all_drug_exposure")
+        out[name] = with_inputs(f"SELECT row_number() OVER (ORDER BY person_id, {concept}, {name}_start_date) AS {name}_id, * FROM ({read}) AS r", STEPS)
+    return out
+
+
+def _all_checks_sql() -> str:
+    tables, parts = _all_tables_sql(), []
+    for name in tables:
+        schema, source = (schemas.TARGET | schemas.ERA)[name], f"all_{name}"
+        nulls = " UNION ALL ".join(f"SELECT {quoted(c)} AS c, count(*) FILTER ({c} IS NULL) AS n FROM {source}" for c in schemas.required(schema))
+        parts.append(issue("required", name, "NULL_REQUIRED_COLUMN", "c", "n", "NULL", f"({nulls}) AS k WHERE n > 0"))
+        if key := schemas.primary_key(schema):
+            parts.append(issue("primary_key", name, "DUPLICATE_PRIMARY_KEY", quoted(key), "n", "NULL", f"(SELECT sum(r - 1) AS n FROM (SELECT count(*) AS r FROM {source} GROUP BY {key})) AS k WHERE n > 0"))
+        names = [f.name for f in schema]
+        if "person_id" in names and name != "person":
+            gone = f"(SELECT DISTINCT person_id FROM {source} AS x WHERE NOT EXISTS (SELECT 1 FROM all_person AS y WHERE y.person_id = x.person_id)) AS b HAVING count(*) > 0"
+            parts.append(issue("person_refs", name, "INVALID_PERSON_ID", "'person_id'", "count(*)", "list_transform(list_slice(list(person_id ORDER BY person_id), 1, 5), lambda x: CAST(x AS VARCHAR))", gone))
+        main = schemas.MAIN_CONCEPT.get(name)
+        if main:
+            parts.append(issue("event_zero", name, "ZERO_EVENT_CONCEPT", quoted(main), "n", "NULL", f"(SELECT count(*) FILTER (coalesce({main}, 0) = 0) AS n FROM {source}) AS k WHERE n > 0"))
+        columns = [c for c in names if c.endswith("_concept_id")]
+        if not columns or name == "concept":
+            continue
+        listed = "(SELECT DISTINCT c, id FROM (" + " UNION ALL ".join(f"SELECT {quoted(c)} AS c, {c} AS id FROM {source}" for c in columns) + ") WHERE id <> 0)"
+        known = "id IN (SELECT concept_id FROM all_concept WHERE {w})".format
+        tests = [("concepts_exist", "MISSING_CONCEPT", "id NOT IN (SELECT concept_id FROM all_concept)"), ("standard", "NON_STANDARD_CONCEPT", "c NOT LIKE '%source_concept_id' AND " + known(w="coalesce(standard_concept, '') <> 'S'"))]
+        if main:
+            tests.append(("event_domain", "DOMAIN_MISMATCH", f"c = {quoted(main)} AND " + known(w=f"coalesce(domain_id, '') <> {quoted(quality.SUPPORTED[name])}")))
+        if name in quality.ERA_CONCEPTS:
+            column, attribute, wanted = quality.ERA_CONCEPTS[name]
+            tests.append(("era_concepts", "ERA_CONCEPT_MISMATCH", f"c = {quoted(column)} AND " + known(w=f"coalesce({attribute}, '') <> {quoted(wanted)}")))
+        parts += [issue(check, name, kind, "c", "n", "e", _PER.format(s=listed, w=w) + " AS p") for check, kind, w in tests]
+    parts.append(issue("single_row", "cdm_source", "ROW_COUNT", "NULL", "n", "NULL", "(SELECT count(*) AS n FROM all_cdm_source) AS k WHERE n <> 1"))
+    out = f"(SELECT source_table, exclusion_reason, count(*) AS rows FROM ({_LEFT_OUT}) AS x8 GROUP BY source_table, exclusion_reason)"
+    parts.append(f"SELECT 'coverage', coalesce(a.source_table, b.source_table), 'COVERAGE_EXCLUDED_MISMATCH', coalesce(outcome, exclusion_reason), CAST(coalesce(said, 0) - coalesce(b.rows, 0) AS BIGINT), NULL, false FROM (SELECT source_table, outcome, sum(rows) AS said FROM cover WHERE outcome NOT IN ({_TARGETS}) GROUP BY source_table, outcome) AS a FULL JOIN {out} AS b ON a.source_table = b.source_table AND a.outcome = b.exclusion_reason WHERE said IS DISTINCT FROM b.rows")
+    counts = " UNION ALL ".join(f"SELECT {quoted(t)} AS t, count(*) AS n FROM all_{t}" for t in schemas.DOMAIN_TABLE.values())
+    parts.append(f"SELECT 'coverage', outcome, 'COVERAGE_TABLE_MISMATCH', NULL, CAST(said - n AS BIGINT), NULL, false FROM (SELECT outcome, sum(rows) AS said FROM cover GROUP BY outcome) AS a JOIN ({counts}) AS b ON t = outcome WHERE said <> n")
+    return f"SELECT * FROM (WITH {', '.join(f'all_{n} AS MATERIALIZED ({q})' for n, q in tables.items())} {' UNION ALL '.join(parts)}) AS v"
+
+
+@query("validate_all", _all_checks_sql(), "patient", "encounter", "terminology", "pairs", *_VOCABULARY_INPUTS)
+def _(spark, patient, encounter, terminology, pairs, *parts):
+    """All checks over all target and era tables, with coverage and left-out rows."""
+    sources, codes, units = _lookup(spark, *parts)
+    codes, units = settled(codes), settled(units)
+    applied = {t: vocabulary.apply_lookup(df, codes, t) for t, df in sources.items()}
+    tables = {"person": entities.person(patient), "death": entities.death(patient), "visit_occurrence": entities.visit(keys.add_visit_ids(encounter, keys.visit_map(encounter)))}
+    tables |= {n: keys.order_table(df, n) for n, df in vocabulary.route_by_domain({t: good for t, (good, _) in applied.items()}, _adapters(units)).items()}
+    details = patient.select(F.col("_source_id").alias("network_name"), F.concat("month_year_death", F.lit("01")).alias("date_created"))
+    tables["cdm_source"] = entities.cdm_source(details, patient.select(F.col("race").alias("cohort_name")), "2024-05-01", "v1")
+    tables["concept"] = vocabulary.build_concepts(parts[-2], readers.load_terminology([terminology]))
+    tables = {n: settled(df) for n, df in tables.items()}
+    tables["observation_period"] = settled(intervals.observation_period(tables))
+    tables |= {n: settled(df) for n, df in intervals.build_eras(tables["condition_occurrence"], tables["drug_exposure"], pairs).items()}
+    cover = coverage.coverage(settled(reduce(DataFrame.unionByName, (coverage.record_coverage(df, t, codes) for t, df in sources.items()))))
+    return quality.validate(tables, settled(cover), _excluded(sources, codes))
+
+
 INPUTS["results"] = "SELECT CASE p_size % 4 WHEN 0 THEN 'Table_' ELSE 'field_' END || p_brand || '.' || CAST(p_partkey AS STRING) AS check_id, CASE WHEN p_size % 3 = 0 THEN 1 ELSE 0 END AS failed, CASE WHEN p_size % 11 = 0 THEN 1 ELSE 0 END AS is_error, CASE WHEN p_size % 7 = 0 THEN 1 ELSE 0 END AS not_applicable FROM part"
 _ACCEPTED = [("table_*", "tables may"), ("field_brand#1?.*", "first brands may"), ("field_brand#11.*", "eleven may"), ("nothing[*", "never"), ("*.7", "sevens may")]
 _LIKE = [(r"table\_%", "table_*", "tables may"), (r"field\_brand#1_.%", "field_brand#1?.*", "first brands may"), (r"field\_brand#11.%", "field_brand#11.*", "eleven may"), ("nothing[%", "nothing[*", "never"), ("%.7", "*.7", "sevens may")]

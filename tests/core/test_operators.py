@@ -137,5 +137,17 @@ def test_query_against_its_sql(spark, name):
     assert text(map(tuple, got.select(*want.columns).collect())) == text(want.fetchall())
 
 
+@pytest.mark.skipif(not Path(SF).exists(), reason="needs the driver's tables")
+def test_validation_of_all_tables_against_its_sql(spark):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    want = sorted(map(str, con.sql(plans.oracle_sql()["validate_all"]).fetchall()))
+    rows = plans.queries()["validate_all"](spark, SF).collect()
+    assert sorted(str(tuple(r)) for r in rows) == want
+    assert not {"tables", "schema"} & {r.check for r in rows} and not any(r.skipped for r in rows)
+    assert {"required", "primary_key", "concepts_exist", "standard", "era_concepts"} <= {r.check for r in rows} and len({r.table for r in rows}) > 9
+
+
 def test_every_query_has_sql():
     assert set(plans.queries()) == set(plans.oracle_sql())
