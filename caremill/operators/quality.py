@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,8 +83,10 @@ def concept_ids(df: DataFrame, among: list[str] | None = None) -> DataFrame:
 
 
 def _per_column(bad: DataFrame, check: str, table: str, kind: str) -> DataFrame:
-    """Counts per column with the smallest examples; at most one row per concept column meets here."""
-    n = bad.groupBy("column").agg(F.count("*").alias("n"), F.slice(F.array_sort(F.collect_list("concept_id")), 1, EXAMPLES).alias("e"))
+    """Counts per column with the smallest examples; only those EXAMPLES ids of a column are ever collected."""
+    nth = F.row_number().over(Window.partitionBy("column").orderBy("concept_id"))
+    least = bad.withColumn("_n", nth).filter(F.col("_n") <= EXAMPLES).groupBy("column").agg(F.collect_list("concept_id").alias("e"))
+    n = bad.groupBy("column").agg(F.count("*").alias("n")).join(F.broadcast(least), "column")
     return _issues(n, check, table, kind, F.col("column"), F.col("n"), _some(F.col("e")))
 
 

@@ -137,6 +137,13 @@ def test_query_against_its_sql(spark, name):
     assert text(map(tuple, got.select(*want.columns).collect())) == text(want.fetchall())
 
 
+def test_examples_of_a_column_are_bounded_before_they_are_collected(spark):
+    used = spark.range(1, 2001).selectExpr("id % 700 as condition_concept_id", "id * 3 as condition_source_concept_id")
+    found = quality.check_concepts_exist(used, "condition_occurrence", spark.createDataFrame([(1,), (3,), (4,)], "concept_id long"))
+    assert {r["column"]: (r.n_bad, r.examples) for r in found.collect()} == {"condition_concept_id": (696, ["2", "5", "6", "7", "8"]), "condition_source_concept_id": (1999, ["6", "9", "12", "15", "18"])}
+    assert "WindowGroupLimit" in found._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.skipif(not Path(SF).exists(), reason="needs the driver's tables")
 def test_validation_of_all_tables_against_its_sql(spark):
     con = duckdb.connect()
