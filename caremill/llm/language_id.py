@@ -22,8 +22,8 @@ from caremill.llm.common import groups_of, map_arrow, table, texts_of
 
 #: Bytes over which the network recurs; units in each direction.
 PIECE, UNITS = 64, 8
-#: Bounds of the training sample: documents for each language, pieces of each, languages (the most frequent ones).
-DOCS, PIECES, LANGUAGES = 600, 4, 64
+#: Bounds of the training sample: documents for each language, pieces of each.
+DOCS, PIECES = 600, 4
 #: Training: rounds over the sample, pieces in a step, step size.
 EPOCHS, STEP_PIECES, RATE = 12, 128, 0.02
 #: Pieces that are labelled together, bytes of text that are cut together.
@@ -144,9 +144,9 @@ def held_out(column: str = "doc_id"):
 
 
 def train(docs: DataFrame, most: int = DOCS, pieces: int = PIECES, epochs: int = EPOCHS) -> Network | None:
-    """A network trained on a bounded sample of labelled documents that aren't held out; None without any."""
+    """A network trained on a bounded sample of each language's labelled documents that aren't held out; None without any."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}") & ~held_out()).select("lang", F.col("text").cast("binary").alias("b"), F.xxhash64("doc_id", "text").alias("h"))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    counts = known.groupBy("lang").count().orderBy("lang").collect()
     if not counts:
         return None
     share = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for r in counts for x in (r[0], min(1.0, 1.5 * most / r[1])))), F.col("lang")), F.lit(0.0))

@@ -74,6 +74,11 @@ def test_language_id_on_held_out_documents(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 for r in rows)
 
 
+def test_language_id_learns_every_language(spark):
+    docs = spark.createDataFrame([(i * 80 + k, f"words of language {k}", f"l{k:02}") for i in range(12) for k in range(80)], "doc_id long, text string, lang string")
+    assert language_id.train(docs, most=3, epochs=1).labels == [f"l{k:02}" for k in range(80)]
+
+
 def test_language_id_gradients():
     net = language_id.Network(["a", "b", "c"])
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
