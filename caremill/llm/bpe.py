@@ -4,8 +4,9 @@ Frequent words are compiled into a minimal acyclic transducer: a shared-suffix a
 that add up to a word's place in a table of ids. It is stored as flat arrays in the shared folder and
 memory-mapped by the workers. Words that it lacks are merged exactly, pair by pair.
 
-Scale: words are counted over all documents (combined in the tasks, then by a shuffle on the word); only the
-WORDS most frequent ones, a fixed number, reach the driver. Encoding reads documents once and shuffles nothing.
+Scale: words are counted over all documents (combined in the tasks, then by a shuffle on the word). A histogram of
+the counts, of at most 1024 bars, says from which count on at most WORDS words are left; these go to one task,
+which compiles them. The driver gets the histogram. Encoding reads documents once and shuffles nothing.
 """
 
 from __future__ import annotations
@@ -23,17 +24,17 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caremill.llm.common import groups_of, map_arrow, mounted, put_file, sha256, shared_dir, table
+from caremill.llm.common import dropped, groups_of, map_arrow, mapped_array, put_file, settled, sha256, shared_dir, table
 
-#: Words in the lexicon: the most frequent ones.
-WORDS = 250_000
+#: Most words in the lexicon: the most frequent ones. Bars of the histogram of counts for each doubling of the count.
+WORDS, BARS = 250_000, 16
 #: Longest word, in bytes, that the lexicon takes.
 WORD_BYTES = 64
-#: Words that a worker remembers between batches.
+#: Stretches without white space that a worker remembers between batches.
 REMEMBERED = 200_000
 #: Characters of text whose words are looked up together.
 CHUNK_CHARS = 4 << 20
-#: Distinct words that are counted together before they are handed on.
+#: Distinct stretches that are counted together before their words are handed on.
 COUNTED = 300_000
 
 #: Fixed value: the word pattern of the vocabulary file, with white space as Unicode defines it.
@@ -120,18 +121,23 @@ class Merges:
 
 
 class Words:
-    """Cuts a text into special tokens and words."""
+    """Cuts a text into special tokens and stretches without white space, and those into words: no word holds white space."""
 
     def __init__(self, special: dict[str, int]):
         self.special = special
         self.find = regex.compile(PATTERN).findall
+        self.space = regex.compile(r"\p{White_Space}+")
         self.cut = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(special, key=len, reverse=True)) + ")") if special else None
 
     def plain(self, text: str) -> list[str]:
-        return self.find(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+        """Stretches. str.split() also cuts at U+001C to U+001F, which are no white space here."""
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+            return [x for x in self.space.split(text) if x]
+        return text.split()
 
     def parts(self, text: str) -> Iterator[tuple[int | None, list[str]]]:
-        """(special id, no words) or (None, words), in order."""
+        """(special id, no stretches) or (None, stretches), in order."""
         if self.cut and any(s in text for s in self.special):
             for part in self.cut.split(text):
                 yield (self.special[part], []) if part in self.special else (None, self.plain(part))
@@ -223,7 +229,7 @@ class Lexicon:
 
     @classmethod
     def mapped(cls, folder: str) -> Lexicon:
-        return cls({name: np.load(f"{mounted(folder)}/{name}.npy", mmap_mode="r").view(np.ndarray) for name in cls.ARRAYS})
+        return cls({name: mapped_array(f"{folder}/{name}.npy") for name in cls.ARRAYS})
 
 
 class Codec:
@@ -234,32 +240,36 @@ class Codec:
         self.words = Words(self.merges.special)
         self.seen: dict[str, list[int]] = {}
 
-    def learn(self, words: set[str]) -> None:
-        """Ids of words: from the transducer, else by merging."""
+    def learn(self, stretches: set[str]) -> None:
+        """Ids of stretches: of their words from the transducer, else by merging."""
         if len(self.seen) > REMEMBERED:
             self.seen.clear()
-        new = [w for w in words if w not in self.seen]  # all of them, if it has just been emptied
-        if not new:
+        new = [x for x in stretches if x not in self.seen]  # all of them, if it has just been emptied
+        cut = [self.words.find(x) for x in new]
+        words = list({w for one in cut for w in one})
+        if not words:
+            self.seen.update((x, []) for x in new)
             return
-        raw = [w.encode() for w in new]
-        places = self.lexicon.places(raw)
-        starts, ids = self.lexicon.offsets, self.lexicon.ids
-        for word, data, i in zip(new, raw, places.tolist(), strict=True):
-            self.seen[word] = ids[starts[i] : starts[i + 1]].tolist() if i >= 0 else self.merges.merge(data)
+        raw = [w.encode() for w in words]
+        starts, ids, found = self.lexicon.offsets, self.lexicon.ids, {}
+        for word, data, i in zip(words, raw, self.lexicon.places(raw).tolist(), strict=True):
+            found[word] = ids[starts[i] : starts[i + 1]].tolist() if i >= 0 else self.merges.merge(data)
+        for x, one in zip(new, cut, strict=True):
+            self.seen[x] = found[one[0]] if len(one) == 1 else [i for w in one for i in found[w]]
 
     def encode_all(self, texts: list[str | None]) -> Iterator[list[int]]:
         """Ids of each text; the words of all of them are looked up together."""
         for a, b in groups_of([len(t or "") for t in texts], CHUNK_CHARS):
             cut = [list(self.words.parts(t or "")) for t in texts[a:b]]
-            self.learn({w for parts in cut for _, words in parts for w in words})
+            self.learn({x for parts in cut for _, stretches in parts for x in stretches})
             seen = self.seen
             for parts in cut:
                 out: list[int] = []
-                for special, words in parts:
+                for special, stretches in parts:
                     if special is not None:
                         out.append(special)
-                    for w in words:
-                        out += seen[w]
+                    for x in stretches:
+                        out += seen[x]
                 yield out
 
     def encode(self, text: str) -> list[int]:
@@ -276,11 +286,18 @@ def count_words(docs: DataFrame, special: dict[str, int]) -> DataFrame:
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut, held = Words(special), Counter()
-        pack = lambda: pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], ["word", "n"])
+
+        def pack() -> pa.RecordBatch:
+            words: dict[str, int] = {}
+            for x, n in held.items():
+                for w in cut.find(x):
+                    words[w] = words.get(w, 0) + n
+            return pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.string()), pa.array(words.values(), pa.int64())], ["word", "n"])
+
         for batch in parts:
             for text in batch.column("text").to_pylist():
-                for _, words in cut.parts(text or ""):
-                    held.update(words)
+                for _, stretches in cut.parts(text or ""):
+                    held.update(stretches)
                 if len(held) >= COUNTED:
                     yield pack()
                     held.clear()
@@ -290,16 +307,43 @@ def count_words(docs: DataFrame, special: dict[str, int]) -> DataFrame:
     return map_arrow(docs.select("text"), run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The words that are as frequent as a bar of the histogram of counts says: as many bars, from the top, as hold at most ``most`` words."""
+    bars = counts.withColumn("_bar", F.floor(F.log2("n") * BARS).cast("int"))
+    least, total = 64 * BARS, 0
+    for bar, words in sorted(bars.groupBy("_bar").count().collect(), reverse=True):
+        total += words
+        if total > most:
+            break
+        least = bar
+    return bars.filter(F.col("_bar") >= least).select("word")
+
+
 def build_lexicon(docs: DataFrame, path: str, most: int = WORDS) -> str:
-    """Compile the most frequent words; return the folder of the transducer."""
-    merges = Merges(path)
-    top = count_words(docs, merges.special).filter(F.octet_length("word") <= WORD_BYTES).orderBy(F.desc("n"), "word").limit(most).select("word").collect()
-    words = sorted(r[0].encode() for r in top)
+    """Compile the most frequent words, at most that many; return the folder of the transducer.
+
+    Counts of one bar stand or fall together. Without words the transducer is empty.
+    """
+    counts = settled(count_words(docs, Merges(path).special).filter(F.octet_length("word") <= WORD_BYTES))
     folder = shared_dir(docs.sparkSession)
-    Lexicon.compiled(words, [merges.merge(w) for w in words]).save(folder)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        merges, words = Merges(path), [w.encode() for batch in parts for w in batch.column("word").to_pylist()]
+        lexicon = Lexicon.compiled(words, [merges.merge(w) for w in words])
+        lexicon.save(folder)
+        yield pa.RecordBatch.from_arrays([pa.array([len(words)], pa.int64())], ["words"])
+
+    one = frequent(counts, most).repartition(1).sortWithinPartitions("word")
+    if not map_arrow(one, run, "words long").collect():  # no task had a row
+        Lexicon.compiled([], []).save(folder)
+    dropped(counts)
     return folder
 
 
+def id_type(rows: DataFrame) -> str:
+    return rows.schema["doc_id"].dataType.simpleString()
+
+
 def encode(docs: DataFrame, path: str, folder: str) -> DataFrame:
     """doc_id, ids. Null and empty texts have no ids; strings of special tokens in a text are these tokens."""
 
@@ -309,7 +353,7 @@ def encode(docs: DataFrame, path: str, folder: str) -> DataFrame:
             ids = list(codec.encode_all(batch.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, ids array<int>")
+    return map_arrow(docs.select("doc_id", "text"), run, f"doc_id {id_type(docs)}, ids array<int>")
 
 
 def decode(rows: DataFrame, path: str, folder: str) -> DataFrame:
@@ -320,7 +364,7 @@ def decode(rows: DataFrame, path: str, folder: str) -> DataFrame:
         for batch in parts:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([codec.decode(x or []) for x in batch.column("ids").to_pylist()], pa.string())], ["doc_id", "text"])
 
-    return map_arrow(rows.select("doc_id", "ids"), run, "doc_id long, text string")
+    return map_arrow(rows.select("doc_id", "ids"), run, f"doc_id {id_type(rows)}, text string")
 
 
 def coded(docs: DataFrame, path: str, folder: str) -> DataFrame:
@@ -340,7 +384,7 @@ def coded(docs: DataFrame, path: str, folder: str) -> DataFrame:
                 of_text.append(sha256(codec.decode(ids).encode()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_arrow(docs.select("doc_id", "text"), run, f"doc_id {id_type(docs)}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

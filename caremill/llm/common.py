@@ -5,14 +5,17 @@ from __future__ import annotations
 import gc
 import hashlib
 import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 import xxhash
 import zstandard
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,12 +33,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The folder that stands in for the shared one in local sessions without a setting.
+LOCAL_DIRS: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder's path below the one that the cluster shares; a temporary one only where none is set."""
+    """A new folder's path below the one that the cluster names in spark.checkpoint.dir. Only a local session may leave it
+    unset; elsewhere that is an error, since executors would write to their own disks."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
-        top = f"file://{tempfile.mkdtemp(prefix='spark-checkpoint-')}"
-        spark.conf.set("spark.checkpoint.dir", top)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        if not LOCAL_DIRS:
+            LOCAL_DIRS.append(f"file://{tempfile.mkdtemp(prefix='spark-checkpoint-')}")
+        top = LOCAL_DIRS[0]
     return f"{top.rstrip('/')}/caremill-{uuid.uuid4().hex}"
 
 
@@ -138,22 +149,50 @@ def batches(parts: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.Rec
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def mounted(path: str) -> str:
-    """The local path of a shared folder's file. Memory-mapping needs a shared folder that is mounted on all machines."""
+def mounted(path: str) -> str | None:
+    """The local path of a shared folder's file; None where the folder is in a store that isn't mounted."""
     scheme, found, rest = path.partition(":")
-    if found and scheme != "file":
-        raise ValueError(f"{path}: memory-mapped files need spark.checkpoint.dir on a mounted file system (file:)")
-    return "/" + (rest if found else path).lstrip("/")
+    return "/" + (rest if found else path).lstrip("/") if not found or scheme == "file" else None
 
 
 def put_file(path: str, data: bytes) -> None:
-    """Write a file below a mounted shared folder, whole or not at all; repeated tries write the same."""
-    name = mounted(path)
-    os.makedirs(os.path.dirname(name), exist_ok=True)
+    """Write a file below the shared folder, whole or not at all; repeated tries write the same."""
+    if name := mounted(path):
+        os.makedirs(os.path.dirname(name), exist_ok=True)
+        part = f"{name}.{uuid.uuid4().hex}"
+        with open(part, "wb") as f:
+            f.write(data)
+        os.replace(part, name)
+        return
+    store, name = pafs.FileSystem.from_uri(path)
+    store.create_dir(os.path.dirname(name), recursive=True)
     part = f"{name}.{uuid.uuid4().hex}"
-    with open(part, "wb") as f:
+    with store.open_output_stream(part) as f:
         f.write(data)
-    os.replace(part, name)
+    store.move(part, name)
+
+
+def fetched(path: str) -> str | None:
+    """A local path of a shared file, None if there is none. A file of a store that isn't mounted is fetched once for each
+    executor, into the folder that Spark gives it."""
+    if name := mounted(path):
+        return name if os.path.exists(name) else None
+    mine = f"{SparkFiles.getRootDirectory()}/fetched-{hashlib.sha256(path.encode()).hexdigest()}"
+    if not os.path.exists(mine):
+        store, name = pafs.FileSystem.from_uri(path)
+        if store.get_file_info(name).type == pafs.FileType.NotFound:
+            return None
+        part = f"{mine}.{uuid.uuid4().hex}"
+        with store.open_input_stream(name) as f, open(part, "wb") as out:
+            shutil.copyfileobj(f, out, 1 << 20)
+        os.replace(part, mine)
+    return mine
+
+
+def mapped_array(path: str) -> np.ndarray | None:
+    """An array of the shared folder, memory-mapped."""
+    name = fetched(path)
+    return np.load(name, mmap_mode="r").view(np.ndarray) if name else None
 
 
 def keyed(docs: DataFrame) -> DataFrame:

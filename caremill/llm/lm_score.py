@@ -11,8 +11,7 @@ all shards; that only lays rows out and changes no count. The driver gets sums o
 
 from __future__ import annotations
 
-import os
-import uuid
+import io
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -22,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caremill.llm.common import LOWER_BYTES, WordHashes, groups_of, map_arrow, mix, mounted, settled, shared_dir, table, texts_of
+from caremill.llm.common import LOWER_BYTES, WordHashes, groups_of, map_arrow, mapped_array, mix, put_file, settled, shared_dir, table, texts_of
 
 #: Training tokens for each shard, tokens that a task counts together, bytes of text that are scored together.
 SHARD_TOKENS, TASK_TOKENS, CHUNK_BYTES = 6_000_000, 3_000_000, 6 << 20
@@ -107,13 +106,11 @@ def _summed(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _put(folder: str, **arrays: np.ndarray) -> None:
-    """Arrays as files, each whole or not at all; repeated tries write the same."""
-    os.makedirs(mounted(folder), exist_ok=True)
+    """Arrays as files."""
     for name, x in arrays.items():
-        part = f"{mounted(folder)}/.{name}-{uuid.uuid4().hex}"
-        with open(part, "wb") as f:
-            np.save(f, x)
-        os.replace(part, f"{mounted(folder)}/{name}.npy")
+        out = io.BytesIO()
+        np.save(out, x)
+        put_file(f"{folder}/{name}.npy", out.getbuffer())
 
 
 def _narrow(x: np.ndarray) -> np.ndarray:
@@ -229,9 +226,9 @@ class Model:
 
     @lru_cache(4096)  # noqa: B019
     def arrays(self, kind: str, shard: int) -> dict[str, np.ndarray] | None:
-        folder = f"{mounted(self.folder)}/{kind}-{shard}"
         names = ("keys", "low", "big", "count") if kind == "bigrams" else ("word", "context", "left", "count", "follows")
-        return {n: np.load(f"{folder}/{n}.npy", mmap_mode="r").view(np.ndarray) for n in names} if os.path.isdir(folder) else None
+        found = {n: mapped_array(f"{self.folder}/{kind}-{shard}/{n}.npy") for n in names}
+        return found if found[names[0]] is not None else None
 
     def words_at(self, hashes: np.ndarray) -> dict[str, np.ndarray]:
         """Counts of distinct sorted words."""
