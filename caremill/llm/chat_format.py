@@ -1,10 +1,13 @@
 """Chat formatting by incremental rendering of a template that is only called, never looked into.
 
-Successive prefixes of a conversation's turns are rendered and consecutive outputs compared: what the longer one
-adds is the new turn's span. A template that changes what stood before rewrites history and is reported, without
-spans. Two renderings that differ in one probe character show where the turn's own text lies in its span.
-
-Scale: one shuffle by conversation; a partition is sorted and its conversations are rendered one at a time.
+Successive prefixes of a conversation's turns are rendered, every one of them whole, and consecutive outputs compared:
+what the longer one adds is the new turn's span. A template that changes what stood before rewrites history and is
+reported with the first turn that does so, without spans. Two renderings that differ in one probe character show where
+the turn's own text lies in its span.
+
+Scale: one shuffle by conversation; a partition is sorted and its conversations are rendered one at a time. What a
+template writes grows with the square of a conversation's length, as nothing less shows each rewrite; the built-in
+template remembers its turns, so that a prefix costs it one join of strings.
 """
 
 from __future__ import annotations
@@ -15,16 +18,14 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from caremill.llm.common import map_arrow, table
 
 #: The template's control strings.
 TURN, SAYS, END = "### ", ": ", "</turn>\n"
-#: Turns whose prefixes are rendered whole; later turns are rendered after so many of their predecessors, and the whole is verified.
-WHOLE_PREFIXES = 64
-#: Rows that are formatted before a batch is handed on.
-ROWS_OUT = 256
+#: Conversations, and characters of them, that are formatted before a batch is handed on; characters of turns that the built-in template remembers.
+ROWS_OUT, CHARS_OUT, REMEMBERED = 256, 8 << 20, 64 << 20
 
 Turn = tuple[str, str]
 
@@ -38,9 +39,27 @@ def unescape(text: str) -> str:
     return re.sub(r"\\(.)", r"\1", text, flags=re.S)
 
 
+class _Marked(dict):
+    """The marked form of each turn met; forgets when it holds too much."""
+
+    held = 0
+
+    def __missing__(self, turn: Turn) -> str:
+        if self.held > REMEMBERED:
+            self.clear()
+            self.held = 0
+        role, text = turn
+        self[turn] = found = f"{TURN}{escape(role).replace(':', chr(92) + ':')}{SAYS}{escape(text)}{END}"
+        self.held += len(found)
+        return found
+
+
+_marked = _Marked()
+
+
 def turn_template(turns: list[Turn]) -> str:
     """The built-in template: marks turns, escapes control strings in roles and texts."""
-    return "".join(f"{TURN}{escape(role).replace(':', chr(92) + ':')}{SAYS}{escape(text)}{END}" for role, text in turns)
+    return "".join(map(_marked.__getitem__, turns))
 
 
 def read_back(formatted: str) -> list[Turn]:
@@ -79,39 +98,21 @@ def _text_place(render: Callable[[list[Turn]], str], turns: list[Turn]) -> tuple
     return (head, len(a) - head - 1) if len(a) == len(b) and a[head + 1 :] == b[head + 1 :] and a != b else None
 
 
-def _step(render, turns: list[Turn], before: str, learn: bool) -> tuple[str, tuple[int, int], tuple[int, int] | None] | None:
-    """(output, new span, text span) of the last turn."""
-    now = render(turns)
-    if (span := added(before, now)) is None:
-        return None
-    place = _text_place(render, turns) if learn else None
-    if learn and place is None:
-        return None
-    return now, span, (place[0], len(now) - place[1]) if place else None
-
-
-def spans_of(turns: list[Turn], render: Callable[[list[Turn]], str] = turn_template, learned: str = "assistant", whole: int = WHOLE_PREFIXES) -> dict:
+def spans_of(turns: list[Turn], render: Callable[[list[Turn]], str] = turn_template, learned: str = "assistant") -> dict:
     """formatted, turn_spans, loss_spans (texts of the learned role), rewrites_at (turn, or None)."""
-    out: dict = {"formatted": render(turns), "turn_spans": [], "loss_spans": [], "rewrites_at": None}
+    out: dict = {"turn_spans": [], "loss_spans": [], "rewrites_at": None}
     text = render([])
     for k, (role, _) in enumerate(turns):
-        first = max(0, k + 1 - whole)
-        before = text if first == 0 else render(turns[first:k])
-        step = _step(render, turns[first : k + 1], before, role == learned)
-        if step is None:
-            return out | {"turn_spans": [], "loss_spans": [], "rewrites_at": k}
-        now, (a, b), loss = step
-        shift = len(text) - len(before)
-        if first == 0:
-            text = now
-        else:  # a window of turns: what it adds is put to the end of what is there
-            text = text[: len(text) - (len(before) - a)] + now[a:]
-        out["turn_spans"].append((a + shift, b + shift))
-        if loss:
-            out["loss_spans"].append((loss[0] + shift, loss[1] + shift))
-    if text != out["formatted"]:  # the template looks further back than a window
-        return spans_of(turns, render, learned, len(turns))
-    return out
+        now = render(turns[: k + 1])
+        span = added(text, now)
+        place = _text_place(render, turns[: k + 1]) if span and role == learned else None
+        if span is None or role == learned and place is None:
+            return {"formatted": render(turns), "turn_spans": [], "loss_spans": [], "rewrites_at": k}
+        out["turn_spans"].append(span)
+        if place:
+            out["loss_spans"].append((place[0], len(now) - place[1]))
+        text = now
+    return {"formatted": text} | out
 
 
 def _conversations(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, list[Turn]]]:
@@ -140,26 +141,29 @@ def format_conversations(rows: DataFrame, render: Callable[[list[Turn]], str] =
     """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, found = [], []
+        ids, found, size = [], [], 0
 
         def flush() -> pa.RecordBatch:
             pairs = lambda name: pa.array([[{"start": a, "end": b} for a, b in f[name]] for f in found], SPANS)
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([f["n"] for f in found], pa.int64()), pa.array([f["formatted"] for f in found], pa.string()), pairs("turn_spans"), pairs("loss_spans"), pa.array([f["rewrites_at"] for f in found], pa.int32())], ["conv_id", "n_turns", "formatted", "turn_spans", "loss_spans", "rewrites_at"])
+            return pa.RecordBatch.from_arrays([pa.array(ids, id_type), pa.array([f["n"] for f in found], pa.int64()), pa.array([f["formatted"] for f in found], pa.string()), pairs("turn_spans"), pairs("loss_spans"), pa.array([f["rewrites_at"] for f in found], pa.int32())], ["conv_id", "n_turns", "formatted", "turn_spans", "loss_spans", "rewrites_at"])
 
         for conv, turns in _conversations(parts):
             ids.append(conv)
             found.append(spans_of(turns, render, learned) | {"n": len(turns)})
-            if len(ids) >= ROWS_OUT:
+            size += len(found[-1]["formatted"])
+            if len(ids) >= ROWS_OUT or size >= CHARS_OUT:
                 yield flush()
-                ids, found = [], []
+                ids, found, size = [], [], 0
         if ids:
             yield flush()
 
-    order = rows.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text").repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return map_arrow(order, run, FORMATTED.format("long"))
+    order = rows.select("conv_id", "turn", "role", "text").repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    kind = rows.schema["conv_id"].dataType
+    id_type = to_arrow_type(kind)
+    return map_arrow(order, run, FORMATTED.format(kind.simpleString()))
 
 
-DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+DIGEST = "conv_id {}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
 
 def digest(formatted: DataFrame) -> DataFrame:
@@ -176,7 +180,7 @@ def digest(formatted: DataFrame) -> DataFrame:
                     c.append(x)
             yield pa.RecordBatch.from_arrays([batch.column("conv_id"), *(pa.array(c) for c in columns)], ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
-    return map_arrow(formatted.select("conv_id", "formatted", "loss_spans"), run, DIGEST)
+    return map_arrow(formatted.select("conv_id", "formatted", "loss_spans"), run, DIGEST.format(formatted.schema["conv_id"].dataType.simpleString()))
 
 
 #: Fixed value: the text of the conversation that the contract adds.

@@ -333,6 +333,20 @@ def test_chat_templates():
         assert [render(many)[a:b] for a, b in got["loss_spans"]] == [t for r, t in many if r == "assistant"]
 
 
+def test_chat_rewrites_of_long_conversations(spark):
+    turns = [("assistant" if i % 2 else "user", f"t{i}") for i in range(300)]
+    late = lambda ts: "".join(f"[{r}]{'gone' if 100 <= len(ts) < 200 and i < 10 else t}" for i, (r, t) in enumerate(ts))
+    for n, want in ((99, None), (100, 99), (150, 99), (300, 99)):
+        got = chat_format.spans_of(turns[:n], late)
+        assert got["rewrites_at"] == want and got["formatted"] == late(turns[:n]) and len(got["turn_spans"]) == (n if want is None else 0)
+    once = lambda ts: "".join(f"[{r}]{t}" for r, t in ts).replace("t3", "T3" if len(ts) == 70 else "t3")
+    assert chat_format.spans_of(turns, once)["rewrites_at"] == 69  # undone by the next turn
+    rows = spark.createDataFrame([(c, i, r, t) for c in ("a", "b") for i, (r, t) in enumerate(turns[:80])], "conv_id string, turn int, role string, text string")
+    got = chat_format.digest(chat_format.format_conversations(rows)).collect()
+    loss = "".join(t for r, t in turns[:80] if r == "assistant")
+    assert sorted((r.conv_id, r.n_turns, r.loss_chars, r.loss_sha256) for r in got) == [(c, 80, len(loss), hashlib.sha256(loss.encode()).hexdigest()) for c in ("a", "b")]
+
+
 def test_pipeline_against_plain_python(spark):
     """Languages as the trained network says; copies, near copies, contamination and ids by brute force."""
     rows = {r.doc_id: r for r in corpus_pipeline.run(spark, SF).collect()}
