@@ -2,7 +2,8 @@
 
 A notice with at most k edits is cut into k + 1 seeds; an occurrence with at most k edits holds at least one seed
 unchanged (pigeonhole). Seeds are found exactly, the text around each is verified with the bounded-error
-matching of the regex library, and the match's place and edits are kept.
+matching of the regex library, and the match's place and edits are kept. Edits must leave the words that tell one
+license from another recognisable: numbers stand as they are, and a telling word has one edit at most and is no other word.
 
 Scale: one pass over the documents, no shuffle; the notices are a fixed, small table.
 """
@@ -26,12 +27,17 @@ BASE_PHRASES = {"under the mit license": "mit", "apache license version 2": "apa
 NOTICES = [
     ("released under the mit license", "mit", 3), ("licensed under the apache license version 2 0", "apache-2", 4), ("licensed under cc by nc 4 0", "cc-by-nc", 2),
     ("licensed under the gnu general public license", "gpl", 4), ("gnu lesser general public license", "lgpl", 3), ("gnu affero general public license", "agpl", 3),
-    ("mozilla public license version 2", "mpl-2", 3), ("creative commons attribution", "cc-by", 2), ("redistribution and use in source and binary forms", "bsd", 4),
+    ("mozilla public license version 2", "mpl-2", 3), ("creative commons attribution", "cc-by", 2), ("creative commons attribution noncommercial", "cc-by-nc", 3), ("creative commons attribution non commercial", "cc-by-nc", 3),
+    ("creative commons attribution sharealike", "cc-by-sa", 3), ("creative commons attribution share alike", "cc-by-sa", 3), ("creative commons attribution noderivatives", "cc-by-nd", 3), ("creative commons attribution noderivs", "cc-by-nd", 2),
+    ("permission is hereby granted free of charge to any person obtaining a copy of the font software", "ofl", 6), ("redistribution and use in source and binary forms", "bsd", 4),
     ("permission is hereby granted free of charge to any person obtaining a copy", "mit", 6), ("released into the public domain", "public-domain", 3),
     (" under the mit license ", "mit", 2), (" apache license version 2 ", "apache-2", 2), (" cc by nc ", "cc-by-nc", 1),
 ]
-#: Words within the edits of a base phrase that are no misspelling of it: other licences, versions, plain words.
-OTHERS = {" under the mit license ": (" mpl ", " nist "), " apache license version 2 ": (" version 1 ",), " cc by nc ": (" by nd ", " by no ")}
+#: Words of notices that tell licenses apart, and words that are no misspelling of one: other licenses, plain words.
+TELLING = frozenset("mit apache cc by nc gnu general lesser affero mozilla commons attribution noncommercial sharealike noderivatives redistribution granted public domain font".split())
+OTHERS = frozenset("sa nd no x11 bsd isc mpl gpl lgpl agpl epl eupl ncsa nist zlib psf wtfpl artistic boost eclipse microsoft academic open new same above old it is in my me we he be bit fit hit kit lit pit sit wit met mat mid mix mint emit unit limit".split())
+#: Letters of a telling word up to which an edit must keep its length.
+SHORT = 3
 
 SCAN = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, notices array<struct<label:string,first_word:int,end_word:int,edits:int>>"
 
@@ -55,6 +61,41 @@ def occurrences(phrase: str, edits: int, first: regex.Pattern, best: regex.Patte
             todo += [(m.end() - phrase.endswith(" "), b), (a, m.start() + phrase.startswith(" "))]
 
 
+def one_edit(a: str, b: str) -> bool:
+    """Equal, or one letter added, dropped or changed, or two neighbours swapped."""
+    if abs(len(a) - len(b)) > 1:
+        return False
+    i = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    return a[i:] == b[i + 1 :] or a[i + 1 :] == b[i:] or a[i + 1 :] == b[i + 1 :] or (a[i : i + 2] == b[i : i + 2][::-1] and a[i + 2 :] == b[i + 2 :])
+
+
+def recognisable(phrase: str, text: str, a: int, b: int) -> bool:
+    """Whether the numbers and telling words of the phrase stand in its match text[a:b], taken to whole words."""
+    a = text.rfind(" ", 0, a + 1) if text[a] != " " else a
+    end = text.find(" ", b - 1)
+    found, wanted = text[max(a, 0) : end if end >= 0 else len(text)].split(), phrase.split()
+    if len(found) != len(wanted):  # a space was edited
+        return all(w in found for w in wanted if w.isdigit() or w in TELLING)
+    for w, x in zip(wanted, found, strict=True):
+        if w.isdigit() or x.isdigit():
+            if w != x:
+                return False
+        elif w in TELLING and x != w and (x in OTHERS or x in TELLING or len(w) <= SHORT and len(x) != len(w) or not one_edit(w, x)):
+            return False
+    return True
+
+
+def outermost(found: list[tuple]) -> list[tuple]:
+    """Matches that no longer match of another label holds."""
+    out, ends = [], {}
+    for x in sorted(found, key=lambda x: (x[0], -x[1])):
+        _, b, label, *_ = x
+        if not any(end >= b and other != label for other, end in ends.items()):
+            out.append(x)
+        ends[label] = max(ends.get(label, 0), b)
+    return out
+
+
 class Scanner:
     def __init__(self, base: dict[str, str] = BASE_PHRASES, notices: list[tuple[str, str, int]] = NOTICES):
         self.base = [(f" {p} ", label) for p, label in base.items()]
@@ -71,8 +112,8 @@ class Scanner:
                 at = text.find(phrase, at + 1)
         return found
 
-    def fuzzy(self, text: str) -> list[tuple[int, int, str, int]]:
-        """(start, end, label, edits) of the verified occurrences of each notice, without overlaps of one notice."""
+    def fuzzy(self, text: str) -> list[tuple[int, int, str, int, int]]:
+        """(start, end, label, edits, letters of the notice) of the verified occurrences of each notice, without overlaps of one notice."""
         found = []
         for phrase, label, k, seeds, first, best in self.notices:
             windows: list[list[int]] = []
@@ -87,13 +128,13 @@ class Scanner:
                     joined[-1][1] = max(b, joined[-1][1])
                 else:
                     joined.append([a, b])
-            places = [(m.start(), m.end(), label, sum(m.fuzzy_counts)) for a, b in joined for m in occurrences(phrase, k, first, best, text, a, b) if not any(x in m[0] for x in OTHERS.get(phrase, ()))]
+            places = [(m.start(), m.end(), label, sum(m.fuzzy_counts), len(phrase.strip())) for a, b in joined for m in occurrences(phrase, k, first, best, text, a, b) if recognisable(phrase, text, m.start(), m.end())]
             if phrase[0] == " " and places:  # a base phrase in a longer notice of its label is that notice
-                longer = sorted((a, b) for a, b, other, _ in found if other == label)
+                longer = sorted((a, b) for a, b, other, *_ in found if other == label)
                 ends = [0, *accumulate((b for _, b in longer), max)]
                 places = [x for x in places if ends[bisect_left(longer, (x[1] - 1,))] <= x[0] + 1]
             found += places
-        return found
+        return outermost(found)
 
     def scan(self, raw: bytes) -> dict:
         words = words_of(raw)
@@ -102,12 +143,11 @@ class Scanner:
         found = self.fuzzy(text) if text and self.any_seed.search(text) else []
         starts = [p for p, _ in places]
         base = {label for _, label in places}
-        lengths = {label: max(len(n[0]) for n in self.notices if n[1] == label) for _, label, *_ in self.notices}
-        score = max([1.0] * bool(places) + [1 - edits / max(lengths[label], edits) for _, _, label, edits in found], default=0.0)
-        spans = [{"label": label, "first_word": text.count(" ", 0, a + 1) - 1 if text[a] != " " else text.count(" ", 0, a), "end_word": text.count(" ", 0, b - 1), "edits": edits} for a, b, label, edits in sorted(found)]
+        score = max([1.0] * bool(places) + [1 - edits / letters for *_, edits, letters in found], default=0.0)
+        spans = [{"label": label, "first_word": text.count(" ", 0, a + 1) - 1 if text[a] != " " else text.count(" ", 0, a), "end_word": text.count(" ", 0, b - 1), "edits": edits} for a, b, label, edits, _ in sorted(found)]
         return {
             "n_words": len(words), "n_base": len(places), "first_word": min(starts, default=None), "last_word": max(starts, default=None), "base_labels": ",".join(sorted(base)),
-            "labels": ",".join(sorted(base | {label for _, _, label, _ in found})), "score": score, "notices": spans,
+            "labels": ",".join(sorted(base | {x[2] for x in found})), "score": score, "notices": spans,
         }
 
 

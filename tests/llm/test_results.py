@@ -137,6 +137,28 @@ def test_license_scan_finds_adjacent_notices():
         assert [(x["first_word"], x["end_word"], x["edits"]) for x in got] == want and {x["label"] for x in got} == {"mit"}, text
 
 
+def test_license_scan_leaves_other_licenses():
+    scan = license_scan.Scanner().scan
+    for text in ("released under the bsd license", "released under the x11 license", "released under the new license", "released under the it license", "licensed under cc by sa 4 0", "the apache license version 1 1", "licensed under the apache license version 1 0",
+                 "mozilla public license version 1", "released into the public library"):
+        assert scan(text.encode())["labels"] == "", text
+    for text, label in (("creative commons attribution noncommercial", "cc-by-nc"), ("creative commons attribution noncomercial 4 0", "cc-by-nc"), ("creative commons attribution 4 0", "cc-by"), ("creative comons attribution share alike", "cc-by-sa"),
+                        ("licensed under the gnu lesser general public license", "lgpl"), ("licensed under the gnu generl public license", "gpl"), ("mozila public license version 2 0", "mpl-2"),
+                        ("permission is hereby granted free of charge to any person obtaining a copy of the font software", "ofl"), ("permission is herby granted free of charge to any person obtaining a copy of this software", "mit")):
+        assert scan(text.encode())["labels"] == label, text
+    got = scan(b"under the mit licence and released under the mit license")["notices"]
+    assert [(x["first_word"], x["end_word"], x["edits"]) for x in got] == [(0, 4, 1), (5, 10, 0)]
+    assert scan(b"it is cc by mc here")["score"] == 1 - 1 / 8 and scan(b"gnu lesser generl public licence")["score"] == 1 - 2 / 33
+
+
+def test_one_edit():
+    rng = random.Random(9)
+    for _ in range(300):
+        a, b = ("".join(rng.choice("ab") for _ in range(rng.randrange(6))) for _ in range(2))
+        near = {a} | {a[:i] + a[i + 1 :] for i in range(len(a))} | {a[:i] + c + a[i + k :] for i in range(len(a) + 1) for c in "ab" for k in (0, 1)} | {a[:i] + a[i : i + 2][::-1] + a[i + 2 :] for i in range(len(a))}
+        assert license_scan.one_edit(a, b) == (b in near), (a, b)
+
+
 def test_bpe_against_the_library(spark):
     from tokenizers import Tokenizer
 
