@@ -264,6 +264,44 @@ def test_html_extraction_of_text_outside_article_elements(spark):
     assert html_extract.main_text(f"{menu}<main>{before}</article></main>{foot}", weights) == want
 
 
+def _without_the_mark(page):
+    return page.replace("<article>", "<div>").replace("</article>", "</div>")
+
+
+def test_html_extraction_comes_from_the_scan_and_learned_names(spark, monkeypatch):
+    pages = table(spark, SF, "pages").select("page_id", "url", "html")
+    weights = html_extract.learned_weights(pages)
+    raw = [_without_the_mark(r.html) for r in pages.collect()]
+    want = [html_extract.main_text(p, weights) for p in raw]
+    renamed = html_extract.learned_weights(pages.selectExpr("page_id", "url", "replace(html, 'class=\"ad\"', 'class=\"zork\"') AS html"))
+    assert renamed["class:zork"] < -2 and [html_extract.main_text(p.replace('class="ad"', 'class="zork"'), renamed) for p in raw] == want
+    monkeypatch.setattr(html_extract, "best_region", lambda scores: (0, len(scores)))
+    assert all(html_extract.main_text(p, weights) != w for p, w in zip(raw, want, strict=True))
+
+
+def test_html_extraction_keeps_all_of_the_article(spark):
+    weights = html_extract.learned_weights(table(spark, SF, "pages"))
+    inner = '<section id="related-work"><p>one a</p></section><h2 id="legal">two b</h2><div class="side-effects"><p>three</p></div><section class="comments-on-theory"><p>four</p></section><p>x <math><mi>five</mi></math></p><ul><li>six</li></ul>'
+    prose = "<p>The main text of this page stands here and is long enough to be read by all.</p>"
+    lines = ["one a", "two b", "three", "four", "x five", "six"]
+    for body in (f"{inner}{prose}", f"{prose}{inner}", f"{prose}{inner}{prose}"):
+        for page in (f"<nav><a href=/>home</a></nav><article>{body}</article><footer>foot</footer>", f"<nav><a href=/>home</a></nav><div>{body}</div><footer>foot</footer>"):
+            got = html_extract.main_text(page, weights).split("\n")
+            assert [x for x in got if x in lines] == lines and "foot" not in got and "home" not in got
+
+
+def test_html_extraction_of_hostile_markup():
+    import time
+
+    extractor = html_extract.Extractor(html_extract.weights_of(Counter(), Counter()))
+    began = time.time()
+    for page in ("<p>word</p><img " + " ".join(f'a{i}="v{i}"' for i in range(40)), "<a " * 333_333, "<p '" * 200_000, "<p>a" + '="' * 300_000, "</x>" * 100_000 + "<x>" * 100_000, "".join(f"<x{i}>" for i in range(100_000)), "<div class=a>" * 100_000, '"x"' * 18 + "<", "<!" * 300_000, "<!--" * 200_000, "<script>" * 50_000):
+        extractor.text(page)
+    assert time.time() - began < 15
+    assert extractor.text("<p>word</p><img " + " ".join(f'a{i}="v{i}"' for i in range(40))) == "word"
+    assert extractor.text("<p>1 < 2 &lt;b&gt; and <3</p>") == "1 < 2 <b> and <3"
+
+
 def test_near_dedup_against_all_pairs(spark):
     rows = near_dedup.op9_near_dedup(spark, SF).collect()
     docs = table(spark, SF, "documents")
