@@ -1,8 +1,8 @@
 """Language ID by a bidirectional gated recurrent network over bytes, trained in numpy.
 
-Texts are cut into pieces of PIECE bytes, the span over which the network recurs in both directions. It labels
-every byte; a document's probabilities are the means over all of its bytes. Training is backpropagation through
-time over whole pieces, with Adam.
+Texts are cut into spans of SPAN bytes that are run side by side. In each direction the network begins CONTEXT bytes
+before a span, so that every byte has been led up to from both sides. It labels every byte; a document's probabilities
+are the means over all of its bytes. Training is backpropagation through time over pieces of PIECE bytes, with Adam.
 
 Scale: prediction is one pass over the documents without a shuffle. Training takes PIECES pieces of at most DOCS
 documents for each language, chosen by hash, whatever the size of the corpus.
@@ -20,24 +20,20 @@ from pyspark.sql import functions as F
 
 from caremill.llm.common import groups_of, map_arrow, table, texts_of
 
-#: Bytes over which the network recurs; units in each direction.
-PIECE, UNITS = 64, 8
+#: Bytes that are labelled in a row, bytes that lead up to them, bytes of a training piece; units in each direction.
+SPAN, CONTEXT, PIECE, UNITS = 128, 16, 64, 12
 #: Bounds of the training sample: documents for each language, pieces of each.
 DOCS, PIECES = 600, 4
 #: Training: rounds over the sample, pieces in a step, step size.
 EPOCHS, STEP_PIECES, RATE = 12, 128, 0.02
-#: Pieces that are labelled together, bytes of text that are cut together.
+#: Spans that are labelled together, bytes of text that are cut together.
 TOGETHER, CHUNK_BYTES = 2048, 4 << 20
 #: The label of texts without letters; the pipeline rejects it, and scores below REJECT.
 UNKNOWN, REJECT = "und", 0.3
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (np.tanh(0.5 * x) + 1)
-
-
 class Network:
-    """Two gated recurrent layers, one for each direction, and a softmax on both."""
+    """Two gated recurrent layers, one for each direction, and a softmax on both. Arrays go by unit and piece."""
 
     def __init__(self, labels: list[str], seed: int = 5):
         u, n = np.random.default_rng(seed), len(labels)
@@ -45,64 +41,85 @@ class Network:
         self.labels = labels
         self.p = {f"{k}{d}": v for d in "fb" for k, v in (("x", draw(256, 3 * UNITS)), ("u", draw(UNITS, 3 * UNITS)), ("c", np.zeros(UNITS, np.float32)), ("o", draw(UNITS, n)))} | {"bias": np.zeros(n, np.float32)}
 
-    def _run(self, d: str, x: np.ndarray, mask: np.ndarray, keep: bool) -> tuple[np.ndarray, list]:
-        """States at each byte of one direction. ``x``, ``mask``: bytes and which are there, by place and piece."""
-        wx, u, c = self.p["x" + d], self.p["u" + d], self.p["c" + d]
-        h = np.zeros((x.shape[1], UNITS), np.float32)
-        states, trace = np.empty((*x.shape, UNITS), np.float32), []
+    def _run(self, d: str, x: np.ndarray, there: np.ndarray, keep: bool) -> tuple[np.ndarray, list]:
+        """States after each byte of one direction, in the order of the bytes. ``x``, ``there``: bytes and which are texts', by
+        place and piece; where none is, the state is that of the start."""
+        half = np.repeat([0.5, 1.0], [2 * UNITS, UNITS]).astype(self.p["x" + d].dtype)  # a sigmoid is half a tangent
+        wx, u, c = np.ascontiguousarray((self.p["x" + d] * half).T), np.ascontiguousarray((self.p["u" + d] * half).T), self.p["c" + d][:, None]
+        n = x.shape[1]
+        h, a, b = (np.zeros((k, n), wx.dtype) for k in (UNITS, 3 * UNITS, 3 * UNITS))
+        states, trace, whole = np.empty((len(x), UNITS, n), wx.dtype), [], there.all(axis=1)
         for t in range(len(x)) if d == "f" else range(len(x) - 1, -1, -1):
-            a, b = wx[x[t]], h @ u
-            g = _sigmoid(a[:, : 2 * UNITS] + b[:, : 2 * UNITS])
-            z, r, s = g[:, :UNITS], g[:, UNITS:], b[:, 2 * UNITS :] + c
-            n = np.tanh(a[:, 2 * UNITS :] + r * s)
-            before, h = h, (n + z * (h - n)) * mask[t]
-            states[t] = h
+            np.take(wx, x[t], axis=1, out=a, mode="clip")
+            np.dot(u, h, out=b)
+            gates, new = b[: 2 * UNITS], b[2 * UNITS :]
+            gates += a[: 2 * UNITS]
+            np.tanh(gates, out=gates)
+            gates *= 0.5
+            gates += 0.5
+            new += c
             if keep:
-                trace.append((t, before, z, r, s, n))
+                before, s = h.copy(), new.copy()
+            new *= gates[UNITS:]
+            new += a[2 * UNITS :]
+            np.tanh(new, out=new)
+            if keep:
+                trace.append((t, before, gates[:UNITS].copy(), gates[UNITS:].copy(), s, new.copy()))
+            h -= new
+            h *= gates[:UNITS]
+            h += new
+            if not whole[t]:
+                h *= there[t]
+            states[t] = h
         return states, trace
 
-    def _logits(self, f: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return f @ self.p["of"] + b @ self.p["ob"] + self.p["bias"]
-
-    @staticmethod
-    def _softmax(x: np.ndarray) -> np.ndarray:
-        e = np.exp(x - x.max(axis=-1, keepdims=True))
-        return e / e.sum(axis=-1, keepdims=True)
-
-    def label(self, pieces: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Sums of the bytes' probabilities in each piece."""
-        x = np.ascontiguousarray(pieces.T)
-        mask = (np.arange(x.shape[0])[:, None] < sizes[None, :]).astype(np.float32)[:, :, None]
-        probs = self._softmax(self._logits(self._run("f", x, mask, False)[0], self._run("b", x, mask, False)[0]))
-        return (probs * mask).sum(axis=0)
+    def _probabilities(self, f: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """By place, label and piece."""
+        x = np.matmul(self.p["of"].T, f)
+        x += np.matmul(self.p["ob"].T, b)
+        x += self.p["bias"][:, None]
+        x -= x.max(axis=1, keepdims=True)
+        np.exp(x, out=x)
+        x /= x.sum(axis=1, keepdims=True)
+        return x
+
+    def label(self, windows: np.ndarray, there: np.ndarray) -> np.ndarray:
+        """Sums of the bytes' probabilities in the span of each window; see windows_of()."""
+        x, there = np.ascontiguousarray(windows.T), np.ascontiguousarray(there.T)
+        f = self._run("f", x[:-CONTEXT], there[:-CONTEXT], False)[0][CONTEXT:]
+        b = self._run("b", x[CONTEXT:], there[CONTEXT:], False)[0][:-CONTEXT]
+        probs = self._probabilities(f, b)
+        probs *= there[CONTEXT:-CONTEXT, None, :]
+        return probs.sum(axis=0).T
 
     def gradients(self, pieces: np.ndarray, sizes: np.ndarray, wanted: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean loss of all bytes and its gradients, by backpropagation through time."""
         x = np.ascontiguousarray(pieces.T)
-        mask = (np.arange(x.shape[0])[:, None] < sizes[None, :]).astype(np.float32)[:, :, None]
-        runs = {d: self._run(d, x, mask, True) for d in "fb"}
-        probs = self._softmax(self._logits(runs["f"][0], runs["b"][0]))
-        total = max(float(mask.sum()), 1.0)
-        at = (slice(None), np.arange(x.shape[1]), wanted)
-        loss = -float((np.log(probs[at] + 1e-9) * mask[:, :, 0]).sum()) / total
-        out = probs * mask / total
-        out[at] -= mask[:, :, 0] / total
-        grads = {"bias": out.sum(axis=(0, 1))}
+        there = np.arange(x.shape[0])[:, None] < sizes[None, :]
+        runs = {d: self._run(d, x, there, True) for d in "fb"}
+        probs = self._probabilities(runs["f"][0], runs["b"][0])
+        total, every = max(float(there.sum()), 1.0), np.arange(x.shape[1])
+        loss = -float((np.log(probs[:, wanted, every] + 1e-9) * there).sum()) / total
+        out = probs * (there[:, None, :] / probs.dtype.type(total))
+        out[:, wanted, every] -= there / total
+        grads = {"bias": out.sum(axis=(0, 2))}
+        flat = x.ravel()
         for d, (states, trace) in runs.items():
-            u, flat = self.p["u" + d], out.reshape(-1, out.shape[-1])
-            grads["o" + d] = states.reshape(-1, UNITS).T @ flat
-            from_out = out @ self.p["o" + d].T
-            gx, gu, gc, gh = np.zeros_like(self.p["x" + d]), np.zeros_like(u), np.zeros(UNITS, np.float32), np.zeros((x.shape[1], UNITS), np.float32)
+            u, back = self.p["u" + d], np.empty((len(x), 3 * UNITS, x.shape[1]), probs.dtype)
+            grads["o" + d] = np.tensordot(states, out, axes=((0, 2), (0, 2)))
+            from_out = np.matmul(self.p["o" + d], out)
+            gu, gc, gh = np.zeros_like(u), np.zeros_like(self.p["c" + d]), np.zeros((UNITS, x.shape[1]), probs.dtype)
             for t, before, z, r, s, n in reversed(trace):
-                g = (gh + from_out[t]) * mask[t]
+                g = (gh + from_out[t]) * there[t]
                 gn = g * (1 - z) * (1 - n * n)
                 gz, gr, gs = g * (before - n) * z * (1 - z), gn * s * r * (1 - r), gn * r
-                ga, gb = np.concatenate([gz, gr, gn], axis=1), np.concatenate([gz, gr, gs], axis=1)
-                np.add.at(gx, x[t], ga)
-                gu += before.T @ gb
-                gc += gs.sum(axis=0)
-                gh = g * z + gb @ u.T
-            grads |= {"x" + d: gx, "u" + d: gu, "c" + d: gc}
+                back[t, :UNITS], back[t, UNITS : 2 * UNITS], back[t, 2 * UNITS :] = gz, gr, gn
+                gb = np.concatenate([gz, gr, gs])
+                gu += before @ gb.T
+                gc += gs.sum(axis=1)
+                gh = g * z + u @ gb
+            gx = np.stack([np.bincount(flat, back[:, k].ravel(), 256) for k in range(3 * UNITS)], axis=1)
+            grads |= {"x" + d: gx.astype(u.dtype), "u" + d: gu, "c" + d: gc}
         return loss, grads
 
     def train(self, pieces: np.ndarray, sizes: np.ndarray, wanted: np.ndarray, epochs: int = EPOCHS, seed: int = 6) -> list[float]:
@@ -134,6 +151,23 @@ def cut(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8).reshape(-1, PIECE), np.minimum(PIECE, np.array([len(t) for t in texts], np.int64)[owner] - nth * PIECE), owner
 
 
+def windows_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of CONTEXT, SPAN and again CONTEXT bytes, which of their bytes are the text's, and the text of each. The spans
+    in the middle cover each byte once."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    counts = -(-sizes // SPAN)
+    width, ahead = SPAN + 2 * CONTEXT, b"\0" * CONTEXT
+    data = b"".join(part for t, c in zip(texts, counts.tolist(), strict=True) for part in (ahead, t.ljust(c * SPAN, b"\0"), ahead))
+    owner = np.repeat(np.arange(len(texts)), counts)
+    nth = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+    starts = (np.cumsum(counts * SPAN + 2 * CONTEXT) - counts * SPAN - 2 * CONTEXT)[owner] + nth * SPAN
+    place = np.arange(width)[None, :] - CONTEXT + (nth * SPAN)[:, None]  # of each byte in its text
+    there = (place >= 0) & (place < sizes[owner][:, None])
+    buffer = np.frombuffer(data, np.uint8)
+    found = np.lib.stride_tricks.sliding_window_view(buffer, width)[starts] if len(owner) else np.zeros((0, width), np.uint8)
+    return found, there, owner
+
+
 def has_letter(text: bytes) -> bool:
     return bool(re.search(rb"[A-Za-z]", text)) or any(map(str.isalpha, text.decode("utf-8", "ignore")))
 
@@ -168,9 +202,9 @@ def probabilities(net: Network, texts: list[bytes]) -> np.ndarray:
     """Each text's mean of its bytes' probabilities."""
     out = np.zeros((len(texts), len(net.labels)))
     for a, b in groups_of([len(t) for t in texts], CHUNK_BYTES):
-        pieces, sizes, owner = cut(texts[a:b])
-        for i in range(0, len(pieces), TOGETHER):
-            np.add.at(out, a + owner[i : i + TOGETHER], net.label(pieces[i : i + TOGETHER], sizes[i : i + TOGETHER]))
+        windows, there, owner = windows_of(texts[a:b])
+        for i in range(0, len(windows), TOGETHER):
+            np.add.at(out, a + owner[i : i + TOGETHER], net.label(windows[i : i + TOGETHER], there[i : i + TOGETHER]))
     return out / np.maximum([[len(t)] for t in texts], 1) if texts else out
 
 

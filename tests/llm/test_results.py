@@ -98,6 +98,34 @@ def test_language_id_gradients():
             assert math.isclose((ends[0] - ends[1]) / 2e-3, g.reshape(-1)[i], rel_tol=2e-2, abs_tol=1e-5), k
 
 
+def test_language_id_against_a_byte_by_byte_run():
+    net, rng = language_id.Network(["a", "b", "c"]), random.Random(3)
+    n, span, lead = language_id.UNITS, language_id.SPAN, language_id.CONTEXT
+    sig = lambda x: 1 / (1 + np.exp(-x))
+
+    def states(data, d):
+        h, out = np.zeros(n), []
+        for byte in data:
+            a, b = net.p["x" + d][byte].astype(float), h @ net.p["u" + d]
+            z, r = sig(a[:n] + b[:n]), sig(a[n : 2 * n] + b[n : 2 * n])
+            h = (1 - z) * np.tanh(a[2 * n :] + r * (b[2 * n :] + net.p["c" + d])) + z * h
+            out.append(h)
+        return out
+
+    texts = [bytes(rng.choice(b"abc \xc3\xa9") for _ in range(k)) for k in (0, 1, 5, span - 1, span, span + 1, span + lead, 3 * span + 7)]
+    got = language_id.probabilities(net, texts)
+    for text, mine in zip(texts, got, strict=True):
+        total = np.zeros(3)
+        for at in range(0, len(text), span):
+            first, stop = max(0, at - lead), min(len(text), at + span)
+            f = states(text[first:stop], "f")[at - first :]
+            b = states(text[at : min(len(text), at + span + lead)][::-1], "b")[::-1][: stop - at]
+            for x, y in zip(f, b, strict=True):
+                e = np.exp(x @ net.p["of"] + y @ net.p["ob"] + net.p["bias"])
+                total += e / e.sum()
+        assert np.allclose(mine, total / max(len(text), 1), atol=1e-5)
+
+
 def test_license_scan_against_a_plain_search(spark):
     rows = {r.doc_id: r for r in license_scan.op3_license_scan(spark, SF).collect()}
     for i, t in texts(spark).items():
