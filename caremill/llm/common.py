@@ -136,6 +136,27 @@ def if_small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if size_bytes(df) * 4 <= BROADCAST_BYTES else df
 
 
+#: Keys that are so frequent that one task would get much of a table, at most; rows that a key has at least to be one of them.
+HOT_KEYS, HOT_ROWS = 2048, 1000
+
+
+def repeated(rows: DataFrame, keys: list[str], among: DataFrame | None = None) -> DataFrame:
+    """Those settled rows whose keys occur more than once (``among`` other settled rows, where given). Keys aren't null.
+
+    Counts are combined in the tasks. Keys with more than total / HOT_KEYS rows, never more than HOT_KEYS of them, meet their
+    rows by a broadcast; only rows of the others are shuffled.
+    """
+    among = rows if among is None else among
+    counts = settled(among.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1"))
+    least = max(HOT_ROWS, among.count() // HOT_KEYS + 1)
+    hot, rest = F.broadcast(counts.filter(F.col("n") >= least).select(*keys)), counts.filter(F.col("n") < least).select(*keys)
+    if size_bytes(counts) * 4 <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(counts.select(*keys)), keys, "left_semi")
+    if hot.isEmpty():
+        return rows.join(rest, keys, "left_semi")
+    return rows.join(hot, keys, "left_semi").unionByName(rows.join(hot, keys, "left_anti").join(rest, keys, "left_semi"))
+
+
 def batches(parts: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.RecordBatch]:
     """Join Arrow batches up to a size."""
     held, size = [], 0
