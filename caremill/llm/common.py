@@ -150,13 +150,21 @@ def repeated(rows: DataFrame, keys: list[str], among: DataFrame | None = None) -
     counts = settled(among.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1"))
     least = max(HOT_ROWS, among.count() // HOT_KEYS + 1)
     hot, rest = F.broadcast(counts.filter(F.col("n") >= least).select(*keys)), counts.filter(F.col("n") < least).select(*keys)
-    if size_bytes(counts) * 4 <= BROADCAST_BYTES:
-        return rows.join(F.broadcast(counts.select(*keys)), keys, "left_semi")
     if hot.isEmpty():
         return rows.join(rest, keys, "left_semi")
     return rows.join(hot, keys, "left_semi").unionByName(rows.join(hot, keys, "left_anti").join(rest, keys, "left_semi"))
 
 
+def looked_up(rows: DataFrame, table: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
+    """Inner join of settled rows with a settled table that has each key once, and in ``n`` the rows that have it. Frequent keys
+    meet their rows by a broadcast, see repeated()."""
+    least = max(HOT_ROWS, rows.count() // HOT_KEYS + 1)
+    hot, rest = F.broadcast(table.filter(F.col(n) >= least)), table.filter(F.col(n) < least)
+    if hot.isEmpty():
+        return rows.join(table, keys)
+    return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(rest, keys))
+
+
 def batches(parts: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.RecordBatch]:
     """Join Arrow batches up to a size."""
     held, size = [], 0

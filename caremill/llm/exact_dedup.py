@@ -7,7 +7,8 @@ identity of the whole text.
 
 Scale: texts are shuffled once (the distinct blocks, combined on the map side); all else moves integers. Blocks
 are matched to their integers by a 128-bit hash that is proven free of collisions on the blocks at hand, and
-replaced by the hash of another seed if it isn't.
+replaced by the hash of another seed if it isn't. Blocks, pairs and groups that very many rows share, of a bounded number,
+are looked up by a broadcast, so that no task gets all rows of one.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caremill.llm.common import if_small, numbered, settled, table
+from caremill.llm.common import if_small, looked_up, numbered, settled, table
 
 #: Bytes of a block.
 BLOCK_BYTES = 2048
@@ -53,10 +54,10 @@ def _level_zero(rows: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
     while True:
         firsts = {c: F.when(F.col("pos") == 0, F.col(c)).alias(c) for c in ("doc_id", "_sha")}
         placed = settled(_blocks(rows, ["_row", "doc_id", "_sha", "_n"], size).select("_row", "pos", "_n", *firsts.values(), *_hashes(seed)))
-        least = _blocks(rows, [], size).select(*_hashes(seed), "block").groupBy("h1", "h2").agg(F.min("block").alias("block"), F.max("block").alias("_other"))
-        names = settled(_sorted_names(least, ["block"]).select("h1", "h2", "name", (F.col("block") != F.col("_other")).alias("_clash")))
+        least = _blocks(rows, [], size).select(*_hashes(seed), "block").groupBy("h1", "h2").agg(F.min("block").alias("block"), F.max("block").alias("_other"), F.count("*").alias("n"))
+        names = settled(_sorted_names(least, ["block"]).select("h1", "h2", "name", "n", (F.col("block") != F.col("_other")).alias("_clash")))
         if names.filter("_clash").isEmpty():
-            return placed, names.select("h1", "h2", "name")
+            return placed, names.select("h1", "h2", "name", "n")
         seed += 2
 
 
@@ -71,14 +72,14 @@ def name_texts(docs: DataFrame, size: int = BLOCK_BYTES) -> DataFrame:
     placed, names = _level_zero(rows, size)
     heads = placed.filter("pos = 0").select("_row", "doc_id", F.lower(F.hex("_sha")).alias("text_sha256"))
     rounds = max(0, (placed.agg(F.max("_n")).first()[0] or 1) - 1).bit_length()
-    now = settled(placed.join(names, ["h1", "h2"]).select("_row", "pos", "_n", "name"))
+    now = settled(looked_up(placed, names, ["h1", "h2"]).select("_row", "pos", "_n", "name"))
     done = [now.filter("_n = 1").select("_row", F.lit(0).alias("level"), "name")]
     for level in range(1, rounds + 1):
         side = [F.max(F.when(F.col("pos") % 2 == i, F.col("name"))).alias(c) for i, c in enumerate("ab")]
         pairs = now.filter("_n > 1").groupBy("_row", F.expr("pos div 2").alias("pos"), F.expr("(_n + 1) div 2").alias("_n")).agg(*side)
         pairs = settled(pairs.withColumn("b", F.coalesce("b", F.lit(-1).cast("long"))))
-        names = settled(_sorted_names(pairs.select("a", "b").distinct(), ["a", "b"]))
-        now = settled(pairs.join(names, ["a", "b"]).select("_row", "pos", "_n", "name"))
+        names = settled(_sorted_names(pairs.groupBy("a", "b").agg(F.count("*").alias("n")), ["a", "b"]))
+        now = settled(looked_up(pairs, names, ["a", "b"]).select("_row", "pos", "_n", "name"))
         done.append(now.filter("_n = 1").select("_row", F.lit(level).alias("level"), "name"))
     return reduce(DataFrame.union, done).join(heads, "_row")
 
@@ -91,8 +92,8 @@ def exact_dedup(docs: DataFrame, size: int = BLOCK_BYTES) -> DataFrame:
     rows. Extra columns are ignored.
     """
     rows = settled(name_texts(docs, size))
-    groups = rows.groupBy("level", "name").agg(F.max(F.struct("doc_id", "_row")).alias("_best"), F.count("*").alias("group_size"))
-    joined = rows.join(groups, ["level", "name"])
+    groups = settled(rows.groupBy("level", "name").agg(F.max(F.struct("doc_id", "_row")).alias("_best"), F.count("*").alias("group_size")))
+    joined = looked_up(rows, groups, ["level", "name"], "group_size")
     return joined.select("doc_id", F.col("_best.doc_id").alias("keep_id"), "group_size", (F.col("_row") == F.col("_best._row")).alias("kept"), "text_sha256")
 
 
