@@ -2,69 +2,152 @@
 
 Patterns are the windows of 13 consecutive words of each benchmark item, or the whole item when it has fewer.
 A table of shifts by block (the last two words in view) tells how far the search may jump; a block that ends
-some window leads to a bucket of windows by their first two words, and direct comparison confirms.
+some window leads to a bucket of windows by their last and first two words, and direct comparison of the words confirms.
+Documents are searched in stretches that advance side by side.
 
-Scale: documents are read once and never shuffled. The benchmark is the stated query set: it is compiled in
-parts of at most PART_BYTES, one part at a time in a worker, and a benchmark of more parts means more passes.
+Scale: documents are read once and never shuffled. The benchmark is the stated query set: it is compiled in parts of
+about PART_BYTES, each in a task of its own, to sorted arrays in the shared folder, of about seven bytes for each byte of
+text, which the workers memory-map. A benchmark of more parts means more passes.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+import io
+import pickle
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caremill.llm.common import map_arrow, numbered, settled, sha256, table, texts_of, words_of
+from caremill.llm.common import WordHashes, fetched, groups_of, map_arrow, mapped_array, mix, numbered, put_file, settled, sha256, shared_dir, table, texts_of, words_of
 
-#: Words of a window.
-WINDOW = 13
-#: Bytes of benchmark text that are compiled together.
-PART_BYTES = 32 << 20
+#: Words of a window; words of a block.
+WINDOW, BLOCK = 13, 2
+#: Bytes of benchmark text that are compiled together, bytes of documents that are searched together, window ends of a stretch.
+PART_BYTES, CHUNK_BYTES, STRETCH = 16 << 20, 4 << 20, 256
 
 HITS = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, hit_starts array<int>, hit_ends array<int>, item_ids array<string>"
+#: Arrays of the windows of one length: blocks and shifts; buckets, and of their windows the first word and the owners.
+ARRAYS = ("blocks", "shifts", "buckets", "first", "owners_at", "owners")
+
+
+def _block(h: np.ndarray, last: np.ndarray, block: int) -> np.ndarray:
+    """Hash of the block that ends with each given word."""
+    return mix(h[last - 1], h[last]) if block == BLOCK else h[last]
+
+
+def compiled(rows: Iterator[tuple[object, bytes]], folder: str, window: int = WINDOW) -> None:
+    """Write the arrays of some items (id, text). Rows of one id are one item; texts without words have no windows."""
+    hashes, items, texts = WordHashes(), {}, []
+    word_hashes, owner, size_of = [], [], []
+    for item, text in rows:
+        words = words_of(text)
+        if words:
+            owner.append(items.setdefault(item, len(items)))
+            size_of.append(len(words))
+            word_hashes.append(hashes.of(words))
+            texts.append(b" ".join(words) + b" ")
+    data = b"".join(texts)
+    h = np.concatenate(word_hashes) if word_hashes else np.zeros(0, np.uint64)
+    letters = np.frombuffer(data, np.uint8)
+    word_at = np.concatenate([[0], np.flatnonzero(letters == 32) + 1]).astype(np.int64)  # and the end of the last
+    size_of, owner = np.array(size_of, np.int64), np.array(owner, np.int32)
+    row_at = np.cumsum(size_of) - size_of
+    _save(folder, words=h, word_at=word_at)
+    put_file(f"{folder}/text", data)
+    sizes = sorted(set(np.minimum(size_of, window).tolist()))
+    put_file(f"{folder}/items", pickle.dumps((sizes, [str(x) for x in items])))
+    for size in sizes:
+        block = min(BLOCK, size)
+        mine = np.flatnonzero(np.minimum(size_of, window) == size)
+        every, of = _places(row_at[mine], size_of[mine] - size + 1)
+        who = owner[mine][of]
+        ends, of = _places(row_at[mine] + block - 1, size_of[mine] - block + 1)
+        shift = np.maximum(0, size - 1 - (ends - row_at[mine][of])).astype(np.uint8)
+        key = _block(h, ends, block)
+        order = np.lexsort((shift, key))
+        key, shift = key[order], shift[order]
+        once = np.concatenate([[True], key[1:] != key[:-1]])
+        whole = np.full(len(every), np.uint64(size))
+        for i in range(size):
+            whole = mix(whole, h[every + i])
+        bucket = mix(_block(h, every + size - 1, block), _block(h, every + block - 1, block))
+        order = np.lexsort((who, whole, bucket))
+        bucket, whole, every, who = bucket[order], whole[order], every[order], who[order]
+        new = np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (whole[1:] != whole[:-1])])
+        other = new | np.concatenate([[True], who[1:] != who[:-1]])
+        owners_at = np.append(np.flatnonzero(new[other]), other.sum())
+        _save(folder, **{f"{size}-{n}": x for n, x in zip(ARRAYS, (key[once], shift[once], bucket[new], every[new], owners_at, who[other]), strict=True)})
+
+
+def _places(starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """starts[i], starts[i] + 1 ... for counts[i] places each, and the i of each."""
+    of = np.repeat(np.arange(len(starts)), counts)
+    return starts[of] + np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts), of
+
+
+def _save(folder: str, **arrays: np.ndarray) -> None:
+    for name, x in arrays.items():
+        out = io.BytesIO()
+        np.save(out, x)
+        put_file(f"{folder}/{name}.npy", out.getbuffer())
 
 
 class Patterns:
-    """Compiled windows: for each length its shifts, its block size and its buckets."""
-
-    def __init__(self, items: list[tuple[int, bytes]], window: int = WINDOW):
-        owners: dict[int, dict[tuple, set]] = defaultdict(lambda: defaultdict(set))
-        for item, text in items:
-            words = tuple(words_of(text))
-            size = min(window, len(words))
-            for i in range(len(words) - size + 1 if size else 0):
-                owners[size][words[i : i + size]].add(item)
-        self.groups = []
-        for size, windows in sorted(owners.items()):
-            block = min(2, size)
-            shifts: dict[tuple, int] = {}
-            buckets: dict[tuple, dict[tuple, list]] = defaultdict(lambda: defaultdict(list))
-            for words, found in windows.items():
-                for end in range(block, size + 1):
-                    key = words[end - block : end]
-                    shifts[key] = min(shifts.get(key, size), size - end)
-                buckets[words[-block:]][words[:block]].append((words, found))
-            self.groups.append((size, block, shifts, {k: dict(v) for k, v in buckets.items()}))
-
-    def search(self, words: list[bytes]) -> list[tuple[int, int, set]]:
-        """(first word, word after the last, item ids) of every occurrence."""
-        found = []
-        for size, block, shifts, buckets in self.groups:
-            most, end, n = size - block + 1, size, len(words)
-            while end <= n:
-                key = tuple(words[end - block : end])
-                if jump := shifts.get(key, most):
-                    end += jump
-                    continue
-                start = end - size
-                for window, items in buckets[key].get(tuple(words[start : start + block]), ()):
-                    if tuple(words[start:end]) == window:
-                        found.append((start, end, items))
-                end += 1
-        return found
+    """Compiled windows of a part, memory-mapped."""
+
+    def __init__(self, folder: str):
+        with open(fetched(f"{folder}/items"), "rb") as f:
+            sizes, self.items = pickle.load(f)
+        self.words, self.word_at = (mapped_array(f"{folder}/{n}.npy") for n in ("words", "word_at"))
+        self.text = np.memmap(fetched(f"{folder}/text"), np.uint8, "r") if sizes else np.zeros(0, np.uint8)
+        self.groups = [(size, [mapped_array(f"{folder}/{size}-{n}.npy") for n in ARRAYS]) for size in sizes]
+        self.hashes = WordHashes()
+
+    @staticmethod
+    def _ends(h: np.ndarray, size: int, last: np.ndarray, stop: np.ndarray, blocks: np.ndarray, shifts: np.ndarray) -> np.ndarray:
+        """Last words of the places whose block ends some window. Each stretch jumps from ``last`` on, as far as its block says."""
+        block, found = min(BLOCK, size), []
+        while len(last):
+            key = _block(h, last, block)
+            at = np.minimum(np.searchsorted(blocks, key), len(blocks) - 1)
+            jump = np.where(blocks[at] == key, shifts[at], size - block + 1)
+            found.append(last[jump == 0])
+            last = last + np.maximum(jump, 1)
+            going = last < stop
+            last, stop = last[going], stop[going]
+        return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+    def search(self, texts: list[list[bytes]]) -> list[tuple[list[tuple[int, int]], set[int]]]:
+        """Spans of words and numbers of items of each text's occurrences. ``texts``: their words."""
+        out: list[tuple[list, set]] = [([], set()) for _ in texts]
+        sizes = np.array([len(w) for w in texts], np.int64)
+        starts = np.cumsum(sizes) - sizes
+        h = np.concatenate([self.hashes.of(w) for w in texts]) if sizes.sum() else np.zeros(0, np.uint64)
+        for size, (blocks, shifts, buckets, first, owners_at, owners) in self.groups:
+            ends = np.maximum(sizes - size + 1, 0)
+            nth, of = _places(np.zeros(len(texts), np.int64), -(-ends // STRETCH))
+            from_ = nth * STRETCH
+            last = starts[of] + size - 1 + from_
+            places = np.sort(self._ends(h, size, last, last + np.minimum(STRETCH, ends[of] - from_), blocks, shifts))
+            block = min(BLOCK, size)
+            key = mix(_block(h, places, block), _block(h, places - size + block, block))
+            low, high = np.searchsorted(buckets, key), np.searchsorted(buckets, key, side="right")
+            window, of = _places(low, high - low)
+            begin = places[of] - size + 1
+            same = np.ones(len(window), bool)
+            for i in range(size):
+                same &= h[begin + i] == self.words[first[window] + i]
+            window, begin = window[same], begin[same]
+            doc = np.searchsorted(starts, begin, side="right") - 1
+            for w, d, at in zip(window.tolist(), doc.tolist(), (begin - starts[doc]).tolist(), strict=True):
+                a, b = self.word_at[first[w]], self.word_at[first[w] + size] - 1
+                if self.text[a:b].tobytes() == b" ".join(texts[d][at : at + size]):
+                    out[d][0].append((at, at + size))
+                    out[d][1].update(owners[owners_at[w] : owners_at[w + 1]].tolist())
+        return out
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -84,10 +167,11 @@ def _verdict(n_words: int, spans: list, items: set) -> dict:
     return {"n_words": n_words, "n_hit": hit, "n_items": len(ids), "items_sha256": sha256(",".join(ids).encode()), "contaminated": hit > 0 and 20 * hit >= n_words, "hit_starts": [a for a, _ in spans], "hit_ends": [b for _, b in spans], "item_ids": ids}
 
 
-def _judge(patterns: Patterns, text: bytes) -> dict:
-    words = words_of(text)
-    found = patterns.search(words)
-    return _verdict(len(words), merged([x[:2] for x in found]), set().union(*(x[2] for x in found)) if found else set())
+def _judged(patterns: Patterns, texts: list[bytes]) -> Iterator[dict]:
+    for a, b in groups_of([len(t) for t in texts], CHUNK_BYTES):
+        words = [words_of(t) for t in texts[a:b]]
+        for w, (spans, items) in zip(words, patterns.search(words), strict=True):
+            yield _verdict(len(w), merged(spans), {patterns.items[i] for i in items})
 
 
 def _parts(bench: DataFrame, part_bytes: int) -> list[DataFrame]:
@@ -97,21 +181,28 @@ def _parts(bench: DataFrame, part_bytes: int) -> list[DataFrame]:
     return [items.filter(F.pmod(F.xxhash64("item_id"), F.lit(n)) == i) if n > 1 else items for i in range(n)]
 
 
-def _loaded(part: DataFrame):
-    """One part on every executor; its size is bounded by that of a part."""
-    return part.sparkSession.sparkContext.broadcast([(r[0], r[1].encode()) for r in part.collect()])
+def _compiled(part: DataFrame, window: int) -> str:
+    """Compile one part in one task; its size is bounded. Return its folder."""
+    folder = shared_dir(part.sparkSession)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compiled(((item, text) for batch in batches for item, text in zip(batch.column("item_id").to_pylist(), texts_of(batch), strict=True)), folder, window)
+        yield pa.RecordBatch.from_arrays([pa.array([True])], ["done"])
+
+    if not map_arrow(part.repartition(1), run, "done boolean").collect():  # no task had a row
+        compiled(iter(()), folder, window)
+    return folder
 
-def _scan(docs: DataFrame, part: DataFrame, window: int, ids: list[str]) -> DataFrame:
-    shared = _loaded(part)
+
+def _scan(docs: DataFrame, folder: str, ids: list[str]) -> DataFrame:
     kept = docs.select(*ids, "text")
     out = kept.drop("text").schema.simpleString()[7:-1].replace(":", " ")
     rest = HITS.split(", ", 1)[1]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        patterns = Patterns(shared.value, window)
+        patterns = Patterns(folder)
         for batch in parts:
-            rows = [_judge(patterns, t) for t in texts_of(batch)]
+            rows = list(_judged(patterns, texts_of(batch)))
             columns = [batch.column(i) for i in ids] + [pa.array([r[k] for r in rows], kind) for k, kind in KINDS.items()]
             yield pa.RecordBatch.from_arrays(columns, [*ids, *KINDS])
 
@@ -127,11 +218,11 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, part_
     Null and empty texts have no words and are clean. Items without id, text or words are ignored; rows of one
     item_id count as one item. Repeated documents are judged one by one. Empty tables give no rows, or clean ones.
     """
-    parts = _parts(bench, part_bytes)
+    parts = [_compiled(part, window) for part in _parts(bench, part_bytes)]
     if len(parts) == 1:
-        return _scan(docs, parts[0], window, list(ids))
+        return _scan(docs, parts[0], list(ids))
     rows = settled(numbered(docs.select(*ids, "text")))
-    scans = [_scan(rows, part, window, ["_row", *ids]) for part in parts]
+    scans = [_scan(rows, part, ["_row", *ids]) for part in parts]
     every = scans[0]
     for scan in scans[1:]:
         every = every.unionByName(scan)
@@ -154,12 +245,12 @@ def drop_contaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW, p
         rows = settled(numbered(docs.select(F.struct("*").alias("_doc"), "text"), "_nth"))
         bad = contamination(rows, bench, window, part_bytes, ("_nth",)).filter("contaminated").select("_nth")
         return rows.join(bad, "_nth", "left_anti").select("_doc.*")
-    shared = _loaded(parts[0])
+    folder = _compiled(parts[0], window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        patterns = Patterns(shared.value, window)
+        patterns = Patterns(folder)
         for batch in batches:
-            yield batch.filter(pa.array([not _judge(patterns, t)["contaminated"] for t in texts_of(batch)], pa.bool_()))
+            yield batch.filter(pa.array([not x["contaminated"] for x in _judged(patterns, texts_of(batch))], pa.bool_()))
 
     return map_arrow(docs, run, docs.schema)
 
