@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caremill.llm.common import WordHashes, if_small, keyed, map_arrow, mix, packed, release, settled, table, texts_of, unpacked, words_of
+from caremill.llm.common import WordHashes, dropped, if_small, keyed, looked_up, map_arrow, mix, packed, release, settled, table, texts_of, unpacked, words_of
 
 #: Words of a shingle; weighted Jaccard similarity from which two documents are near copies.
 SHINGLE, SIMILARITY = 5, 0.8
@@ -40,6 +40,8 @@ SAMPLES, BANDS = 64, 16
 BLOCK, DRAWS = 512, 1 << 16
 #: Growth of the leaders in each round.
 GROWTH = 64
+#: Members of a bucket that meet its leaders in one task.
+BUCKET_ROWS = 1000
 #: Slack of bounds on similarity, for rounding.
 SLACK = 1e-6
 
@@ -229,9 +231,11 @@ def components(links: DataFrame) -> DataFrame:
 
 def _contested(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Settled members of the buckets that hold more than one class, with their class c."""
-    named = members.join(labels.withColumnsRenamed({"v": "rep", "c": "_c"}), "rep", "left").select(*members.columns, F.coalesce("_c", "rep").alias("c"))
-    mixed = named.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select("key")
-    return settled(named.join(mixed, "key", "left_semi"))
+    named = settled(members.join(labels.withColumnsRenamed({"v": "rep", "c": "_c"}), "rep", "left").select(*members.columns, F.coalesce("_c", "rep").alias("c")))
+    mixed = settled(named.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("n")).filter("low < high").select("key", "n"))
+    found = settled(looked_up(named, mixed, ["key"]).drop("n"))
+    dropped(named)
+    return found
 
 
 def _facts(members: DataFrame, same: DataFrame, texts: DataFrame, idf, least: float) -> DataFrame:
@@ -250,7 +254,7 @@ def near_classes(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     same = settled(marks.filter("g1 is not null").groupBy("g1", "g2").agg(F.min("_row").alias("rep"), F.min("weight").alias("weight"), F.min("bands").alias("bands")))
     buckets = same.select("rep", "weight", F.explode("bands").alias("key"))
     met = settled(buckets.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("rep", "weight")).alias("first")).filter("size > 1").select("key", "size", F.col("first.rep").alias("lead"), F.col("first.weight").alias("lead_weight")))
-    members = settled(buckets.join(met, "key"))
+    members = settled(looked_up(settled(buckets), met, ["key"], "size"))
     involved = settled(members.select(F.col("rep").alias("_row")).distinct())
     texts = settled(packed(rows.select("_row", "text")).join(if_small(involved), "_row", "left_semi"))
     release(rows.sparkSession)
@@ -265,11 +269,13 @@ def near_classes(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     while not (members := _contested(members, labels)).isEmpty():
         after = max(1, reach) * GROWTH
         members = members.withColumn("place", F.pmod(F.xxhash64(F.lit(7), "rep"), F.lit(1 << 30)) / F.lit(float(1 << 30)) * F.col("size")).filter(F.col("place") >= reach)
-        leaders = members.filter((F.col("place") < after) & (F.col("rep") != F.col("lead"))).select("key", F.col("rep").alias("x"), F.col("c").alias("cx"), F.col("own").alias("own_x"), F.col("shared").alias("shared_x"), F.col("bands").alias("bands_x"))
+        leaders = members.filter((F.col("place") < after) & (F.col("rep") != F.col("lead"))).select("key", "size", F.col("rep").alias("x"), F.col("c").alias("cx"), F.col("own").alias("own_x"), F.col("shared").alias("shared_x"), F.col("bands").alias("bands_x"))
         other = (F.col("c") != F.col("cx")) & (F.col("rep") != F.col("lead")) & ((F.col("x") < F.col("rep")) | (F.col("place") >= after))
         chance = F.least("shared", "shared_x") >= least * (F.col("own") + F.col("own_x") + F.greatest("shared", "shared_x"))
         first = F.array_intersect("bands_x", "bands")[0] == F.col("key")
-        more = leaders.join(members, "key").filter(other & chance & first)
+        parts = F.ceil(F.col("size") / BUCKET_ROWS).cast("int")  # a large bucket's members meet its leaders in several tasks
+        salted = members.withColumn("part", F.pmod(F.xxhash64(F.lit(5), "rep"), parts).cast("int"))
+        more = leaders.select("*", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part")).drop("size").join(salted, ["key", "part"]).filter(other & chance & first)
         found = _verified(texts, more.select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")), idf, similarity)
         if not found.isEmpty():
             links = settled(links.unionByName(found))
