@@ -39,7 +39,7 @@ SAMPLES, BANDS = 64, 16
 #: Shingles that are sampled at once; draws in the tables of random numbers.
 BLOCK, DRAWS = 512, 1 << 16
 #: Growth of the leaders in each round.
-GROWTH = 64
+GROWTH = 4
 #: Members of a bucket that meet its leaders in one task.
 BUCKET_ROWS = 1000
 #: Slack of bounds on similarity, for rounding.
