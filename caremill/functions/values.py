@@ -60,9 +60,14 @@ def parse_yyyymmdd(value: Column) -> Column:
     return F.when(value.rlike("^[0-9]{8}$"), F.try_to_date(value, "yyyyMMdd"))
 
 
+def dictionary_type(kind: str) -> str:
+    """A dictionary's type without its size, in capitals."""
+    return kind.strip().upper().split("(")[0].strip()
+
+
 def dictionary_cast(value: Column, kind: str) -> Column:
     """A string as its dictionary type; null if it doesn't parse. Unknown types stay strings."""
-    name = kind.strip().upper().split("(")[0]
+    name = dictionary_type(kind)
     if name == "DATE":
         return parse_yyyymmdd(value)
     return value.try_cast({"BIGINT": "bigint", "DECIMAL": "double"}.get(name, "string"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +12,7 @@ from caremill.functions.values import CONCEPTS, SOURCE_VOCABULARIES, UNIT_CODES,
 from caremill.operators import cleaning, coverage, entities, events, intervals, keys, quality, vocabulary
 from caremill.plans.inputs import INPUTS, load, with_inputs
 from caremill.plans.steps import CODED, EXPECTED_SQL, SQL_TYPES, STEPS, death_month, events_of, mapped, percent, quoted, rows_of, select_schema, unique, values
+from caremill.scratch import scratch, settled
 from caremill.sources import readers, writers
 
 QUERIES: dict[str, tuple] = {}
@@ -29,23 +28,10 @@ def query(name: str, sql: str | None, *inputs: str):
     return add
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder below the one that the cluster shares."""
-    top = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spark-')}"
-    return f"{top.rstrip('/')}/plans-{uuid.uuid4().hex}"
-
-
 def clinical(parts: tuple) -> dict[str, DataFrame]:
     return dict(zip(CODED, parts, strict=True))
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """Written down once and read by all that follows."""
-    path = scratch(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 # Sources and sinks
 
 _PATIENT = "_source_id, patient_id, sex, race, ethnicity, CAST(year_of_birth AS VARCHAR) AS year_of_birth, month_year_death"
@@ -59,6 +45,15 @@ def _(spark, patient):
     return readers.read_source(spark, root, "patient")
 
 
+@query("read_unlike_sources", "SELECT _source_id, patient_id, sex, race, CASE WHEN _source_id = 's1' THEN ethnicity END AS ethnicity, CASE WHEN _source_id <> 's0' THEN CAST(year_of_birth AS VARCHAR) END AS year_of_birth FROM patient", "patient")
+def _(spark, patient):
+    """Sources whose columns differ in order and number."""
+    root = scratch(spark)
+    for i, columns in enumerate((["patient_id", "sex", "race"], ["race", "ethnicity", "year_of_birth", "sex", "patient_id"], ["year_of_birth", "patient_id", "race", "sex"])):
+        patient.filter(F.col("_source_id") == f"s{i}").select(*columns).write.option("header", True).csv(f"{root}/s{i}/patient.csv")
+    return readers.read_source(spark, root, "patient")
+
+
 @query("drop_derived", "SELECT patient_id, sex FROM patient", "patient")
 def _(spark, patient):
     return readers.drop_derived(patient.select("patient_id", "sex", F.col("race").alias("race_Derived_By_X"), F.col("ethnicity").alias("DERIVED_BY_Y")))

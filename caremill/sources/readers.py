@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caremill.functions.values import dictionary_cast, parse_yyyymmdd
+from caremill.functions.values import dictionary_cast, dictionary_type, parse_yyyymmdd
 
 #: A value that no file holds: with it as the null value, quoted empty strings stay apart from empty fields.
 NO_VALUE = "\u0001"
@@ -18,10 +18,25 @@ MAPS_TO, NO_VOCABULARY_ID = "Maps to", "None"
 CONCEPT_COLUMNS = ["concept_id", "concept_name", "domain_id", "vocabulary_id", "concept_class_id", "standard_concept", "concept_code", "valid_start_date", "valid_end_date", "invalid_reason"]
 
 
+def source_paths(spark: SparkSession, root: str, table: str) -> dict[str, str]:
+    """The path of ``<root>/<source>/<table>.csv`` of each source that has the table, by source."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/*/{table}.csv")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    return {status.getPath().getParent().getName(): status.getPath().toString() for status in found}
+
+
 def read_source(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """``<root>/<source>/<table>.csv`` of every source, as strings, with _source_id from the folder."""
-    df = spark.read.option("header", True).option("nullValue", NO_VALUE).option("escape", '"').csv(f"{root}/*/{table}.csv")
-    return df.withColumn("_source_id", F.regexp_extract("_metadata.file_path", f"([^/]+)/{table}\\.csv(?:/[^/]+)?$", 1))
+    """``<root>/<source>/<table>.csv`` of every source, as strings, with _source_id from the folder.
+
+    Each source is read by its own header; columns meet by name, and one that a source lacks is null in its rows. No
+    source with the table is an error.
+    """
+    reader = spark.read.option("header", True).option("nullValue", NO_VALUE).option("escape", '"')
+    parts = [reader.csv(path).withColumn("_source_id", F.lit(source)) for source, path in sorted(source_paths(spark, root, table).items())]
+    if not parts:
+        raise ValueError(f"no source has a table {table}")
+    whole = union_sources(parts)
+    return whole.select(*(c for c in whole.columns if c != "_source_id"), "_source_id")
 
 
 def drop_derived(df: DataFrame, pattern: str = DERIVED) -> DataFrame:
@@ -50,7 +65,7 @@ def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
 
 def parse_dates(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Only the date columns of the dictionary."""
-    return df.select(*((parse_yyyymmdd(F.col(c)) if types.get(c, "").upper() == "DATE" else F.col(c)).alias(c) for c in df.columns))
+    return df.select(*((parse_yyyymmdd(F.col(c)) if dictionary_type(types.get(c, "")) == "DATE" else F.col(c)).alias(c) for c in df.columns))
 
 
 def dictionary_diff(a: DataFrame, b: DataFrame, most: int = 5) -> DataFrame:
