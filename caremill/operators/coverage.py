@@ -42,11 +42,18 @@ def record_coverage(df: DataFrame, table: str, codes: DataFrame) -> DataFrame:
 
 
 def coverage(parts: DataFrame) -> DataFrame:
-    """Rows and codes per table, code system and outcome, and their shares of the table. ``parts``: see record_coverage()."""
-    codes = parts.filter("code is not null").select(*KEYS).distinct().groupBy("source_table").agg(F.count("*").alias("_codes"))
-    each = parts.groupBy("source_table", "code_system", "outcome").agg(F.sum("rows").alias("rows"), F.countDistinct("code").alias("codes")).join(codes, "source_table", "left")
-    total = F.sum("rows").over(Window.partitionBy("source_table"))
-    return each.select("source_table", "code_system", "outcome", "rows", percent(F.col("rows"), total, 2).alias("rows_pct"), "codes", F.coalesce(percent(F.col("codes"), F.col("_codes"), 2), F.lit(0.0)).alias("codes_pct"))
+    """Rows and codes per table, code system and outcome, and their shares of the table. ``parts``: see record_coverage().
+
+    A code with several outcomes counts once in its table: its first outcome stands for it. The parts are dealt out by code
+    once, for that mark and for the sums.
+    """
+    each = parts.repartition(*KEYS).groupBy(*KEYS, "outcome").agg(F.sum("rows").alias("rows"))
+    first = F.row_number().over(Window.partitionBy(*KEYS).orderBy("outcome")) == 1
+    coded = F.col("code").isNotNull()
+    sums = each.withColumn("_first", (first & coded).cast("long")).groupBy("source_table", "code_system", "outcome").agg(F.sum("rows").alias("rows"), F.sum(coded.cast("long")).alias("codes"), F.sum("_first").alias("_codes"))
+    whole = Window.partitionBy("source_table")
+    codes = F.sum("_codes").over(whole)
+    return sums.select("source_table", "code_system", "outcome", "rows", percent(F.col("rows"), F.sum("rows").over(whole), 2).alias("rows_pct"), "codes", F.when(codes > 0, percent(F.col("codes"), codes, 2)).otherwise(F.lit(0.0)).alias("codes_pct"))
 
 
 def coverage_by_outcome(table: DataFrame) -> DataFrame:

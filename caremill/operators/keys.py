@@ -1,7 +1,8 @@
 """Deterministic numbering without a sort of all rows in one task.
 
-Rows are numbered in two levels: buckets keep the sort order, so a row's number is the count of rows in the buckets
-before its own plus its place in the bucket. Only the buckets' counts meet in one place: one row for each bucket.
+Rows are dealt out by ranges of their order, whose bounds Spark samples, and written down with the number of their range. A
+row's number is the count of rows in the ranges before its own plus its place in its range. Only the ranges' counts
+meet in one place: one row for each range. Ranges are about equal, whatever the keys look like.
 """
 
 from __future__ import annotations
@@ -12,37 +13,18 @@ from pyspark.sql import functions as F
 from caremill import schemas
 from caremill.functions.values import parse_yyyymm
 from caremill.operators.cleaning import TABLE_DATES, drop_missing_birth_year, optional_column
+from caremill.scratch import settled
 
-#: Persons in a bucket of numeric ids; characters of a patient id that name a bucket of string ids.
-BUCKET_PERSONS, BUCKET_PREFIX = 4096, 6
-#: Buckets of buckets, so that the running sum over them isn't one window either.
-BUCKETS_TOGETHER = 4096
-
-
-def number_rows(df: DataFrame, name: str, order: list[Column], buckets: list[Column]) -> DataFrame:
-    """Number rows 1.. in ``order``. ``buckets``: expressions that no step of the order ever decreases, of which the
-    first is coarse and the last is fine; nulls stand last."""
-    names = [f"_b{i}" for i in range(len(buckets))]
-    marked = df.withColumns(dict(zip(names, buckets, strict=True)))
-    counts = marked.groupBy(*names).agg(F.count("*").alias("_n"))
-    up = [F.col(n).asc_nulls_last() for n in names]
-    if len(names) > 1:
-        coarse = counts.groupBy(names[0]).agg(F.sum("_n").alias("_m"))
-        outer = coarse.select(F.col(names[0]).alias("_c"), F.coalesce(F.sum("_m").over(Window.orderBy(F.col(names[0]).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_outer"))
-        inner = counts.withColumn("_inner", F.coalesce(F.sum("_n").over(Window.partitionBy(names[0]).orderBy(*up).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        offsets = inner.join(outer, F.col(names[0]).eqNullSafe(F.col("_c"))).select(*(F.col(n).alias(f"{n}o") for n in names), (F.col("_inner") + F.col("_outer")).alias("_offset"))
-    else:
-        offsets = counts.select(F.col(names[0]).alias(f"{names[0]}o"), F.coalesce(F.sum("_n").over(Window.orderBy(*up).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
-    same = F.lit(True)
-    for n in names:
-        same = same & F.col(n).eqNullSafe(F.col(f"{n}o"))
-    placed = marked.join(offsets, same).withColumn(name, (F.row_number().over(Window.partitionBy(*names).orderBy(*order)) + F.col("_offset")).cast("long"))
-    return placed.drop(*names, *(f"{n}o" for n in names), "_offset")
-
-
-def person_buckets(person: str = "person_id") -> list[Column]:
-    fine = F.expr(f"({person} - 1) div {BUCKET_PERSONS}")
-    return [F.floor(fine / BUCKETS_TOGETHER), fine]
+
+def number_rows(df: DataFrame, name: str, order: list[Column]) -> DataFrame:
+    """Number rows 1.. in ``order``. The ranges are written down once, since their bounds are sampled anew in each run."""
+    dealt = settled(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    counts = dealt.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select("_range", before.alias("_offset"))
+    placed = dealt.join(F.broadcast(offsets), "_range")  # a row for each range
+    nth = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return placed.withColumn(name, (nth + F.col("_offset")).cast("long")).drop("_range", "_offset")
 
 
 def _ascending(columns: list[str]) -> list[Column]:
@@ -71,8 +53,7 @@ def person_rows(tables: dict[str, DataFrame]) -> DataFrame:
 def person_index(tables: dict[str, DataFrame]) -> DataFrame:
     """Survivors numbered 1..N by (_source_id, patient_id), with their source rows."""
     alive = person_rows(tables).filter("alive").drop("alive")
-    buckets = [F.concat_ws("\0", "_source_id", F.substring("patient_id", 1, BUCKET_PREFIX // 2)), F.substring("patient_id", 1, BUCKET_PREFIX)]
-    numbered = number_rows(alive, "person_id", [F.col("_source_id"), F.col("patient_id")], buckets)
+    numbered = number_rows(alive, "person_id", _ascending(["_source_id", "patient_id"]))
     return numbered.select("_source_id", "patient_id", "person_id", "person_rows")
 
 
@@ -84,7 +65,7 @@ def attach_person_id(df: DataFrame, persons: DataFrame) -> DataFrame:
 def visit_map(encounters: DataFrame) -> DataFrame:
     """Distinct (person_id, encounter_id) numbered 1..N in that order."""
     pairs = encounters.select("person_id", F.col("encounter_id").cast("string").alias("encounter_id")).dropna().distinct()
-    return number_rows(pairs, "visit_occurrence_id", _ascending(["person_id", "encounter_id"]), person_buckets()).select("person_id", "encounter_id", "visit_occurrence_id")
+    return number_rows(pairs, "visit_occurrence_id", _ascending(["person_id", "encounter_id"])).select("person_id", "encounter_id", "visit_occurrence_id")
 
 
 def add_visit_ids(df: DataFrame, visits: DataFrame) -> DataFrame:
@@ -97,7 +78,7 @@ def add_visit_ids(df: DataFrame, visits: DataFrame) -> DataFrame:
 def record_ids(df: DataFrame, name: str, order: list[str]) -> DataFrame:
     """Number rows 1..N in the order of the columns, nulls last; the first of them is person_id."""
     columns = [c for c in df.columns if c != name]
-    return number_rows(df.drop(name), name, _ascending(order), person_buckets(order[0])).select(name, *columns)
+    return number_rows(df.drop(name), name, _ascending(order)).select(name, *columns)
 
 
 def order_columns(table: str) -> list[str]:
