@@ -27,6 +27,13 @@ SOURCE_VOCABULARIES = {
 EHR_TYPE, NO_CONCEPT = 32817, 0
 
 
+def with_overrides(own: dict[str, dict[str, int | None]], maps: dict[str, dict[str, int]] = CONCEPTS) -> dict[str, dict[str, int]]:
+    """The value maps with the user's values added or put in place; a value without a concept is taken out. An unknown map is an error."""
+    if unknown := sorted(set(own) - set(maps)):
+        raise ValueError(f"unknown value maps: {', '.join(unknown)}")
+    return {name: {k: v for k, v in (values | own.get(name, {})).items() if v is not None} for name, values in maps.items()}
+
+
 def map_value(value: Column, mapping: dict[str, int]) -> Column:
     """The value's concept; null and unknown values have NO_CONCEPT."""
     if not mapping:

@@ -13,12 +13,12 @@ from caremill.operators.events import build_from_events
 SOURCE_NAME, SOURCE_SHORT, DESCRIPTION, VERSION, VERSION_CONCEPT = "Record export", "EHR", "EHR export", "v5.4", 756265
 
 
-def person(patients: DataFrame) -> DataFrame:
+def person(patients: DataFrame, maps: dict = CONCEPTS) -> DataFrame:
     """One row per patient row: mapped sex, race and ethnicity, their texts, and the patient id as source value."""
     zero = F.lit(NO_CONCEPT)
     columns = {"person_source_value": F.col("patient_id")}
     for target, source in (("gender", "sex"), ("race", "race"), ("ethnicity", "ethnicity")):
-        columns |= {f"{target}_concept_id": optional_concept(patients, source, CONCEPTS[target]), f"{target}_source_value": optional_column(patients, source), f"{target}_source_concept_id": zero}
+        columns |= {f"{target}_concept_id": optional_concept(patients, source, maps[target]), f"{target}_source_value": optional_column(patients, source), f"{target}_source_concept_id": zero}
     return build_from_events(patients, schemas.TARGET["person"], columns)
 
 
@@ -28,11 +28,11 @@ def death(patients: DataFrame) -> DataFrame:
     return build_from_events(dated, schemas.TARGET["death"], {"death_type_concept_id": F.lit(EHR_TYPE), "cause_concept_id": F.lit(NO_CONCEPT), "cause_source_concept_id": F.lit(NO_CONCEPT)})
 
 
-def visit(encounters: DataFrame) -> DataFrame:
+def visit(encounters: DataFrame, maps: dict = CONCEPTS) -> DataFrame:
     """One row per encounter row with its visit id."""
     zero = F.lit(NO_CONCEPT)
     return build_from_events(encounters, schemas.TARGET["visit_occurrence"], {
-        "visit_concept_id": optional_concept(encounters, "type", CONCEPTS["visit_type"]), "visit_start_date": F.col("start_date"), "visit_end_date": F.col("end_date"), "visit_type_concept_id": F.lit(EHR_TYPE),
+        "visit_concept_id": optional_concept(encounters, "type", maps["visit_type"]), "visit_start_date": F.col("start_date"), "visit_end_date": F.col("end_date"), "visit_type_concept_id": F.lit(EHR_TYPE),
         "visit_source_value": F.col("encounter_id"), "visit_source_concept_id": zero, "admitted_from_concept_id": zero, "discharged_to_concept_id": zero,
     })
 

@@ -31,37 +31,37 @@ def event_projection(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return build_from_events(df, schemas.EVENT, columns | extra)
 
 
-def diagnosis_events(df: DataFrame) -> DataFrame:
+def diagnosis_events(df: DataFrame, maps: dict = CONCEPTS) -> DataFrame:
     flag = "principal_diagnosis_indicator"
-    return event_projection(df, {"_start_date": F.col("date"), "_source_value": qualified_code(F.col("code_system"), F.col("code")), "_status_concept_id": optional_concept(df, flag, CONCEPTS["condition_status"]), "_status_source_value": optional_column(df, flag)})
+    return event_projection(df, {"_start_date": F.col("date"), "_source_value": qualified_code(F.col("code_system"), F.col("code")), "_status_concept_id": optional_concept(df, flag, maps["condition_status"]), "_status_source_value": optional_column(df, flag)})
 
 
 def procedure_events(df: DataFrame) -> DataFrame:
     return event_projection(df, {"_start_date": F.col("date"), "_source_value": qualified_code(F.col("code_system"), F.col("code")), "_modifier_source_value": optional_column(df, "modifier_1")})
 
 
-def medication_events(df: DataFrame) -> DataFrame:
+def medication_events(df: DataFrame, maps: dict = CONCEPTS) -> DataFrame:
     end = F.coalesce(optional_column(df, "end_date", "date"), F.col("start_date"))
-    return event_projection(df, {"_start_date": F.col("start_date"), "_end_date": end, "_source_value": F.col("code"), "_route_concept_id": optional_concept(df, "route", CONCEPTS["route"]), "_route_source_value": optional_column(df, "route")})
+    return event_projection(df, {"_start_date": F.col("start_date"), "_end_date": end, "_source_value": F.col("code"), "_route_concept_id": optional_concept(df, "route", maps["route"]), "_route_source_value": optional_column(df, "route")})
 
 
-def result_events(df: DataFrame, units: DataFrame, number: str, text: str) -> DataFrame:
+def result_events(df: DataFrame, units: DataFrame, number: str, text: str, maps: dict = CONCEPTS) -> DataFrame:
     """Results with number, text and unit; ``units``: units_of_measure, unit_concept_id, of bounded size by nature."""
     found = units.select(F.col("units_of_measure").alias("_unit"), F.col("unit_concept_id").alias("_unit_id"))
     joined = df.join(found, optional_column(df, "units_of_measure") == F.col("_unit"), "left")
     said = optional_column(df, text)
     return event_projection(joined, {
         "_start_date": F.col("date"), "_source_value": F.col("code"), "_value_as_number": optional_column(df, number, "double"), "_value_source_value": F.nullif(said, F.lit("")),
-        "_value_as_concept_id": optional_concept(df, text, CONCEPTS["lab_value"]), "_unit_concept_id": F.coalesce("_unit_id", F.lit(NO_CONCEPT)), "_unit_source_value": optional_column(df, "units_of_measure"),
+        "_value_as_concept_id": optional_concept(df, text, maps["lab_value"]), "_unit_concept_id": F.coalesce("_unit_id", F.lit(NO_CONCEPT)), "_unit_source_value": optional_column(df, "units_of_measure"),
     })
 
 
-def lab_events(df: DataFrame, units: DataFrame) -> DataFrame:
-    return result_events(df, units, "lab_result_num_val", "lab_result_text_val")
+def lab_events(df: DataFrame, units: DataFrame, maps: dict = CONCEPTS) -> DataFrame:
+    return result_events(df, units, "lab_result_num_val", "lab_result_text_val", maps)
 
 
-def vitals_events(df: DataFrame, units: DataFrame) -> DataFrame:
-    return result_events(df, units, "value", "text_value")
+def vitals_events(df: DataFrame, units: DataFrame, maps: dict = CONCEPTS) -> DataFrame:
+    return result_events(df, units, "value", "text_value", maps)
 
 
 #: What the columns of each target table are taken from; columns named here alone are 0 or the record type.

@@ -13,11 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caremill import schemas
-from caremill.functions.values import SOURCE_VOCABULARIES, UNIT_CODES
+from caremill.functions.values import SOURCE_VOCABULARIES, UNIT_CODES, with_overrides
 from caremill.operators import coverage as cover
 from caremill.operators import events, intervals, keys, quality, vocabulary
 from caremill.operators.cleaning import TABLE_DATES, clean_tables
 from caremill.operators.entities import cdm_source, death, person, visit
+from caremill.scratch import settled
 from caremill.sources import readers, writers
 
 RECORDS = ("diagnosis", "procedure", "medication_ingredient", "lab_result", "vitals_signs")
@@ -56,12 +57,18 @@ def read_metadata(spark: SparkSession, root: str, name: str, columns: list[str])
     return spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))
 
 
-def convert(spark: SparkSession, source_root: str, vocabulary_root: str, out_root: str, released: str, mapping: dict = SOURCE_VOCABULARIES, overrides: dict[str, str] = UNIT_CODES) -> dict[str, str]:
-    """Convert ``<source_root>/<source>/<table>.csv`` with the vocabulary's files; return the folder of each table written."""
+def convert(spark: SparkSession, source_root: str, vocabulary_root: str, out_root: str, released: str, mapping: dict = SOURCE_VOCABULARIES, overrides: dict[str, str] = UNIT_CODES, values: dict | None = None, export: bool = False) -> dict[str, str]:
+    """Convert ``<source_root>/<source>/<table>.csv`` with the vocabulary's files; return the folder of each table written.
+
+    ``values``: concepts of source values that replace or add to the built-in ones, by map (see with_overrides()).
+    ``export``: write the vocabulary's tables too, and all concepts in place of those that the other tables name.
+    Row counts, referenced concepts that are missing, and unit codes without a concept go to ``notes``.
+    """
+    named = with_overrides(values or {})
     work = f"{spark.conf.get('spark.checkpoint.dir', None) or out_root + '/_work'}/convert-{uuid.uuid4().hex}"
 
-    def kept(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{work}/{name}")
+    def kept(df: DataFrame, name: str, *by: str) -> DataFrame:
+        df.write.partitionBy(*by).parquet(f"{work}/{name}")
         return spark.read.schema(df.schema).parquet(f"{work}/{name}")
 
     files = read_vocabulary(spark, vocabulary_root)
@@ -80,17 +87,18 @@ def convert(spark: SparkSession, source_root: str, vocabulary_root: str, out_roo
     units = vocabulary.collect_units(measured) if measured else spark.createDataFrame([], "units_of_measure string")
     found, named_units = vocabulary.build_lookup(concepts, maps, vocabulary.collect_codes(records, mapping), units, mapping, overrides)
     codes, named_units = kept(found, "codes"), kept(named_units, "units")
-    adapters = {"diagnosis": events.diagnosis_events, "procedure": events.procedure_events, "medication_ingredient": events.medication_events, "lab_result": lambda d: events.lab_events(d, named_units), "vitals_signs": lambda d: events.vitals_events(d, named_units)}
-    applied = {n: vocabulary.apply_lookup(t, codes, n) for n, t in records.items()}
+    adapters = {"diagnosis": lambda d: events.diagnosis_events(d, named), "procedure": events.procedure_events, "medication_ingredient": lambda d: events.medication_events(d, named), "lab_result": lambda d: events.lab_events(d, named_units, named), "vitals_signs": lambda d: events.vitals_events(d, named_units, named)}
+    # joined once and laid out by domain: each target table reads its own part
+    applied = {n: vocabulary.split_lookup(kept(vocabulary.join_lookup(t, codes, n), f"resolved/{n}", "_domain_id")) for n, t in records.items()}
 
     written: dict[str, str] = {}
 
     def put(df: DataFrame, name: str) -> None:
         written[name] = writers.write_table(df, out_root, name)
 
-    put(person(clean["patient"]), "person")
+    put(person(clean["patient"], named), "person")
     put(death(clean["patient"]), "death")
-    put(visit(clean["encounter"]) if "encounter" in clean else writers.empty_table(spark, schemas.TARGET["visit_occurrence"]), "visit_occurrence")
+    put(visit(clean["encounter"], named) if "encounter" in clean else writers.empty_table(spark, schemas.TARGET["visit_occurrence"]), "visit_occurrence")
     routed = vocabulary.route_by_domain({n: mapped for n, (mapped, _) in applied.items()}, adapters) if applied else {n: writers.empty_table(spark, schemas.TARGET[n]) for n in schemas.DOMAIN_TABLE.values()}
     for name, df in routed.items():
         put(keys.order_table(df, name), name)
@@ -104,13 +112,46 @@ def convert(spark: SparkSession, source_root: str, vocabulary_root: str, out_roo
     for name, df in intervals.build_eras(table("condition_occurrence"), table("drug_exposure"), pairs).items():
         put(df, name)
     terms = readers.load_terminology([readers.read_source(spark, source_root, "standardized_terminology").select("code_system", "code", "code_description", "_source_id")]) if exists(spark, f"{source_root}/*/standardized_terminology.csv") else spark.createDataFrame([], "code_system string, code string, code_description string")
-    put(vocabulary.concept_table(concepts, vocabulary.referenced_concepts([table(n) for n in written]), terms, mapping), "concept")
+    referenced = kept(vocabulary.referenced_concepts([table(n) for n in written]), "referenced")
+    if export:
+        written |= {r["table"]: f"{out_root}/{r['table']}" for r in writers.export_vocabulary(files | {"concept": concepts}, terms, out_root).collect()}
+    else:
+        put(vocabulary.concept_table(concepts, referenced, terms, mapping), "concept")
+    numbers = [quality.table_counts({n: table(n) for n in written}).select(F.lit("rows").alias("kind"), F.col("table").alias("name"), F.col("rows").alias("n"))]
+    numbers.append(vocabulary.missing_concepts(referenced, concepts).select(F.lit("missing_concepts").alias("kind"), F.concat_ws(",", "examples").alias("name"), F.col("n_missing").alias("n")).filter("n > 0"))
+    numbers.append(vocabulary.missing_unit_overrides(concepts, overrides).select(F.lit("unknown_unit_code").alias("kind"), F.col("concept_code").alias("name"), F.lit(1).cast("long").alias("n")))
+    written["notes"] = f"{out_root}/notes"
+    reduce(DataFrame.unionByName, numbers).coalesce(1).write.mode("overwrite").option("header", True).csv(written["notes"])
     if applied:
         parts = reduce(DataFrame.unionByName, (cover.record_coverage(records[n], n, codes) for n in records))
         written["coverage"] = writers.write_coverage(cover.coverage(parts), out_root)
     return written
 
 
+def coverage_report(spark: SparkSession, source_root: str, vocabulary_root: str, mapping: dict = SOURCE_VOCABULARIES, overrides: dict[str, str] = UNIT_CODES) -> dict[str, DataFrame]:
+    """How far a vocabulary covers an export, without converting it: every table of the report by name."""
+    files, raw = read_vocabulary(spark, vocabulary_root), read_typed(spark, source_root)
+    concepts, maps = readers.scan_concepts(files["concept"]), readers.scan_maps_to(files["concept_relationship"])
+    records = {n: raw[n] for n in RECORDS if n in raw}
+    counts, unit_counts = settled(cover.source_code_counts(records)), settled(cover.source_unit_counts(records)) if any("units_of_measure" in t.columns for t in records.values()) else None
+    units = unit_counts.select("units_of_measure").dropna().distinct() if unit_counts else spark.createDataFrame([], "units_of_measure string")
+    found, named_units = vocabulary.build_lookup(concepts, maps, counts.select(*vocabulary.KEYS).dropna(), units, mapping, overrides)
+    codes = settled(found)
+    mapped = settled(cover.mapped_codes(counts, codes, concepts, mapping))
+    known = files["vocabulary"]
+    out = {
+        "code_systems": cover.code_system_pairs(counts, mapping), "vocabularies": cover.vocabulary_availability(known, concepts, mapping), "self_mapping": cover.self_mapping(mapped, maps),
+        "by_code": cover.coverage_by_code(mapped), "by_row": cover.coverage_by_row(mapped), "totals": cover.coverage_totals(mapped), "target_domains": cover.target_domains(codes, counts),
+        "multi_target": cover.top_multi_target(mapped), "unmapped_by_reason": cover.unmapped_by_reason(mapped, known), "top_unmapped": cover.top_unmapped(mapped, known),
+    }
+    if unit_counts:
+        marked = cover.marked_units(unit_counts, named_units)
+        out |= {"units": cover.unit_summary(marked), "top_units": cover.top_units(marked), "top_unmatched_units": cover.top_units(marked, unmatched=True)}
+    if "lab_result_text_val" in (records["lab_result"].columns if "lab_result" in records else []):
+        out["texts"] = cover.top_text_values(cover.source_text_counts(records["lab_result"]))
+    return out
+
+
 def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Written tables by name."""
     known = [*schemas.TARGET, *schemas.ERA, *schemas.VOCABULARY]

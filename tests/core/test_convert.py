@@ -60,3 +60,21 @@ def test_counts_and_rows(spark, out):
     assert [tuple(r) for r in t["drug_era"].select("drug_era_start_date", "drug_era_end_date", "drug_exposure_count", "gap_days").collect()] == [(dt.date(2020, 1, 1), dt.date(2020, 1, 20), 2, 10)]
     left = spark.read.parquet(f"{out}/excluded/diagnosis")
     assert sorted((r.code, r.exclusion_reason) for r in left.collect()) == [("C81", "unsupported_domain"), ("none", "no_source_concept")]
+
+
+def test_notes(spark, out):
+    notes = {(r.kind, r.name): int(r.n) for r in spark.read.option("header", True).csv(f"{out}/notes").collect()}
+    assert notes["rows", "person"] == 2 and notes["rows", "condition_occurrence"] == 2
+
+
+def test_value_overrides_and_report(spark, out):
+    root = out.rsplit("/", 1)[0]
+    written = caremill.convert(spark, f"{root}/sources", f"{root}/vocabulary", f"{root}/out2", "2024-05-01", values={"gender": {"M": 1, "F": None}}, export=True)
+    assert spark.read.parquet(written["concept"]).count() == len(VOCABULARY["CONCEPT"].strip().split("\n")) - 1
+    assert spark.read.parquet(written["concept_relationship"]).count() == 4 and spark.read.parquet(written["vocabulary"]).count() == 1
+    assert sorted(r.gender_concept_id for r in spark.read.parquet(written["person"]).collect()) == [0, 1]
+    with pytest.raises(ValueError, match="unknown value maps"):
+        caremill.convert(spark, f"{root}/sources", f"{root}/vocabulary", f"{root}/out3", "2024-05-01", values={"sex": {}})
+    report = caremill.coverage_report(spark, f"{root}/sources", f"{root}/vocabulary")
+    assert {(r.source_table, r.rows, r.rows_std) for r in report["totals"].collect()} == {("diagnosis", 6, 4), ("medication_ingredient", 2, 2), ("lab_result", 2, 2)}
+    assert all(df.columns and df.count() >= 0 for df in report.values())
