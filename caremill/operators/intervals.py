@@ -19,9 +19,10 @@ INGREDIENT_CLASS, INGREDIENT_VOCABULARIES, PERIOD_TYPE = "Ingredient", ("RxNorm"
 def merge_intervals(df: DataFrame, keys: list[str], gap: int, aggregates: list[Column]) -> DataFrame:
     """Intervals (start, end) of a key that start at most ``gap`` days after all earlier ones have ended, as one.
 
-    Returns keys, start, end and the aggregates. One shuffle on the keys; a window in order of start.
+    Returns keys, start, end and the aggregates. An interval without a start is one by itself. One shuffle on the keys; a window
+    in order of start, those without one last.
     """
-    w = Window.partitionBy(*keys).orderBy("start", "end")
+    w = Window.partitionBy(*keys).orderBy(F.col("start").asc_nulls_last(), F.col("end").asc_nulls_last())
     reach = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
     marked = df.withColumn("_new", F.when(F.datediff("start", reach) <= gap, 0).otherwise(1))
     grouped = marked.withColumn("_era", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
@@ -29,9 +30,12 @@ def merge_intervals(df: DataFrame, keys: list[str], gap: int, aggregates: list[C
 
 
 def condition_eras(conditions: DataFrame) -> DataFrame:
-    """person_id, condition_concept_id, condition_era_start_date, condition_era_end_date, condition_occurrence_count."""
+    """person_id, condition_concept_id, condition_era_start_date, condition_era_end_date, condition_occurrence_count.
+
+    A record without a start date is an era by itself.
+    """
     start, end = F.col("condition_start_date"), F.col("condition_end_date")
-    spans = conditions.filter("condition_concept_id <> 0 and condition_start_date is not null").select("person_id", "condition_concept_id", start.alias("start"), F.greatest(F.coalesce(end, F.date_add(start, 1)), start).alias("end"))
+    spans = conditions.filter("condition_concept_id <> 0").select("person_id", "condition_concept_id", start.alias("start"), F.greatest(F.coalesce(end, F.date_add(start, 1)), start).alias("end"))
     eras = merge_intervals(spans, ["person_id", "condition_concept_id"], ERA_GAP, [F.count("*").alias("condition_occurrence_count")])
     return eras.withColumnsRenamed({"start": "condition_era_start_date", "end": "condition_era_end_date"})
 
@@ -40,11 +44,12 @@ def drug_eras(exposures: DataFrame, ingredients: DataFrame) -> DataFrame:
     """person_id, drug_concept_id (of the ingredient), drug_era_start_date, drug_era_end_date, drug_exposure_count, gap_days.
 
     Exposures that touch are merged first, so that gap_days is the length of an era without what they cover.
+    An exposure without a start date is an era by itself, without gap_days.
     """
     start = F.col("drug_exposure_start_date")
     end = F.coalesce(F.col("drug_exposure_end_date"), F.date_add(start, F.col("days_supply").cast("int")), F.date_add(start, 1))
     key = ["person_id", "ingredient_concept_id"]
-    spans = exposures.filter("drug_exposure_start_date is not null").join(ingredients, "drug_concept_id").select(*key, start.alias("start"), F.greatest(end, start).alias("end"))
+    spans = exposures.join(ingredients, "drug_concept_id").select(*key, start.alias("start"), F.greatest(end, start).alias("end"))
     stretches = merge_intervals(spans, key, 0, [F.count("*").alias("n")])
     covered = stretches.withColumn("days", F.datediff("end", "start"))
     eras = merge_intervals(covered, key, ERA_GAP, [F.sum("n").alias("drug_exposure_count"), F.sum("days").alias("_days")])
