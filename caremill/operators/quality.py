@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caremill import schemas
+from caremill.scratch import settled
 
 ISSUES = "check string, table string, error_type string, column string, n_bad long, examples array<string>, skipped boolean"
 EXAMPLES = 5
@@ -36,12 +37,16 @@ def _some(values: Column) -> Column:
 
 def check_schema(df: DataFrame | None, table: str, schema: T.StructType, spark: SparkSession) -> DataFrame:
     """Missing table, missing and extra columns, other types (an all-null column may have any). Looks at metadata only."""
+    return issue_rows(spark, _schema_faults(df, table, schema))
+
+
+def _schema_faults(df: DataFrame | None, table: str, schema: T.StructType) -> list[tuple]:
     if df is None:
-        return issue_rows(spark, [("schema", table, "FILE_MISSING", None, None, None, False)])
+        return [("schema", table, "FILE_MISSING", None, None, None, False)]
     want, have = {f.name: f.dataType for f in schema}, {f.name: f.dataType for f in df.schema}
     found = [("MISSING_COLUMNS", c) for c in want if c not in have] + [("EXTRA_COLUMNS", c) for c in have if c not in want]
     found += [("TYPE_MISMATCH", c) for c in want if c in have and have[c] != want[c] and have[c] != T.NullType()]
-    return issue_rows(spark, [("schema", table, kind, c, None, None, False) for kind, c in found])
+    return [("schema", table, kind, c, None, None, False) for kind, c in found]
 
 
 def check_primary_key(df: DataFrame, table: str, key: str) -> DataFrame:
@@ -58,7 +63,11 @@ def check_required(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
 
 
 def check_tables_present(spark: SparkSession, present: list[str], expected: list[str]) -> DataFrame:
-    return issue_rows(spark, [("tables", t, "TABLES_MISSING", None, None, None, False) for t in expected if t not in present])
+    return issue_rows(spark, _absent(present, expected))
+
+
+def _absent(present: list[str], expected: list[str]) -> list[tuple]:
+    return [("tables", t, "TABLES_MISSING", None, None, None, False) for t in expected if t not in present]
 
 
 def check_single_row(df: DataFrame, table: str = "cdm_source") -> DataFrame:
@@ -139,37 +148,91 @@ def check_coverage(coverage: DataFrame, excluded: DataFrame, tables: DataFrame)
     return one.unionByName(two)
 
 
+def _filled(df: DataFrame, table: str, needed: list[str], main: str | None) -> DataFrame:
+    """check_required and check_event_zero in one pass over the table."""
+    marks = [("required", "NULL_REQUIRED_COLUMN", c, F.col(c).isNull()) for c in needed]
+    if main:
+        marks.append(("event_zero", "ZERO_EVENT_CONCEPT", main, F.coalesce(F.col(main), F.lit(0)) == 0))
+    counts = df.agg(*(F.count_if(bad).alias(f"n{i}") for i, (*_, bad) in enumerate(marks)))
+    each = F.array(*(F.struct(F.lit(check).alias("check"), F.lit(kind).alias("kind"), F.lit(c).alias("column"), F.col(f"n{i}").alias("n")) for i, (check, kind, c, _) in enumerate(marks)))
+    return counts.select(F.lit(table).alias("table"), F.explode(each).alias("x")).select("table", "x.*").filter("n > 0").withColumn("e", _nothing())
+
+
+def _stacked(tables: dict[str, DataFrame], column_of: dict[str, str]) -> list[DataFrame]:
+    """(table, column, value) of one column of each table: one frame for each type of value."""
+    kinds: dict[str, list[DataFrame]] = {}
+    for name, c in column_of.items():
+        df = tables[name]
+        kinds.setdefault(df.schema[c].dataType.simpleString(), []).append(df.select(F.lit(name).alias("table"), F.lit(c).alias("column"), F.col(c).alias("value")))
+    return [reduce(DataFrame.unionByName, parts) for parts in kinds.values()]
+
+
+def _repeats(rows: DataFrame) -> DataFrame:
+    """check_primary_key of many tables, by one shuffle. ``rows``: see _stacked()."""
+    n = rows.groupBy("table", "column", "value").count().filter("count > 1").groupBy("table", "column").agg(F.sum(F.col("count") - 1).alias("n"))
+    return n.select(F.lit("primary_key").alias("check"), F.lit("DUPLICATE_PRIMARY_KEY").alias("kind"), "*", _nothing().alias("e"))
+
+
+def _with_examples(bad: DataFrame) -> DataFrame:
+    """check, kind, table, column, n, e of distinct bad values. They are written down, since counts and examples both read them."""
+    bad, of = settled(bad), ["check", "kind", "table", "column"]
+    nth = F.row_number().over(Window.partitionBy(*of).orderBy(F.col("value").asc_nulls_last()))
+    least = bad.withColumn("_n", nth).filter(F.col("_n") <= EXAMPLES).groupBy(*of).agg(F.collect_list("value").alias("e"))
+    return bad.groupBy(*of).agg(F.count("*").alias("n")).join(least, of).withColumn("e", _some(F.col("e")))
+
+
+def _concept_faults(tables: dict[str, DataFrame], concepts: DataFrame) -> DataFrame:
+    """The checks of concepts over many tables: each table is read once, and the distinct ids of all meet the concepts once."""
+    ids = reduce(DataFrame.unionByName, (concept_ids(df).withColumn("table", F.lit(n)) for n, df in tables.items()))
+    known = concepts.select("concept_id", *(F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("standard_concept", "domain_id", "concept_class_id")), F.lit(True).alias("known"))
+    exists, source = F.col("known").isNotNull(), F.col("column").endswith("_source_concept_id")
+    tests = [("concepts_exist", "MISSING_CONCEPT", ~exists), ("standard", "NON_STANDARD_CONCEPT", exists & ~source & (F.col("standard_concept") != "S"))]
+    at = lambda n, c: exists & (F.col("table") == n) & (F.col("column") == c)
+    tests += [("event_domain", "DOMAIN_MISMATCH", at(n, c) & (F.col("domain_id") != SUPPORTED[n])) for n, c in schemas.MAIN_CONCEPT.items() if n in tables]
+    tests += [("era_concepts", "ERA_CONCEPT_MISMATCH", at(n, c) & (F.col(attribute) != wanted)) for n, (c, attribute, wanted) in ERA_CONCEPTS.items() if n in tables]
+    failed = F.array_compact(F.array(*(F.when(bad, F.struct(F.lit(check).alias("check"), F.lit(kind).alias("kind"))) for check, kind, bad in tests)))
+    each = ids.join(known, "concept_id", "left").select("table", "column", F.col("concept_id").alias("value"), F.explode(failed).alias("x"))
+    return _with_examples(each.select("x.*", "table", "column", "value").distinct())
+
+
 def validate(tables: dict[str, DataFrame], coverage: DataFrame | None = None, excluded: DataFrame | None = None) -> DataFrame:
-    """Every check that the tables at hand allow; one that lacks its table is a skipped row."""
+    """Every check that the tables at hand allow; one that lacks its table is a skipped row.
+
+    Tables are checked together: keys, person ids and concept ids of all tables are each made distinct and looked up by one
+    shuffle, so the plan doesn't grow by a join for every table and column. Bad ids are written to the shared folder.
+    """
     spark = next(iter(tables.values())).sparkSession
-    known = schemas.TARGET | {n: s for n, s in (schemas.ERA | schemas.VOCABULARY).items() if n in tables}
-    parts = [check_tables_present(spark, list(tables), list(schemas.TARGET))]
+    known = {n: s for n, s in (schemas.TARGET | schemas.ERA | schemas.VOCABULARY).items() if n in tables}
+    seen = _absent(list(tables), list(schemas.TARGET))
+    parts, keys = [], {}
     for name, schema in known.items():
-        if name not in tables:
-            continue
-        df = tables[name]
-        parts.append(check_schema(df, name, schema, spark))
-        if needed := [c for c in schemas.required(schema) if c in df.columns]:
-            parts.append(check_required(df, name, needed))
+        df, main = tables[name], schemas.MAIN_CONCEPT.get(name)
+        seen += _schema_faults(df, name, schema)
+        needed, main = [c for c in schemas.required(schema) if c in df.columns], main if main in df.columns else None
+        if needed or main:
+            parts.append(_filled(df, name, needed, main))
         if (key := schemas.primary_key(schema)) in df.columns:
-            parts.append(check_primary_key(df, name, key))
-        if "person" in tables and "person_id" in df.columns and name != "person":
-            parts.append(check_person_refs(df, name, tables["person"]))
-        if name in schemas.MAIN_CONCEPT:
-            parts.append(check_event_zero(df, name, schemas.MAIN_CONCEPT[name]))
-        if "concept" in tables and name not in schemas.VOCABULARY and name != "concept" and any(c.endswith("_concept_id") for c in df.columns):
-            parts += [check_concepts_exist(df, name, tables["concept"]), check_standard(df, name, tables["concept"])]
-            if name in schemas.MAIN_CONCEPT:
-                parts.append(check_event_domain(df, name, schemas.MAIN_CONCEPT[name], tables["concept"]))
-            if name in ERA_CONCEPTS:
-                parts.append(check_era_concepts(df, name, tables["concept"]))
+            keys[name] = key
+    parts += [_repeats(rows) for rows in _stacked(tables, keys)]
+    if "person" in tables:
+        refs = {n: "person_id" for n in known if n != "person" and "person_id" in tables[n].columns}
+        persons = tables["person"].select(F.col("person_id").alias("value"))
+        for rows in _stacked(tables, refs):
+            gone = rows.distinct().join(persons, "value", "left_anti")
+            parts.append(_with_examples(gone.select(F.lit("person_refs").alias("check"), F.lit("INVALID_PERSON_ID").alias("kind"), "table", "column", "value")))
+    if "concept" in tables:
+        coded = {n: tables[n] for n in known if n not in schemas.VOCABULARY and n != "concept" and any(c.endswith("_concept_id") for c in tables[n].columns)}
+        if coded:
+            parts.append(_concept_faults(coded, tables["concept"]))
+    skipped = [("person_refs", "person")] * ("person" not in tables) + [("concepts_exist", "concept"), ("standard", "concept")] * ("concept" not in tables) + [("coverage", "coverage")] * (coverage is None or excluded is None)
+    seen += [(c, t, "SKIPPED", None, None, None, True) for c, t in skipped]
+    found = [issue_rows(spark, seen)]
+    found += [p.select("check", "table", F.col("kind").alias("error_type"), "column", F.col("n").cast("long").alias("n_bad"), F.col("e").alias("examples"), F.lit(False).alias("skipped")) for p in parts]
     if "cdm_source" in tables:
-        parts.append(check_single_row(tables["cdm_source"]))
-    gone = [("person_refs", "person")] * ("person" not in tables) + [("concepts_exist", "concept"), ("standard", "concept")] * ("concept" not in tables) + [("coverage", "coverage")] * (coverage is None or excluded is None)
-    parts.append(issue_rows(spark, [(c, t, "SKIPPED", None, None, None, True) for c, t in gone]))
+        found.append(check_single_row(tables["cdm_source"]))
     if coverage is not None and excluded is not None:
-        parts.append(check_coverage(coverage, excluded, table_counts({t: tables[t] for t in schemas.DOMAIN_TABLE.values() if t in tables})))
-    return reduce(DataFrame.unionByName, parts)
+        found.append(check_coverage(coverage, excluded, table_counts({t: tables[t] for t in schemas.DOMAIN_TABLE.values() if t in tables})))
+    return reduce(DataFrame.unionByName, found)
 
 
 def _pattern(glob: Column) -> Column:

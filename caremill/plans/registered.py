@@ -971,7 +971,7 @@ def _(spark, patient, encounter, terminology, pairs, *parts):
     tables["observation_period"] = settled(intervals.observation_period(tables))
     tables |= {n: settled(df) for n, df in intervals.build_eras(tables["condition_occurrence"], tables["drug_exposure"], pairs).items()}
     cover = coverage.coverage(settled(reduce(DataFrame.unionByName, (coverage.record_coverage(df, t, codes) for t, df in sources.items()))))
-    return quality.validate(tables, settled(cover), _excluded(sources, codes))
+    return quality.validate(tables, settled(cover), settled(_excluded(sources, codes)))
 
 
 INPUTS["results"] = "SELECT CASE p_size % 4 WHEN 0 THEN 'Table_' ELSE 'field_' END || p_brand || '.' || CAST(p_partkey AS STRING) AS check_id, CASE WHEN p_size % 3 = 0 THEN 1 ELSE 0 END AS failed, CASE WHEN p_size % 11 = 0 THEN 1 ELSE 0 END AS is_error, CASE WHEN p_size % 7 = 0 THEN 1 ELSE 0 END AS not_applicable FROM part"
