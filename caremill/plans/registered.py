@@ -961,7 +961,8 @@ def _(spark, patient, encounter, terminology, pairs, *parts):
     """All checks over all target and era tables, with coverage and left-out rows."""
     sources, codes, units = _lookup(spark, *parts)
     codes, units = settled(codes), settled(units)
-    applied = {t: vocabulary.apply_lookup(df, codes, t) for t, df in sources.items()}
+    # joined once: each target table and the left-out rows read what was written
+    applied = {t: vocabulary.split_lookup(settled(vocabulary.join_lookup(df, codes, t))) for t, df in sources.items()}
     tables = {"person": entities.person(patient), "death": entities.death(patient), "visit_occurrence": entities.visit(keys.add_visit_ids(encounter, keys.visit_map(encounter)))}
     tables |= {n: keys.order_table(df, n) for n, df in vocabulary.route_by_domain({t: good for t, (good, _) in applied.items()}, _adapters(units)).items()}
     details = patient.select(F.col("_source_id").alias("network_name"), F.concat("month_year_death", F.lit("01")).alias("date_created"))
@@ -971,7 +972,8 @@ def _(spark, patient, encounter, terminology, pairs, *parts):
     tables["observation_period"] = settled(intervals.observation_period(tables))
     tables |= {n: settled(df) for n, df in intervals.build_eras(tables["condition_occurrence"], tables["drug_exposure"], pairs).items()}
     cover = coverage.coverage(settled(reduce(DataFrame.unionByName, (coverage.record_coverage(df, t, codes) for t, df in sources.items()))))
-    return quality.validate(tables, settled(cover), settled(_excluded(sources, codes)))
+    left_out = reduce(DataFrame.unionByName, (gone.select(F.lit(t).alias("source_table"), "exclusion_reason") for t, (_, gone) in applied.items()))
+    return quality.validate(tables, settled(cover), settled(quality.excluded_counts(left_out)))
 
 
 INPUTS["results"] = "SELECT CASE p_size % 4 WHEN 0 THEN 'Table_' ELSE 'field_' END || p_brand || '.' || CAST(p_partkey AS STRING) AS check_id, CASE WHEN p_size % 3 = 0 THEN 1 ELSE 0 END AS failed, CASE WHEN p_size % 11 = 0 THEN 1 ELSE 0 END AS is_error, CASE WHEN p_size % 7 = 0 THEN 1 ELSE 0 END AS not_applicable FROM part"
