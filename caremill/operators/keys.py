@@ -16,9 +16,13 @@ from caremill.operators.cleaning import TABLE_DATES, drop_missing_birth_year, op
 from caremill.scratch import settled
 
 
-def number_rows(df: DataFrame, name: str, order: list[Column]) -> DataFrame:
-    """Number rows 1.. in ``order``. The ranges are written down once, since their bounds are sampled anew in each run."""
-    dealt = settled(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+def number_rows(df: DataFrame, name: str, order: list[Column], ranges: list[Column] | None = None) -> DataFrame:
+    """Number rows 1.. in ``order``. The ranges are written down once, since their bounds are sampled anew in each run.
+
+    ``ranges``: what rows are dealt out by, where it is not the order itself; it must never fall along the order, and rows that
+    are equal in it share a task.
+    """
+    dealt = settled(df.repartitionByRange(*(ranges or order)).withColumn("_range", F.spark_partition_id()))
     counts = dealt.groupBy("_range").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = counts.select("_range", before.alias("_offset"))
