@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from caremill.llm import bpe, chat_format, decontamination, exact_dedup, html_extract, language_id, license_scan, lm_score, near_dedup, substring_dedup
+from caremill.llm import bpe, chat_format, decontamination, exact_dedup, html_extract, language_id, license_scan, lm_score, near_dedup, periodic_runs, substring_dedup, suffix_dedup, whitening
 
-MODULES = [decontamination, language_id, license_scan, exact_dedup, lm_score, bpe, substring_dedup, html_extract, near_dedup, chat_format]
+MODULES = [decontamination, language_id, license_scan, exact_dedup, lm_score, bpe, substring_dedup, html_extract, near_dedup, chat_format, periodic_runs, whitening, suffix_dedup]
 
 
 def queries() -> dict:
