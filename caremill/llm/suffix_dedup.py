@@ -52,7 +52,7 @@ class _Powers:
     @classmethod
     def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(cls.up) < n:
-            cls.up, cls.down = (np.multiply.accumulate(np.concatenate([[1], np.full(n - 1, x, np.uint64)]).astype(np.uint64)) for x in (_ODD, pow(_ODD, -1, 2**64)))
+            cls.up, cls.down = (np.multiply.accumulate(np.array([1] + [x] * (n - 1), np.uint64)) for x in (_ODD, pow(_ODD, -1, 2**64)))
         return cls.up, cls.down
 
 
