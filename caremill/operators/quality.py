@@ -77,7 +77,7 @@ def check_single_row(df: DataFrame, table: str = "cdm_source") -> DataFrame:
 
 def check_person_refs(df: DataFrame, table: str, persons: DataFrame) -> DataFrame:
     """Distinct person ids that the person table lacks; a null one is one of them."""
-    bad = df.select("person_id").distinct().join(persons.select("person_id"), "person_id", "left_anti")
+    bad = settled(df.select("person_id").distinct().join(persons.select("person_id"), "person_id", "left_anti"))
     some = F.slice(F.array_sort(F.collect_list("person_id")), 1, EXAMPLES)
     least = bad.orderBy(F.col("person_id").asc_nulls_last()).limit(EXAMPLES).agg(some.alias("e"))
     n = bad.agg(F.count("*").alias("n")).join(F.broadcast(least), F.lit(True)).filter("n > 0")
@@ -92,7 +92,9 @@ def concept_ids(df: DataFrame, among: list[str] | None = None) -> DataFrame:
 
 
 def _per_column(bad: DataFrame, check: str, table: str, kind: str) -> DataFrame:
-    """Counts per column with the smallest examples; only those EXAMPLES ids of a column are ever collected."""
+    """Counts per column with the smallest examples; only those EXAMPLES ids of a column are ever collected. Bad ids are written
+    down, since both read them."""
+    bad = settled(bad)
     nth = F.row_number().over(Window.partitionBy("column").orderBy("concept_id"))
     least = bad.withColumn("_n", nth).filter(F.col("_n") <= EXAMPLES).groupBy("column").agg(F.collect_list("concept_id").alias("e"))
     n = bad.groupBy("column").agg(F.count("*").alias("n")).join(F.broadcast(least), "column")
@@ -241,14 +243,28 @@ def _pattern(glob: Column) -> Column:
     return F.concat(F.lit("^"), F.regexp_replace(F.regexp_replace(quoted, r"\*", ".*"), r"\?", "."), F.lit("$"))
 
 
+def matches(checks: DataFrame, accepted: DataFrame) -> DataFrame:
+    """check_id and the columns of each pattern that matches it.
+
+    Patterns meet the ids that begin like them: what stands before a pattern's first wildcard is a key of an equi-join, and
+    the expression decides only there. The lengths of these beginnings are one row, of as many numbers as patterns are long.
+    """
+    begin = F.regexp_extract(F.lower("pattern"), "^[^*?]*", 0)
+    known = accepted.withColumns({"_begin": begin, "_p": _pattern(F.col("pattern"))})
+    lengths = known.agg(F.collect_set(F.length("_begin")).alias("_lengths"))
+    ids = checks.select("check_id").distinct().join(F.broadcast(lengths), F.lit(True))
+    begins = F.transform(F.filter("_lengths", lambda n: n <= F.length("check_id")), lambda n: F.lower("check_id").substr(F.lit(1), n))
+    keyed = ids.select("check_id", F.explode(begins).alias("_begin"))
+    return keyed.join(known, "_begin").filter(F.rlike(F.lower("check_id"), F.col("_p"))).drop("_begin", "_p")
+
+
 def triage_results(checks: DataFrame, accepted: DataFrame) -> DataFrame:
     """check_id, outcome (error, not_applicable, passed, accepted, failed), reason of check results.
 
-    ``checks``: check_id, failed, is_error, not_applicable (0 or 1); ``accepted``: pattern, reason — a short list by
-    nature, broadcast whatever joins it. Of several patterns that match, the smallest gives the reason.
+    ``checks``: check_id, failed, is_error, not_applicable (0 or 1); ``accepted``: pattern, reason. Of several patterns that
+    match, the smallest gives the reason.
     """
-    short = accepted.select("pattern", "reason", _pattern(F.col("pattern")).alias("_p"))
-    found = checks.select("check_id").distinct().join(F.broadcast(short), F.rlike(F.lower("check_id"), F.col("_p"))).groupBy("check_id").agg(F.min(F.struct("pattern", "reason")).alias("_best"))
+    found = matches(checks, accepted).groupBy("check_id").agg(F.min(F.struct("pattern", "reason")).alias("_best"))
     joined = checks.join(found, "check_id", "left")
     good = (F.col("is_error") == 0) & (F.col("failed") == 0)
     outcome = F.when(good & (F.col("not_applicable") == 1), "not_applicable").when(good, "passed").when(F.col("_best").isNotNull(), "accepted").when(F.col("is_error") == 1, "error").otherwise("failed")
@@ -257,9 +273,7 @@ def triage_results(checks: DataFrame, accepted: DataFrame) -> DataFrame:
 
 def unused_patterns(checks: DataFrame, accepted: DataFrame) -> DataFrame:
     """Patterns that match no failed or broken check."""
-    failed = checks.filter("failed = 1 or is_error = 1").select("check_id").distinct()
-    short = accepted.select("pattern", _pattern(F.col("pattern")).alias("_p"))
-    used = failed.join(F.broadcast(short), F.rlike(F.lower("check_id"), F.col("_p"))).select("pattern").distinct()
+    used = matches(checks.filter("failed = 1 or is_error = 1"), accepted).select("pattern").distinct()
     return accepted.select("pattern").join(used, "pattern", "left_anti")
 
 

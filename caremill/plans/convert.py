@@ -51,6 +51,12 @@ def read_vocabulary(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return files
 
 
+def read_concepts(spark: SparkSession, root: str, files: dict[str, DataFrame]) -> DataFrame:
+    """All concepts: those of CONCEPT, and of CONCEPT_CPT4 where it is there."""
+    more = readers.scan_vocabulary(spark, f"{root}/CONCEPT_CPT4.csv") if exists(spark, f"{root}/CONCEPT_CPT4.csv") else None
+    return readers.scan_concepts(files["concept"], more)
+
+
 def read_metadata(spark: SparkSession, root: str, name: str, columns: list[str]) -> DataFrame:
     if exists(spark, f"{root}/*/{name}.csv"):
         return readers.read_source(spark, root, name)
@@ -73,8 +79,7 @@ def convert(spark: SparkSession, source_root: str, vocabulary_root: str, out_roo
 
     files = read_vocabulary(spark, vocabulary_root)
     version = readers.vocabulary_version(files["vocabulary"])
-    more = readers.scan_vocabulary(spark, f"{vocabulary_root}/CONCEPT_CPT4.csv") if exists(spark, f"{vocabulary_root}/CONCEPT_CPT4.csv") else None
-    concepts, maps = readers.scan_concepts(files["concept"], more), readers.scan_maps_to(files["concept_relationship"])
+    concepts, maps = read_concepts(spark, vocabulary_root, files), readers.scan_maps_to(files["concept_relationship"])
     raw = {n: kept(t, f"raw/{n}") for n, t in read_typed(spark, source_root).items()}
     persons = kept(keys.person_index(raw), "persons")
     clean = {n: kept(t, f"clean/{n}") for n, t in clean_tables({n: keys.attach_person_id(t, persons) for n, t in raw.items()}).items()}
@@ -131,7 +136,7 @@ def convert(spark: SparkSession, source_root: str, vocabulary_root: str, out_roo
 def coverage_report(spark: SparkSession, source_root: str, vocabulary_root: str, mapping: dict = SOURCE_VOCABULARIES, overrides: dict[str, str] = UNIT_CODES) -> dict[str, DataFrame]:
     """How far a vocabulary covers an export, without converting it: every table of the report by name."""
     files, raw = read_vocabulary(spark, vocabulary_root), read_typed(spark, source_root)
-    concepts, maps = readers.scan_concepts(files["concept"]), readers.scan_maps_to(files["concept_relationship"])
+    concepts, maps = read_concepts(spark, vocabulary_root, files), readers.scan_maps_to(files["concept_relationship"])
     records = {n: raw[n] for n in RECORDS if n in raw}
     counts, unit_counts = settled(cover.source_code_counts(records)), settled(cover.source_unit_counts(records)) if any("units_of_measure" in t.columns for t in records.values()) else None
     units = unit_counts.select("units_of_measure").dropna().distinct() if unit_counts else spark.createDataFrame([], "units_of_measure string")

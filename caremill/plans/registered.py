@@ -463,9 +463,9 @@ def _(spark, labs, vitals):
 def _found(spark, *parts):
     *tables, concepts, relationships = parts
     tables = clinical(tables)
-    named = vocabulary.attach_vocabulary(vocabulary.collect_codes(tables))
-    units = vocabulary.unit_lookup_codes(vocabulary.collect_units([tables["lab_result"], tables["vitals_signs"]]))
-    return named, units, vocabulary.candidate_concepts(concepts, named, units), concepts, readers.scan_maps_to(relationships)
+    named = settled(vocabulary.attach_vocabulary(vocabulary.collect_codes(tables)))
+    units = settled(vocabulary.unit_lookup_codes(vocabulary.collect_units([tables["lab_result"], tables["vitals_signs"]])))
+    return named, units, settled(vocabulary.candidate_concepts(concepts, named, units)), concepts, readers.scan_maps_to(relationships)
 
 
 _VOCABULARY_INPUTS = (*CODED, "concepts", "relationships")

@@ -10,12 +10,14 @@ from caremill.sources.readers import NO_VALUE
 
 
 def follow_source(spark: SparkSession, root: str, table: str, columns: list[str], source: str = "*") -> DataFrame:
-    """read_source() as a stream: each new ``<root>/<source>/<table>.csv`` once; columns are given, not looked up.
+    """read_source() as a stream: each new ``<root>/<source>/<table>.csv``, a file or a folder of files, once; columns are given,
+    not looked up. ``source``: a name or a pattern of names.
 
     A file with another header than the given columns is an error, not misread: follow sources with headers of their own by
     a stream each (``source``) and put these together by union_sources().
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     options = {"header": True, "enforceSchema": False, "nullValue": NO_VALUE, "escape": '"'}
-    df = spark.readStream.schema(schema).options(**options).csv(f"{root}/{source}/{table}.csv")
+    # in braces a single name is a pattern too: a path without one must be a folder
+    df = spark.readStream.schema(schema).options(**options).csv(f"{root}/{{{source}}}/{table}.csv")
     return df.withColumn("_source_id", F.regexp_extract("_metadata.file_path", f"([^/]+)/{table}\\.csv(?:/[^/]+)?$", 1))
