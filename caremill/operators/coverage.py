@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from caremill import schemas
 from caremill.functions.values import SOURCE_VOCABULARIES
 from caremill.operators.vocabulary import EXTENSION, NO_SOURCE, NO_VOCABULARY, UCUM, attach_vocabulary, is_invalid, unique_concepts, vocabulary_map
+from caremill.scratch import settled
 
 KEYS = ["source_table", "code_system", "code"]
 #: The domain that each source table is expected to fill, and the lengths of the reports.
 EXPECTED = {"diagnosis": "Condition", "procedure": "Procedure", "medication_ingredient": "Drug", "lab_result": "Measurement", "vitals_signs": "Measurement"}
 TOP_MULTI, TOP_UNMAPPED, TOP_UNITS, TOP_TEXTS = 15, 20, 30, 30
+#: Counters of a sketch of frequent values, and its error as a multiple of rows / counters (a property of the sketch).
+TRACKED, SKETCH_ERROR = 4096, 3.5
 
 
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:
@@ -206,3 +209,19 @@ def top_text_values(texts: DataFrame, most: int = TOP_TEXTS) -> DataFrame:
     totals = filled.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("all_rows"), _rows(some).alias("text_rows"), F.countDistinct(F.when(some, F.col("lab_result_text_val"))).alias("distinct_texts"))
     per_text = filled.filter(some).groupBy("lab_result_text_val").agg(F.sum("rows").alias("rows"))
     return per_text.orderBy(F.desc("rows"), "lab_result_text_val").limit(most).join(F.broadcast(totals), F.lit(True))
+
+
+def heavy_values(df: DataFrame, column: str, most: int = TOP_TEXTS, tracked: int = TRACKED) -> DataFrame:
+    """The ``most`` most frequent non-null, non-empty values of a column, with their rows; of ties the smaller values.
+
+    A sketch of ``tracked`` counters a task names candidates; sketches are merged, so no value is shuffled. Then the rows of
+    candidates alone are counted, exactly. A value that the sketch doesn't name has at most SKETCH_ERROR / tracked of all rows;
+    unless the last row of a full result has more than that, everything is counted instead, which is cheap where values are few.
+    """
+    text = df.select(F.col(column).cast("string").alias(column)).filter(F.col(column) != "")
+    seen = settled(text.agg(F.count("*").alias("n"), F.expr(f"approx_top_k({column}, {tracked}, {tracked})").alias("found")))
+    named = seen.select(F.explode("found.item").alias(column))  # at most ``tracked`` rows
+    top = lambda rows: rows.groupBy(column).agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), column).limit(most)
+    exact = settled(top(text.join(F.broadcast(named), column, "left_semi")))
+    total, last = seen.select("n").first(), exact.agg(F.count("*").alias("n"), F.min("rows").alias("least")).first()
+    return exact if last.n == most and last.least * tracked > SKETCH_ERROR * total.n else top(text)

@@ -36,7 +36,7 @@ def split_intervals(df: DataFrame, keys: list[str], gap: int, sums: dict[str, Co
     """merge_intervals() with a key's rows in many tasks: keys, start, end and the sums by name.
 
     A key's time is cut into slices of ``days``. The intervals that start in a slice are merged by themselves. What goes from
-    slice to slice is one row a slice: how far its intervals reach, and where the last era that begins in it starts. An
+    slice to slice is one row a slice: how far its intervals reach, and which era is the last that begins in it. An
     interval that a slice before reaches belongs to the last era begun before it. Two shuffles: rows by key and slice,
     then a row for each key and slice, with at most ``days`` merged intervals. No window holds a whole key. An interval without a start is one by
     itself and meets no other.
@@ -45,25 +45,31 @@ def split_intervals(df: DataFrame, keys: list[str], gap: int, sums: dict[str, Co
     part = [*keys, "_slice"]
     sliced = named.filter("start is not null").withColumn("_slice", F.floor(F.unix_date("start") / days))
     islands = merge_intervals(sliced, part, gap, [F.sum(n).alias(n) for n in sums])
-    reach, start = F.max("end").alias("_reach"), F.transform("_islands", lambda x: x["start"])
-    slices = islands.groupBy(*part).agg(reach, F.collect_list(F.struct("start", "end", *sums)).alias("_islands"))
+    inorder = F.array_sort(F.collect_list(F.struct("start", F.col("end").isNull().alias("_open"), "end", *sums)))
+    slices = islands.groupBy(*part).agg(F.max("end").alias("_reach"), inorder.alias("_islands"))
     w = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     before = slices.withColumn("_before", F.max("_reach").over(w))
     held = lambda x: F.coalesce(F.datediff(x, F.col("_before")) <= gap, F.lit(False))
-    begun = before.withColumn("_begun", F.array_max(F.filter(start, lambda x: ~held(x))))
-    eras = begun.withColumn("_last", F.max("_begun").over(w)).select(*keys, "_before", "_last", F.inline("_islands"))
-    era = F.when(held(F.col("start")), F.col("_last")).otherwise(F.col("start"))
+    last = F.when(~held(F.element_at("_islands", -1)["start"]), F.struct("_slice", F.size("_islands").alias("_nth")))
+    eras = before.withColumn("_begun", last).withColumn("_last", F.max("_begun").over(w))
+    eras = eras.select(*keys, "_slice", "_before", "_last", F.posexplode("_islands").alias("_nth", "_x")).select("*", "_x.*")
+    era = F.when(held(F.col("start")), F.col("_last")).otherwise(F.struct("_slice", (F.col("_nth") + 1).alias("_nth")))
     whole = eras.withColumn("_era", era).groupBy(*keys, "_era").agg(F.min("start").alias("start"), F.max("end").alias("end"), *(F.sum(n).alias(n) for n in sums))
     return whole.drop("_era").unionByName(named.filter("start is null"))
 
 
+def condition_spans(conditions: DataFrame) -> DataFrame:
+    """person_id, condition_concept_id, start, end of condition records; a record lasts a day at least."""
+    start, end = F.col("condition_start_date"), F.col("condition_end_date")
+    return conditions.select("person_id", "condition_concept_id", start.alias("start"), F.greatest(F.coalesce(end, F.date_add(start, 1)), start).alias("end"))
+
+
 def condition_eras(conditions: DataFrame) -> DataFrame:
     """person_id, condition_concept_id, condition_era_start_date, condition_era_end_date, condition_occurrence_count.
 
     A record without a start date is an era by itself.
     """
-    start, end = F.col("condition_start_date"), F.col("condition_end_date")
-    spans = conditions.filter("condition_concept_id <> 0").select("person_id", "condition_concept_id", start.alias("start"), F.greatest(F.coalesce(end, F.date_add(start, 1)), start).alias("end"))
+    spans = condition_spans(conditions.filter("condition_concept_id <> 0"))
     eras = split_intervals(spans, ["person_id", "condition_concept_id"], ERA_GAP, {"condition_occurrence_count": F.lit(1).cast("long")})
     return eras.withColumnsRenamed({"start": "condition_era_start_date", "end": "condition_era_end_date"})
 
@@ -128,7 +134,7 @@ def closure_from_edges(edges: DataFrame, most: int = 1000) -> DataFrame:
     itself = cyclic.select("a", F.col("a").alias("d"))
     through = above.select("a", F.col("d").alias("_c")).join(below.select(F.col("a").alias("_c"), "d"), "_c").select("a", "d")
     endless = through.unionByName(above.select("a", "d")).unionByName(below.select("a", "d")).unionByName(itself).distinct().withColumn("_endless", F.lit(True))
-    nodes = step.select("a").unionByName(step.select("d")).unionByName(loops).distinct()
+    nodes = step.select("a").unionByName(step.select(F.col("d").alias("a"))).unionByName(loops).distinct()
     zero = nodes.select("a", F.col("a").alias("d"), F.lit(0).alias("least"))
     pairs = zero.unionByName(least.filter("a <> d").select("a", "d", F.col("level").alias("least")))
     joined = pairs.join(longest, ["a", "d"], "left").join(endless, ["a", "d"], "left")

@@ -87,8 +87,31 @@ def check_person_refs(df: DataFrame, table: str, persons: DataFrame) -> DataFram
 def concept_ids(df: DataFrame, among: list[str] | None = None) -> DataFrame:
     """Distinct (column, concept_id) of the concept columns without 0 and null; the table is read once."""
     columns = among or [c for c in df.columns if c.endswith("_concept_id")]
-    each = F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("long").alias("concept_id")) for c in columns)))
-    return df.select(each.alias("x")).select("x.*").filter("concept_id <> 0").distinct()
+    wide = df.select(*(F.col(c).cast("long").alias(c) for c in columns))
+    return wide.unpivot([], columns, "column", "concept_id").filter("concept_id <> 0").distinct()
+
+
+def concept_bitmaps(df: DataFrame, among: list[str] | None = None) -> DataFrame:
+    """column, bucket, ids: the distinct ids of the concept columns without 0 and null, as bitmaps of 32768 ids each.
+
+    Columns become rows without an array, in the generated code of the scan; ids are made distinct in the tasks before they
+    meet, and a bucket of a column is one row of 4 KB, however many of its ids there are.
+    """
+    each = concept_ids(df, among)
+    return each.groupBy("column", F.bitmap_bucket_number("concept_id").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("concept_id")).alias("ids"))
+
+
+def concept_counts(df: DataFrame, concepts: DataFrame, among: list[str] | None = None) -> DataFrame:
+    """column, n_ids, n_known, n_standard: distinct ids of each concept column, how many of these there are among the concepts, and
+    among the standard ones. Bitmaps meet, not ids: both of a bucket are and-ed and their bits counted."""
+    used = concept_bitmaps(df, among)
+    known = concepts.select(F.col("concept_id").cast("long").alias("known_concept_id"), F.when(F.col("standard_concept") == "S", F.col("concept_id").cast("long")).alias("standard_concept_id"))
+    sets = concept_bitmaps(known).withColumnRenamed("column", "kind").withColumnRenamed("ids", "theirs")
+    n = used.groupBy("column").agg(F.sum(F.bitmap_count("ids")).alias("n_ids"))
+    both = used.join(sets, "bucket").withColumn("pair", F.explode(F.array("ids", "theirs")))
+    shared = both.groupBy("column", "kind", "bucket").agg(F.bitmap_count(F.bitmap_and_agg("pair")).alias("n")).groupBy("column")
+    sums = shared.agg(*(F.sum(F.when(F.col("kind") == f"{k}_concept_id", F.col("n"))).alias(f"n_{k}") for k in ("known", "standard")))
+    return n.join(sums, "column", "left").fillna(0)
 
 
 def _per_column(bad: DataFrame, check: str, table: str, kind: str) -> DataFrame:

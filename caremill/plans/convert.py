@@ -18,7 +18,7 @@ from caremill.operators import coverage as cover
 from caremill.operators import events, intervals, keys, quality, vocabulary
 from caremill.operators.cleaning import TABLE_DATES, clean_tables
 from caremill.operators.entities import cdm_source, death, person, visit
-from caremill.scratch import settled
+from caremill.scratch import bucketed, by_one_key, release, settled
 from caremill.sources import readers, writers
 
 RECORDS = ("diagnosis", "procedure", "medication_ingredient", "lab_result", "vitals_signs")
@@ -68,7 +68,9 @@ def convert(spark: SparkSession, source_root: str, vocabulary_root: str, out_roo
 
     ``values``: concepts of source values that replace or add to the built-in ones, by map (see with_overrides()).
     ``export``: write the vocabulary's tables too, and all concepts in place of those that the other tables name.
-    Row counts, referenced concepts that are missing, and unit codes without a concept go to ``notes``.
+    Row counts, referenced concepts that are missing, and unit codes without a concept go to ``notes``. Where CONCEPT_ANCESTOR is
+    missing, ancestors are made from the relationships that RELATIONSHIP says define them; without that too there are no
+    drug eras, and ``notes`` says so.
     """
     named = with_overrides(values or {})
     work = f"{spark.conf.get('spark.checkpoint.dir', None) or out_root + '/_work'}/convert-{uuid.uuid4().hex}"
@@ -82,10 +84,14 @@ def convert(spark: SparkSession, source_root: str, vocabulary_root: str, out_roo
     concepts, maps = read_concepts(spark, vocabulary_root, files), readers.scan_maps_to(files["concept_relationship"])
     raw = {n: kept(t, f"raw/{n}") for n, t in read_typed(spark, source_root).items()}
     persons = kept(keys.person_index(raw), "persons")
-    clean = {n: kept(t, f"clean/{n}") for n, t in clean_tables({n: keys.attach_person_id(t, persons) for n, t in raw.items()}).items()}
-    if "encounter" in clean:
-        visits = kept(keys.visit_map(clean["encounter"]), "visits")
-        clean |= {n: keys.add_visit_ids(t, visits) for n, t in clean.items() if n in TABLE_DATES}
+    # in buckets of a person, cleaning and visit ids need no shuffle
+    with by_one_key(spark):
+        numbered = {n: bucketed(keys.attach_person_id(t, persons), "person_id") for n, t in raw.items()}
+        clean = {n: bucketed(t, "person_id") for n, t in clean_tables(numbered).items()}
+        if "encounter" in clean:
+            visits = bucketed(keys.visit_map(clean["encounter"]), "person_id")
+            clean |= {n: kept(keys.add_visit_ids(t, visits), f"clean/{n}") for n, t in clean.items() if n in TABLE_DATES}
+    release(spark)
 
     records = {n: clean[n] for n in RECORDS if n in clean}
     measured = [records[n] for n in ("lab_result", "vitals_signs") if n in records and "units_of_measure" in records[n].columns]
@@ -97,9 +103,10 @@ def convert(spark: SparkSession, source_root: str, vocabulary_root: str, out_roo
     applied = {n: vocabulary.split_lookup(kept(vocabulary.join_lookup(t, codes, n), f"resolved/{n}", "_domain_id")) for n, t in records.items()}
 
     written: dict[str, str] = {}
+    rows: dict[str, int] = {}
 
     def put(df: DataFrame, name: str) -> None:
-        written[name] = writers.write_table(df, out_root, name)
+        written[name], rows[name] = writers.write_counted(df, out_root, name)
 
     put(person(clean["patient"], named), "person")
     put(death(clean["patient"]), "death")
@@ -113,16 +120,20 @@ def convert(spark: SparkSession, source_root: str, vocabulary_root: str, out_roo
     details = read_metadata(spark, source_root, "dataset_details", ["network_name", "date_created"])
     put(cdm_source(details, read_metadata(spark, source_root, "cohort_details", ["cohort_name"]), released, version), "cdm_source")
     closure = files.get("concept_ancestor")
+    if closure is None and "relationship" in files:
+        closure = kept(intervals.closure_from_edges(readers.ancestry_edges(files["concept_relationship"], files["relationship"])), "closure")
     pairs = kept(intervals.ingredient_map(concepts, closure, table("drug_exposure").select("drug_concept_id").filter("drug_concept_id <> 0")), "ingredients") if closure is not None else None
     for name, df in intervals.build_eras(table("condition_occurrence"), table("drug_exposure"), pairs).items():
         put(df, name)
     terms = readers.load_terminology([readers.read_source(spark, source_root, "standardized_terminology").select("code_system", "code", "code_description", "_source_id")]) if exists(spark, f"{source_root}/*/standardized_terminology.csv") else spark.createDataFrame([], "code_system string, code string, code_description string")
     referenced = kept(vocabulary.referenced_concepts([table(n) for n in written]), "referenced")
     if export:
-        written |= {r["table"]: f"{out_root}/{r['table']}" for r in writers.export_vocabulary(files | {"concept": concepts}, terms, out_root).collect()}
+        exported = {r["table"]: r["rows"] for r in writers.export_vocabulary(files | {"concept": concepts}, terms, out_root).collect()}
+        written, rows = written | {n: f"{out_root}/{n}" for n in exported}, rows | exported
     else:
         put(vocabulary.concept_table(concepts, referenced, terms, mapping), "concept")
-    numbers = [quality.table_counts({n: table(n) for n in written}).select(F.lit("rows").alias("kind"), F.col("table").alias("name"), F.col("rows").alias("n"))]
+    said = [("rows", n, r) for n, r in rows.items()] + ([] if closure is not None else [("no_drug_eras", "CONCEPT_ANCESTOR and RELATIONSHIP are missing", 1)])
+    numbers = [spark.createDataFrame(said, "kind string, name string, n long")]
     numbers.append(vocabulary.missing_concepts(referenced, concepts).select(F.lit("missing_concepts").alias("kind"), F.concat_ws(",", "examples").alias("name"), F.col("n_missing").alias("n")).filter("n > 0"))
     numbers.append(vocabulary.missing_unit_overrides(concepts, overrides).select(F.lit("unknown_unit_code").alias("kind"), F.col("concept_code").alias("name"), F.lit(1).cast("long").alias("n")))
     written["notes"] = f"{out_root}/notes"

@@ -12,7 +12,7 @@ from caremill.functions.values import CONCEPTS, SOURCE_VOCABULARIES, UNIT_CODES,
 from caremill.operators import cleaning, coverage, entities, events, intervals, keys, quality, vocabulary
 from caremill.plans.inputs import INPUTS, load, with_inputs
 from caremill.plans.steps import CODED, EXPECTED_SQL, SQL_TYPES, STEPS, death_month, events_of, mapped, percent, quoted, rows_of, select_schema, unique, values
-from caremill.scratch import scratch, settled
+from caremill.scratch import release, scratch, settled
 from caremill.sources import readers, writers
 
 QUERIES: dict[str, tuple] = {}
@@ -961,6 +961,7 @@ def _(spark, patient, encounter, terminology, pairs, *parts):
     """All checks over all target and era tables, with coverage and left-out rows."""
     sources, codes, units = _lookup(spark, *parts)
     codes, units = settled(codes), settled(units)
+    release(spark)
     # joined once: each target table and the left-out rows read what was written
     applied = {t: vocabulary.split_lookup(settled(vocabulary.join_lookup(df, codes, t))) for t, df in sources.items()}
     tables = {"person": entities.person(patient), "death": entities.death(patient), "visit_occurrence": entities.visit(keys.add_visit_ids(encounter, keys.visit_map(encounter)))}
@@ -969,11 +970,15 @@ def _(spark, patient, encounter, terminology, pairs, *parts):
     tables["cdm_source"] = entities.cdm_source(details, patient.select(F.col("race").alias("cohort_name")), "2024-05-01", "v1")
     tables["concept"] = vocabulary.build_concepts(parts[-2], readers.load_terminology([terminology]))
     tables = {n: settled(df) for n, df in tables.items()}
+    release(spark)
     tables["observation_period"] = settled(intervals.observation_period(tables))
     tables |= {n: settled(df) for n, df in intervals.build_eras(tables["condition_occurrence"], tables["drug_exposure"], pairs).items()}
+    release(spark)
     cover = coverage.coverage(settled(reduce(DataFrame.unionByName, (coverage.record_coverage(df, t, codes) for t, df in sources.items()))))
     left_out = reduce(DataFrame.unionByName, (gone.select(F.lit(t).alias("source_table"), "exclusion_reason") for t, (_, gone) in applied.items()))
-    return quality.validate(tables, settled(cover), settled(quality.excluded_counts(left_out)))
+    cover, left_out = settled(cover), settled(quality.excluded_counts(left_out))
+    release(spark)
+    return quality.validate(tables, cover, left_out)
 
 
 INPUTS["results"] = "SELECT CASE p_size % 4 WHEN 0 THEN 'Table_' ELSE 'field_' END || p_brand || '.' || CAST(p_partkey AS STRING) AS check_id, CASE WHEN p_size % 3 = 0 THEN 1 ELSE 0 END AS failed, CASE WHEN p_size % 11 = 0 THEN 1 ELSE 0 END AS is_error, CASE WHEN p_size % 7 = 0 THEN 1 ELSE 0 END AS not_applicable FROM part"

@@ -98,6 +98,13 @@ def scan_maps_to(relationships: DataFrame) -> DataFrame:
     return valid.select(F.col("concept_id_1").cast("long").alias("concept_id_1"), F.col("concept_id_2").cast("long").alias("concept_id_2"))
 
 
+def ancestry_edges(relationships: DataFrame, kinds: DataFrame) -> DataFrame:
+    """(parent_concept_id, child_concept_id) of the valid relationships that define ancestry. ``kinds``: the RELATIONSHIP table."""
+    defining = kinds.filter(F.col("defines_ancestry").cast("string") == "1").select("relationship_id").distinct()
+    valid = relationships.filter(F.coalesce(F.col("invalid_reason"), F.lit("")) == "").join(defining, "relationship_id", "left_semi")
+    return valid.select(F.col("concept_id_1").cast("long").alias("parent_concept_id"), F.col("concept_id_2").cast("long").alias("child_concept_id"))
+
+
 def vocabulary_version(vocabularies: DataFrame) -> str:
     """Version of the whole vocabulary; an error if there is none."""
     row = vocabularies.filter(F.col("vocabulary_id") == NO_VOCABULARY_ID).select("vocabulary_version").first()

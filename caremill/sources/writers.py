@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,12 +20,17 @@ def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 def write_table(df: DataFrame, root: str, name: str, partitions: int | None = None) -> str:
     """Write a table; tables of persons are laid out in person order, so that readers skip row groups by person."""
-    path = f"{root}/{name.lower()}"
+    return write_counted(df, root, name, partitions)[0]
+
+
+def write_counted(df: DataFrame, root: str, name: str, partitions: int | None = None) -> tuple[str, int]:
+    """write_table(), and the rows written: they are counted by the tasks that write them."""
+    path, seen = f"{root}/{name.lower()}", Observation()
     if "person_id" in df.columns:
         order = [c for c in ("person_id", schemas.MAIN_DATE.get(name)) if c]
         df = (df.repartitionByRange(partitions, "person_id") if partitions else df.repartitionByRange("person_id")).sortWithinPartitions(*order)
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return path
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return path, seen.get["rows"]
 
 
 def write_excluded(excluded: dict[str, DataFrame], root: str) -> list[str]:
@@ -52,6 +57,5 @@ def export_vocabulary(files: dict[str, DataFrame], terminology: DataFrame, root:
     for name in ("concept", *schemas.VOCABULARY):
         if name in files:
             table = build_concepts(files[name], terminology) if name == "concept" else typed_vocabulary(files[name], schemas.VOCABULARY[name])
-            path = write_table(table, root, name)
-            found.append((name, spark.read.parquet(path).count()))
+            found.append((name, write_counted(table, root, name)[1]))
     return spark.createDataFrame(found, "table string, rows long")
