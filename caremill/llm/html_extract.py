@@ -10,6 +10,9 @@ it has no weight, and words outside of it score and are given out like any other
 
 Inside the region, what its author set apart is left out: elements for menus, asides and forms, and elements whose
 own class or id has so low a weight that words in it count against the main text. A header or footer is left to the scan.
+Such an element can also hold the whole page (a form or dialog around it, a class like ``widget``). Where the text found is under
+a tenth of the page's words, elements that hold more than half of them say nothing, unless they are reader comments, and the page is
+scanned again.
 
 Scale: one pass over the pages, no shuffle. What at most LABELLED pages of at most LABELLED_BYTES each say is counted in
 the tasks; the driver gets counts of distinct surroundings.
@@ -38,8 +41,8 @@ LEAST, LARGEST_GENERAL, LARGEST_TAG, PAGE_WORDS, STEPS = 0.1, 0.5, 2.0, 50.0, 40
 HOLD_GENERAL, HOLD_NAMED = 2.0, 0.05
 #: Where weights of known names start, and the sum of weights from which on an element in the region is left out.
 KNOWN_WEIGHT, LEFT_OUT = -4.0, 0.0
-#: Characters of a class or id, and classes of an element, that are looked at.
-TOKEN_CHARS, TOKENS = 64, 16
+#: Share of a page's words under which a text is doubted, and share of words from which on an element holds the page.
+DOUBTED, HOLDS_PAGE = 0.1, 0.5
 
 # Elements of HTML and what they are here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -52,6 +55,8 @@ GENERAL = (INLINE | LOOSE | frozenset("div section ul ol dl table figure figcapt
 #: Elements that set something apart from running text, and whole classes or ids that are known for it.
 APART = frozenset("nav aside form menu dialog button".split())
 KNOWN = frozenset("ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments comment-list comments-area cookie-banner cookie-notice cookies footer menu navbar navigation newsletter pagination popup promo related-posts replies share sharing sidebar site-footer site-header social sponsored subscribe widget".split())
+#: Whole classes or ids of reader comments, among the known ones.
+COMMENTS = frozenset("comment comments comment-list comments-area replies".split())
 #: A tag from its name to its end: a value may stand in quotes after "=", any other quote is a letter.
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>")
 NAMED = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
@@ -102,12 +107,12 @@ def _raw_end(name: str) -> re.Pattern:
     return _RAW_ENDS[name]
 
 
-def _pairs(tags: list[tuple]) -> set[int]:
-    """Places of the tags that open and close one element. An opening tag that is still open where the element around it ends
+def _pairs(tags: list[tuple]) -> dict[int, int]:
+    """Places of the tags that open and close one element, each with the other. An opening tag that is still open where the element around it ends
     holds nothing, and a closing tag without an open element closes nothing."""
     open_at: dict[str, list[int]] = {}
     stack: list[int] = []
-    found = set()
+    found = {}
     for i, (_, _, name, closing, _) in enumerate(tags):
         if not name or name in VOID or name in LOOSE or name in RAW:
             continue
@@ -118,23 +123,39 @@ def _pairs(tags: list[tuple]) -> set[int]:
             start = own.pop()
             while (last := stack.pop()) != start:
                 open_at[tags[last][2]].pop()
-            found |= {start, i}
+            found[start], found[i] = i, start
     return found
 
 
-def _own(name: str, attributes: str) -> tuple[list[str], list[str]]:
-    """What an element says of itself: its name, and its classes and ids."""
+def _own(name: str, attributes: str, weights: dict[str, float] | None) -> tuple[list[str], list[str]]:
+    """What an element says of itself: its name, and its classes and ids; with weights only those that weigh something."""
     said = []
     for key, value in NAMED.findall(attributes) if "=" in attributes else ():
-        said += [f"{key.lower()}:{x[:TOKEN_CHARS].lower()}" for x in html.unescape(value.strip("\"'")).split()[:TOKENS]]
+        said += [f"{key.lower()}:{x.lower()}" for x in html.unescape(value.strip("\"'")).split()]
+    if weights is not None:
+        said = [x for x in said if x in weights or start_of(x)]
     return ([] if name in MAIN else [f"under:{name}"]), said
 
 
-def pieces_of(page: str) -> list[Piece | tuple[str, bool]]:
-    """Pieces of text and (tag, in the article), in page order."""
+def _holders(page: str, tags: list[tuple], paired: dict[int, int]) -> set[int]:
+    """Opening tags of elements that hold more than half of the page's words, but for those of reader comments."""
+    before, at, n = [], 0, 0
+    for start, end, *_ in tags:
+        n += len(page[at:start].split())
+        before.append(n)
+        at = end
+    n += len(page[at:].split())
+    wide = {i for i, j in paired.items() if i < j and before[j] - before[i] > HOLDS_PAGE * n}
+    return {i for i in wide if not any(x.partition(":")[2] in COMMENTS for x in _own(tags[i][2], tags[i][4], None)[1])}
+
+
+def pieces_of(page: str, weights: dict[str, float] | None = None, doubted: bool = False) -> list[Piece | tuple[str, bool]]:
+    """Pieces of text and (tag, in the article), in page order. ``weights``: classes and ids that weigh nothing are left out.
+    ``doubted``: elements that hold most of the page say nothing."""
     out: list = []
     tags = tags_of(page)
     paired = _pairs(tags)
+    holders = _holders(page, tags, paired) if doubted else ()
     stack: list[tuple[str, list[str], bool]] = []  # name, what it says, whether it may be set apart
     counts: Counter = Counter()
     block, holder, inside, main, at = 0, "", 0, 0, 0
@@ -157,7 +178,7 @@ def pieces_of(page: str) -> list[Piece | tuple[str, bool]]:
             continue
         if name not in INLINE:
             block += 1
-            holder = "" if closing or name in VOID or name in MAIN else name
+            holder = "" if closing or name in VOID or name in MAIN or i in holders else name
             around = None
         elif name == "br":
             out.append(Piece(block, " ", 0, (), inside > 0, tuple(apart)))
@@ -170,10 +191,10 @@ def pieces_of(page: str) -> list[Piece | tuple[str, bool]]:
                 apart.pop()
             around = None
         elif i in paired:
-            own, said = _own(name, attributes)
+            own, said = ([], []) if i in holders else _own(name, attributes, weights)
             if name == "header" and main:
                 own = []  # of the main text, not of the page
-            maybe = name not in MAIN and (name in APART or bool(said))
+            maybe = i not in holders and name not in MAIN and (name in APART or bool(said))
             stack.append((name, own + said, maybe))
             counts.update(own + said)
             inside += name == "article"
@@ -270,14 +291,21 @@ class Extractor:
         weights, other = self.weights, self.weights["tag"]
         return [x.words and x.words * self.logit(x.around) if isinstance(x, Piece) else weights.get(f"tag {x[0]}", other) for x in pieces]
 
+    def kept(self, pieces: list) -> list[Piece]:
+        """The pieces of the best region without what was set apart in it."""
+        a, b = best_region(self.scores(pieces))
+        return [x for x in pieces[a:b] if isinstance(x, Piece) and not (x.apart and self.set_apart(x))]
+
     def text(self, page: str) -> str:
         """The text of the best region: blocks joined by line feeds, white space in a block turned into one space."""
-        pieces = pieces_of(page)
-        a, b = best_region(self.scores(pieces))
+        pieces = pieces_of(page, self.weights)
+        kept = self.kept(pieces)
+        words = sum(x.words for x in pieces if isinstance(x, Piece))
+        if sum(x.words for x in kept) < DOUBTED * words:
+            kept = self.kept(pieces_of(page, self.weights, doubted=True)) or kept
         blocks: dict[int, list[str]] = {}
-        for x in pieces[a:b]:
-            if isinstance(x, Piece) and not (x.apart and self.set_apart(x)):
-                blocks.setdefault(x.block, []).append(x.text)
+        for x in kept:
+            blocks.setdefault(x.block, []).append(x.text)
         lines = (" ".join("".join(parts).split()) for parts in blocks.values())
         return "\n".join(line for line in lines if line)
 
