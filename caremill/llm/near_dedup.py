@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caremill.llm.common import WordHashes, dropped, if_small, keyed, looked_up, map_arrow, mix, packed, release, settled, table, texts_of, unpacked, words_of
+from caremill.llm.common import HOT_KEYS, WordHashes, dropped, if_small, keyed, looked_up, map_arrow, mix, packed, release, settled, table, texts_of, unpacked, words_of
 
 #: Words of a shingle; weighted Jaccard similarity from which two documents are near copies.
 SHINGLE, SIMILARITY = 5, 0.8
@@ -180,10 +180,24 @@ def _signatures(rows: DataFrame, idf) -> DataFrame:
     return settled(map_arrow(rows.select("_row", "doc_id", "text"), run, f"_row long, doc_id {id_type}, g1 long, g2 long, weight double, bands array<long>"))
 
 
+def _with_packed(rows: DataFrame, texts: DataFrame, end: str, other: str, pairs: DataFrame) -> DataFrame:
+    """The rows with the text of one end of their pairs. A text that very many pairs name goes to several tasks; which ones do is
+    told by a broadcast of at most HOT_KEYS ids."""
+    counts = settled(pairs.groupBy(end).agg(F.count("*").alias("_n")).filter(F.col("_n") > BUCKET_ROWS))
+    hot = F.broadcast(counts.orderBy(F.desc("_n")).limit(HOT_KEYS).select(end, F.ceil(F.col("_n") / BUCKET_ROWS).cast("int").alias("_parts")))
+    own = texts.select(F.col("_row").alias(end), F.col("packed").alias(f"packed_{end}"))
+    if counts.isEmpty():
+        return rows.join(own, end)
+    spread = rows.join(hot, end, "left").withColumn("_part", F.pmod(F.xxhash64(other), F.coalesce("_parts", F.lit(1))).cast("int")).drop("_parts")
+    copies = own.join(hot, end, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    return spread.join(copies, [end, "_part"]).drop("_part")
+
+
 def _verified(texts: DataFrame, pairs: DataFrame, idf, similarity: float) -> DataFrame:
     """Settled pairs (a, b) of that similarity. ``texts``: _row, packed of all that pairs name."""
-    near = pairs.join(texts.select(F.col("_row").alias("b"), F.col("packed").alias("packed_b")), "b")
-    both = near.join(texts.select(F.col("_row").alias("a"), F.col("packed").alias("packed_a")), "a").select("a", "b", "packed_a", "packed_b")
+    pairs = settled(pairs)
+    near = _with_packed(_with_packed(pairs, texts, "a", "b", pairs), texts, "b", "a", pairs)
+    both = near.select("a", "b", "packed_a", "packed_b")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
@@ -219,11 +233,15 @@ def components(links: DataFrame) -> DataFrame:
     """Settled (v, c): the smallest node of each linked node's component. Labels spread and jump until none changes."""
     both = settled(links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v"))).distinct())
     labels = settled(both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("c")))
+    degrees = settled(both.groupBy("u").agg(F.count("*").alias("n")))
     while True:
-        heard = both.join(labels.withColumnRenamed("v", "u"), "u").groupBy("v").agg(F.min("c").alias("m"))
+        # nodes with very many links, and labels of very large classes, meet their rows by a bounded broadcast: see looked_up()
+        said = settled(labels.withColumnRenamed("v", "u").join(degrees, "u"))
+        heard = looked_up(both, said, ["u"]).groupBy("v").agg(F.min("c").alias("m"))
         spread = settled(labels.join(heard, "v").select("v", F.col("c").alias("old"), F.least("c", "m").alias("c")))
         parents = spread.select(F.col("v").alias("c"), F.col("c").alias("top"))
-        jumped = settled(spread.join(parents, "c").select("v", F.col("top").alias("c"), (F.col("top") != F.col("old")).alias("moved")))
+        tops = settled(parents.join(spread.groupBy("c").agg(F.count("*").alias("n")), "c"))
+        jumped = settled(looked_up(spread, tops, ["c"]).select("v", F.col("top").alias("c"), (F.col("top") != F.col("old")).alias("moved")))
         labels = jumped.select("v", "c")
         if jumped.filter("moved").isEmpty():
             return labels
@@ -251,7 +269,7 @@ def near_classes(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """_row, doc_id, class: documents of a class are linked by pairs of that similarity. ``rows``: see keyed()."""
     idf = rows.sparkSession.sparkContext.broadcast(document_frequencies(rows))
     marks = _signatures(rows, idf)
-    same = settled(marks.filter("g1 is not null").groupBy("g1", "g2").agg(F.min("_row").alias("rep"), F.min("weight").alias("weight"), F.min("bands").alias("bands")))
+    same = settled(marks.filter("g1 is not null").groupBy("g1", "g2").agg(F.min("_row").alias("rep"), F.min("weight").alias("weight"), F.min("bands").alias("bands"), F.count("*").alias("copies")))
     buckets = same.select("rep", "weight", F.explode("bands").alias("key"))
     met = settled(buckets.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("rep", "weight")).alias("first")).filter("size > 1").select("key", "size", F.col("first.rep").alias("lead"), F.col("first.weight").alias("lead_weight")))
     members = settled(looked_up(settled(buckets), met, ["key"], "size"))
@@ -282,8 +300,9 @@ def near_classes(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             labels = components(links)
         reach = after
         members = members.filter((F.col("size") > reach) & (F.col("place") >= reach)).drop("c", "place")
-    to_class = same.select("g1", "g2", "rep").join(labels.withColumnsRenamed({"v": "rep", "c": "_c"}), "rep", "left").select("g1", "g2", F.coalesce("_c", "rep").alias("_class"))
-    return marks.join(to_class, ["g1", "g2"], "left").select("_row", "doc_id", F.coalesce("_class", "_row").alias("_class"))
+    to_class = settled(same.select("g1", "g2", "rep", "copies").join(labels.withColumnsRenamed({"v": "rep", "c": "_c"}), "rep", "left").select("g1", "g2", "copies", F.coalesce("_c", "rep").alias("_class")))
+    alone = marks.filter("g1 is null").select("_row", "doc_id", F.col("_row").alias("_class"))
+    return looked_up(marks.filter("g1 is not null"), to_class, ["g1", "g2"], "copies").select("_row", "doc_id", "_class").unionByName(alone)
 
 
 def near_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -298,8 +317,8 @@ def near_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
 def _judged(classes: DataFrame) -> DataFrame:
     classes = settled(classes)
-    best = classes.groupBy("_class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_row")).alias("_best"), F.count("*").alias("class_size"))
-    return classes.join(best, "_class").select("_row", "doc_id", F.col("_best.doc_id").alias("class_id"), "class_size", (F.col("_best._row") == F.col("_row")).alias("kept"))
+    best = settled(classes.groupBy("_class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_row")).alias("_best"), F.count("*").alias("class_size")))
+    return looked_up(classes, best, ["_class"], "class_size").select("_row", "doc_id", F.col("_best.doc_id").alias("class_id"), "class_size", (F.col("_best._row") == F.col("_row")).alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
