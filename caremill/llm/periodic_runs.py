@@ -183,3 +183,19 @@ def periodic_runs(docs: DataFrame, rewrite: bool = False, text_out: bool = False
 
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs(table(spark, sf_dir, "documents"), rewrite=True)
+
+
+ORACLE_SQL = r"""
+WITH ids AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, CAST(doc_id AS VARCHAR) AS s FROM documents),
+hashed AS (SELECT doc_id, r, w, len(w) AS n, CASE WHEN s IS NULL THEN 1 ELSE xor(list_reduce(list_prepend(4294967295, flatten(list_transform(range(1, len(s) + 1), lambda i: list_concat([CAST(256 + ord(s[i]) AS BIGINT)], CAST([-1, -1, -1, -1, -1, -1, -1, -1] AS BIGINT[]))))), lambda c, e: CASE WHEN e >= 256 THEN xor(c, e - 256) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END), 4294967295) END AS h FROM ids),
+placed AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n END AS a, (h // 10) % 8 AS k FROM hashed),
+d AS (SELECT doc_id, r, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(n), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % (1 + (n - a) // (3 + k)) + 1] END) END AS w FROM placed),
+grams AS (SELECT r, i, md5(array_to_string(w[i + 1:i + 16], ' ')) AS h FROM d, unnest(range(n - 15)) AS t(i)),
+pairs AS (SELECT x.r, x.i, y.i - x.i AS q FROM grams x JOIN grams y ON x.r = y.r AND x.h = y.h AND x.i < y.i),
+stretches AS (SELECT r, q, min(i) AS s, max(i) + 16 + q AS e FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM pairs) GROUP BY r, q, island),
+runs AS (SELECT r, s, e - s AS n, q FROM stretches x WHERE e - s >= greatest(24, 3 * q) AND NOT EXISTS (SELECT 1 FROM stretches y WHERE y.r = x.r AND y.q < x.q AND y.s <= x.s AND y.e >= x.e)),
+best AS (SELECT r, count(*) AS n_runs, arg_min(struct_pack(s := s, n := n, q := q), struct_pack(a := -(n::DECIMAL(38, 20) / q), b := s, c := q)) AS x, string_agg(s || ',' || n || ',' || q || chr(10), '' ORDER BY s, q) AS said FROM runs GROUP BY r),
+gone AS (SELECT r, list(DISTINCT i) AS js FROM runs, unnest(range(s + q, s + n)) AS t(i) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, x.s AS start, x.n AS length, x.q AS period, 1000 * x.n // x.q AS exponent_milli, sha256(coalesce(said, '')) AS runs_sha256,
+    sha256(array_to_string(CASE WHEN js IS NULL THEN w ELSE list_filter(w, lambda y, i: NOT list_contains(js, i - 1)) END, ' ')) AS collapsed_sha256 FROM d LEFT JOIN best USING (r) LEFT JOIN gone USING (r)
+"""

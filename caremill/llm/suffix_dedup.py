@@ -349,3 +349,24 @@ def suffix_dedup(docs: DataFrame, bytes_out: bool = False, most: int = MOST) ->
 
 def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
+#: Strings are compared by hashes of pairs of hashes, from one byte to 128, and of the two of 128 that 200 bytes hold.
+ORACLE_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS b FROM documents),
+p0 AS (SELECT r, i, hash(b[i + 1]) AS h FROM d, unnest(range(len(b))) AS t(i)),
+p1 AS (SELECT r, i, hash(h, lead(h, 1) OVER (PARTITION BY r ORDER BY i)) AS h FROM p0),
+p2 AS (SELECT r, i, hash(h, lead(h, 2) OVER (PARTITION BY r ORDER BY i)) AS h FROM p1),
+p3 AS (SELECT r, i, hash(h, lead(h, 4) OVER (PARTITION BY r ORDER BY i)) AS h FROM p2),
+p4 AS (SELECT r, i, hash(h, lead(h, 8) OVER (PARTITION BY r ORDER BY i)) AS h FROM p3),
+p5 AS (SELECT r, i, hash(h, lead(h, 16) OVER (PARTITION BY r ORDER BY i)) AS h FROM p4),
+p6 AS (SELECT r, i, hash(h, lead(h, 32) OVER (PARTITION BY r ORDER BY i)) AS h FROM p5),
+p7 AS (SELECT r, i, hash(h, lead(h, 64) OVER (PARTITION BY r ORDER BY i)) AS h FROM p6),
+p AS (SELECT r, i, h FROM (SELECT r, i, hash(h, lead(h, 72) OVER (PARTITION BY r ORDER BY i)) AS h, count(*) OVER (PARTITION BY r) AS n FROM p7) WHERE i <= n - 200),
+again AS (SELECT r, i FROM p SEMI JOIN (SELECT h FROM p GROUP BY h HAVING count(*) > 1) AS twice USING (h)),
+marked AS (SELECT r, i, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS span FROM (SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 200 THEN 0 ELSE 1 END AS fresh FROM again)),
+spans AS (SELECT r, min(i) AS s, max(i) + 200 AS e FROM marked GROUP BY r, span),
+cuts AS (SELECT r, count(*) AS n_spans, sum(e - s) AS gone, list(s ORDER BY s) AS starts, list(e ORDER BY s) AS ends FROM spans GROUP BY r)
+SELECT doc_id, len(b) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(CASE WHEN starts IS NULL THEN array_to_string(b, '') ELSE array_to_string(list_transform(range(len(starts) + 1), lambda i: array_to_string(b[CASE WHEN i = 0 THEN 1 ELSE ends[i] + 1 END:CASE WHEN i = len(starts) THEN len(b) ELSE starts[i + 1] END], '')), '') END)) AS kept_sha256 FROM d LEFT JOIN cuts USING (r)
+"""
