@@ -81,7 +81,9 @@ def convert(spark: SparkSession, source_root: str, vocabulary_root: str, out_roo
 
     files = read_vocabulary(spark, vocabulary_root)
     version = readers.vocabulary_version(files["vocabulary"])
-    concepts, maps = read_concepts(spark, vocabulary_root, files), readers.scan_maps_to(files["concept_relationship"])
+    # the text of the concepts is read once
+    parts = vocabulary.vocabulary_parts(read_concepts(spark, vocabulary_root, files), f"{work}/concepts")
+    concepts, maps = parts.drop(vocabulary.PART), readers.scan_maps_to(files["concept_relationship"])
     raw = {n: kept(t, f"raw/{n}") for n, t in read_typed(spark, source_root).items()}
     persons = kept(keys.person_index(raw), "persons")
     # in buckets of a person, cleaning and visit ids need no shuffle
@@ -96,7 +98,7 @@ def convert(spark: SparkSession, source_root: str, vocabulary_root: str, out_roo
     records = {n: clean[n] for n in RECORDS if n in clean}
     measured = [records[n] for n in ("lab_result", "vitals_signs") if n in records and "units_of_measure" in records[n].columns]
     units = vocabulary.collect_units(measured) if measured else spark.createDataFrame([], "units_of_measure string")
-    found, named_units = vocabulary.build_lookup(concepts, maps, vocabulary.collect_codes(records, mapping), units, mapping, overrides)
+    found, named_units = vocabulary.build_lookup(parts, maps, vocabulary.collect_codes(records, mapping), units, mapping, overrides)
     codes, named_units = kept(found, "codes"), kept(named_units, "units")
     adapters = {"diagnosis": lambda d: events.diagnosis_events(d, named), "procedure": events.procedure_events, "medication_ingredient": lambda d: events.medication_events(d, named), "lab_result": lambda d: events.lab_events(d, named_units, named), "vitals_signs": lambda d: events.vitals_events(d, named_units, named)}
     # joined once and laid out by domain: each target table reads its own part

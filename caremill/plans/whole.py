@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caremill import schemas
-from caremill.operators import cleaning, coverage, intervals, keys, quality, vocabulary
+from caremill.operators import cleaning, coverage, intervals, keys, quality, uniqueness, vocabulary
 from caremill.plans.inputs import INPUTS
+from caremill.plans.refresh import refresh_clean
 from caremill.plans.registered import _ALIVE, _BUNDLED, _CONDITION_ERAS, _CUT, _NULLED, _REFERENCED, islands, query
 from caremill.plans.steps import CODED, STEPS, quoted, values
 from caremill.scratch import bucketed, by_one_key, scratch, settled
@@ -108,6 +109,67 @@ def _(spark, *parts):
     return reduce(DataFrame.unionByName, rows)
 
 
+# Kept up to date
+
+_CLEAN_ROWS = [f"SELECT 'encounter' AS \"table\", person_id, encounter_id, CAST(start_date AS DATE) AS date, end_date FROM ({_CUT.format(e='enc2')}) AS e"]
+_CLEAN_ROWS += [f"SELECT {quoted(n)}, person_id, {e}, CAST({d} AS DATE), NULL FROM {t}" for n, d, t, e in (("diagnosis", "date", "dia1", "encounter_id"), ("procedure", "date", "pro1", "encounter_id"), ("medication_ingredient", "start_date", "med1", "encounter_id"), ("lab_result", "date", "lab1", "NULL"), ("vitals_signs", "date", "vit1", "NULL"))]
+_CLEAN_ROWS += ["SELECT 'patient', person_id, NULL, NULL, NULL FROM (SELECT DISTINCT * FROM patient WHERE year_of_birth IS NOT NULL) AS p"]
+
+
+def before_the_change(df: DataFrame, date: str | None) -> DataFrame:
+    """A table as it was: some persons weren't there yet, others have gone since, and dates of others were later changed."""
+    rows = df.filter("person_id % 10 <> 4")
+    gone = rows.filter("person_id % 10 = 5").withColumn("person_id", -F.col("person_id"))
+    old = rows.withColumn(date, F.when(F.col("person_id") % 10 == 3, F.date_add(date, 7)).otherwise(F.col(date))) if date else rows
+    return old.unionByName(gone)
+
+
+@query("changed_persons", " UNION ALL ".join(_CLEAN_ROWS), "patient", "encounter", *CODED)
+def _(spark, *parts):
+    """Clean tables that were made before the sources changed, and then brought up to date."""
+    root, names = scratch(spark), ["patient", "encounter", *CODED]
+    tables = dict(zip(names, parts, strict=True))
+    for version in ({n: before_the_change(t, cleaning.TABLE_DATES.get(n)) for n, t in tables.items()}, tables):
+        refresh_clean(version, root, 32)
+    rows = []
+    for n in names:
+        t, none = spark.read.parquet(f"{root}/{n}"), F.lit(None)
+        encounter = F.col("encounter_id") if "encounter_id" in t.columns else none.cast("string")
+        date = F.col(cleaning.TABLE_DATES[n]) if n in cleaning.TABLE_DATES else none.cast("date")
+        rows.append(t.select(F.lit(n).alias("table"), "person_id", encounter.alias("encounter_id"), date.alias("date"), (F.col("end_date") if n == "encounter" else none.cast("date")).alias("end_date")))
+    return reduce(DataFrame.unionByName, rows)
+
+
+# Vocabulary and keys
+
+@query("vocabulary_parts", "SELECT concept_id, vocabulary_id, concept_code, standard_concept, src_rank FROM concepts WHERE vocabulary_id IN (SELECT vocabulary_id FROM named_codes WHERE source_table IN ('diagnosis', 'procedure'))", "concepts", "diagnosis", "procedure")
+def _(spark, concepts, diagnosis, procedure):
+    """Concepts of the vocabularies that diagnoses and procedures name."""
+    named = settled(vocabulary.attach_vocabulary(vocabulary.collect_codes({"diagnosis": diagnosis, "procedure": procedure})))
+    parts = vocabulary.vocabulary_parts(concepts, scratch(spark))
+    return vocabulary.named_parts(parts, named).select("concept_id", "vocabulary_id", "concept_code", "standard_concept", "src_rank")
+
+
+INPUTS["order_keys"] = "SELECT CASE WHEN o_orderkey % 101 <> 0 THEN o_orderkey END AS order_id FROM orders UNION ALL SELECT o_orderkey FROM orders WHERE o_orderkey % 97 = 0"
+
+
+@query("ordered_keys", "SELECT 'condition_occurrence' AS \"table\", count(*) AS rows, 0 AS n_bad FROM conditions UNION ALL SELECT 'orders', count(*), count(*) - count(DISTINCT order_id) - CASE WHEN count(*) > count(order_id) THEN 1 ELSE 0 END FROM order_keys", "conditions", "order_keys")
+def _(spark, conditions, orders):
+    """Keys of a table that record_ids() numbered, and of one with repeated and null keys whose order two writers broke."""
+    root = scratch(spark)
+    named = keys.record_ids(conditions, "condition_occurrence_id", ["person_id", "condition_start_date", "condition_concept_id"])
+    writers.write_table(named, root, "condition_occurrence")
+    late = F.coalesce(F.col("order_id") % 89 == 0, F.lit(False))
+    for part in (orders.filter(~late), orders.filter(late)):
+        part.repartitionByRange("order_id").sortWithinPartitions("order_id").write.mode("append").parquet(f"{root}/orders")
+    found = []
+    for name, key in (("condition_occurrence", "condition_occurrence_id"), ("orders", "order_id")):
+        table = spark.read.parquet(f"{root}/{name}")
+        both = table.agg(F.count("*").alias("rows"), F.lit(None).cast("long").alias("n")).unionByName(uniqueness.repeated_keys(table, key), allowMissingColumns=True)
+        found.append(both.agg(F.max("rows").alias("rows"), F.max("n").alias("n_bad")).select(F.lit(name).alias("table"), "rows", "n_bad"))
+    return reduce(DataFrame.unionByName, found)
+
+
 # Counts and sketches
 
 INPUTS["remarks"] = "SELECT CASE WHEN l_partkey % 4 = 0 THEN 'often ' || CAST(l_suppkey % 37 AS STRING) WHEN l_partkey % 4 = 1 THEN '' WHEN l_partkey % 4 = 2 THEN 'once ' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) END AS remark FROM lineitem"

@@ -5,8 +5,8 @@ import random
 from collections import Counter
 
 import pytest
-from caremill.operators import coverage, intervals, quality, vocabulary
-from caremill.plans import inputs, whole
+from caremill.operators import coverage, intervals, keys, quality, uniqueness, vocabulary
+from caremill.plans import inputs, refresh, whole
 from caremill.scratch import bucketed, by_one_key
 from caremill.sources import writers
 from caremill.streaming.arrivals import follow_source
@@ -167,3 +167,106 @@ def test_patterns_meet_ids_by_their_beginnings(spark):
     accepted = spark.createDataFrame([("table_*", "1"), ("field_b", "2"), ("field_?c", "3"), ("*", "4"), ("field_bcd*", "5"), ("table_a+x", "6")], "pattern string, reason string")
     got = sorted((r.check_id, r.reason) for r in quality.matches(checks, accepted).collect())
     assert got == sorted([(c, "4") for c in ("Table_a.x", "field_b", "FIELD_bc", "z", "")] + [("Table_a.x", "1"), ("field_b", "2")] + [("FIELD_bc", "3")] )
+
+
+KEYED = {"ordered": [[1, 2, 3], [4, 5], [6, 7, 9]], "repeats": [[1, 2, 2, 2], [3, 3], [4]], "shared": [[1, 2, 5], [5, 6], [3, 3, 9]], "nulls": [[None, None, 1], [None, 2]], "mixed": [[(i * 7919) % 211 for i in range(400)], [1000, 1000, 1001], [50, 2000]], "none": [[], []], "only nulls": [[None]]}
+
+
+@pytest.mark.parametrize("name,kind", [(n, "long") for n in KEYED] + [("mixed", "string"), ("shared", "date")])
+def test_ordered_keys(spark, tmp_path, name, kind):
+    for part in KEYED[name]:
+        keyed = spark.createDataFrame([(x,) for x in part], "k long").coalesce(1)
+        keyed.select(F.date_add(F.lit("2000-01-01"), F.col("k").cast("int")).alias("k") if kind == "date" else F.lpad(F.col("k").cast("string"), 5, "0").alias("k") if kind == "string" else F.col("k")).write.mode("append").parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    want = sum(n - 1 for n in Counter(x for part in KEYED[name] for x in part).values())
+    assert uniqueness.repeated_keys(df, "k").collect()[0][0] == want
+    assert [r.n_bad for r in quality.check_ordered_key(df, "t", "k").collect()] == [n for n in [r.n_bad for r in quality.check_primary_key(df, "t", "k").collect()] if n]
+
+
+def test_ranges_are_joined_beyond_a_number(spark):
+    runs = spark.createDataFrame([(i * 10 + j, i * 10 + j + 3, 0, False, 0) for i in range(300) for j in (0, 2)] + [(5000, 5001, 4, False, 0)], "lo long, hi long, repeats long, mixed boolean, nulls long")
+    ranges = uniqueness.shared_ranges(runs)
+    assert len(ranges) <= uniqueness.RANGES and all(a[1] < b[0] for a, b in zip(ranges, ranges[1:], strict=False))
+    assert all(any(lo <= i * 10 and i * 10 + 5 <= hi for lo, hi in ranges) for i in range(300)) and ranges[-1][1] < 5000
+    with pytest.raises(ValueError, match="no ranges"):
+        uniqueness.key_runs(spark.range(1).selectExpr("cast(id as double) k"), "k")
+
+
+def test_written_ids_are_checked_without_a_shuffle(spark, tmp_path):
+    (conditions,) = inputs.load(spark, SF, "conditions")
+    written = keys.record_ids(conditions, "condition_occurrence_id", ["person_id", "condition_start_date", "condition_concept_id"])
+    writers.write_table(written, str(tmp_path), "condition_occurrence", 7)
+    df = spark.read.parquet(f"{tmp_path}/condition_occurrence")
+    assert uniqueness.shared_ranges(uniqueness.key_runs(df, "condition_occurrence_id")) == []
+    assert "condition_occurrence_id" not in plan_of(uniqueness.repeated_keys(df, "condition_occurrence_id"))
+
+
+def test_vocabulary_parts(spark, tmp_path):
+    rows = [(str(i), v, f"c{i}") for i, v in enumerate(["A", "B", "C", None, "", "B", "A b/c=%", "none"])]
+    concepts = spark.createDataFrame(rows, "concept_id string, vocabulary_id string, concept_code string")
+    parts = vocabulary.vocabulary_parts(concepts, f"{tmp_path}/parts")
+    assert sorted(map(str, parts.drop(vocabulary.PART).collect())) == sorted(map(str, concepts.collect()))
+    wanted = spark.createDataFrame([("B",), (None,), ("",), ("B",), ("A b/c=%",), ("Z",), ("none",)], "vocabulary_id string")
+    wanted.write.parquet(f"{tmp_path}/wanted")
+    near = vocabulary.named_parts(parts, spark.read.parquet(f"{tmp_path}/wanted"))
+    assert sorted(r.concept_id for r in near.collect()) == ["1", "5", "6", "7"]
+    assert "dynamicpruning" in plan_of(near).lower()
+
+
+def files_of(root):
+    return {p: p.stat().st_mtime_ns for p in root.rglob("*.parquet") if not {x.split("-")[0] for x in p.relative_to(root).parts} & {"digests", "pending"}}
+
+
+def test_only_changed_persons_are_made_again(spark, tmp_path):
+    made, root = [], tmp_path / "out"
+
+    def build(part):
+        rows = part["t"].groupBy("p").agg(F.sum("x").alias("x"), F.count("*").alias("n"))
+        made.append(sorted(r.p or 0 for r in rows.collect()))
+        return {"sums": rows, "copy": part["t"]}
+
+    def run(rows, buckets=8):
+        t = spark.createDataFrame(rows, "p long, x long")
+        said = refresh.refresh({"t": t, "u": t.filter("x > 90")}, f"file://{root}", build, ["p"], buckets)
+        want = t.groupBy("p").agg(F.sum("x").alias("x"), F.count("*").alias("n"))
+        assert sorted(map(str, spark.read.parquet(f"{root}/sums").drop("_bucket").collect())) == sorted(map(str, want.collect()))
+        assert sorted(map(str, spark.read.parquet(f"{root}/copy").drop("_bucket").collect())) == sorted(map(str, t.collect()))
+        return said
+
+    rows = [(p, x) for p in range(1, 21) for x in (p, p + 1)] + [(None, 3)]
+    run(rows)
+    before = files_of(root)
+    assert run(rows) == (0, 0) and files_of(root) == before
+    assert run(list(reversed(rows))) == (0, 0)  # order says nothing
+    assert run([r for r in rows if r[0] != 7] + [(3, 4), (30, None), (None, None)])[0] == 4
+    assert made[-1] == [0, 3, 30]  # 7 is gone
+    after = files_of(root)
+    assert len(set(before.items()) & set(after.items())) > len(before) / 4
+    assert run(rows[:1])[0] == 21 and run(rows)[0] == 21  # emptied buckets go and come back
+    assert run(rows, 4)[1] == 4 and run(rows)[1] == 8 and run(rows) == (0, 0)
+
+
+def test_a_run_that_broke_off_is_made_good(spark, tmp_path):
+    root = f"file://{tmp_path}/out"
+    frame = lambda rows: {"t": spark.createDataFrame(rows, "p long, x long")}
+    refresh.refresh(frame([(1, 1), (2, 2)]), root, dict, ["p"], 4)
+
+    def breaks(part):
+        yield_first = part["t"]
+        return {"t": yield_first, "never": yield_first.select("p", F.raise_error(F.lit("lost")).cast("long").alias("x"))}
+
+    with pytest.raises(Exception, match="lost"):
+        refresh.refresh(frame([(1, 1), (2, 2), (9, 9)]), root, breaks, ["p"], 4)
+    assert spark.read.parquet(f"{tmp_path}/out/t").count() == 3
+    assert refresh.refresh(frame([(1, 1), (2, 2)]), root, dict, ["p"], 4) == (1, 1)  # 9 was written, but never noted as done
+    assert sorted(r.p for r in spark.read.parquet(f"{tmp_path}/out/t").collect()) == [1, 2]
+
+
+def test_digests(spark):
+    df = spark.createDataFrame([(1, "a", None), (1, None, "a"), (2, "a", None), (2, "a", None), (3, "a", None)], "p long, x string, y string")
+    got = {r.p: (r.n, r.a, r.b) for r in refresh.digests({"t": df}, ["p"]).collect()}
+    once = refresh.digests({"t": df.filter("p = 2").limit(1)}, ["p"]).first()
+    assert got[1][0] == got[2][0] == 2 and got[2][1:] == (2 * once.a, 2 * once.b)
+    moved = refresh.digests({"t": df.filter("p = 1").select("p", F.col("y").alias("x"), F.lit("a").alias("y"))}, ["p"]).first()
+    assert (moved.n, moved.a, moved.b) != got[1]
+    assert {r.p: (r.n, r.a, r.b) for r in refresh.digests({"t": df.select("y", "p", "x").repartition(3)}, ["p"]).collect()} == got
