@@ -204,6 +204,12 @@ def _repeats(rows: DataFrame) -> DataFrame:
     return n.select(F.lit("primary_key").alias("check"), F.lit("DUPLICATE_PRIMARY_KEY").alias("kind"), "*", _nothing().alias("e"))
 
 
+def _repeats_in_order(df: DataFrame, table: str, key: str) -> DataFrame:
+    """check_ordered_key() in the columns of _repeats()."""
+    n = repeated_keys(df, key).filter("n > 0")
+    return n.select(F.lit("primary_key").alias("check"), F.lit("DUPLICATE_PRIMARY_KEY").alias("kind"), F.lit(table).alias("table"), F.lit(key).alias("column"), "n", _nothing().alias("e"))
+
+
 def _with_examples(bad: DataFrame) -> DataFrame:
     """check, kind, table, column, n, e of distinct bad values. They are written down, since counts and examples both read them."""
     bad, of = settled(bad), ["check", "kind", "table", "column"]
@@ -226,9 +232,12 @@ def _concept_faults(tables: dict[str, DataFrame], concepts: DataFrame) -> DataFr
     return _with_examples(each.select("x.*", "table", "column", "value").distinct())
 
 
-def validate(tables: dict[str, DataFrame], coverage: DataFrame | None = None, excluded: DataFrame | None = None) -> DataFrame:
+def validate(tables: dict[str, DataFrame], coverage: DataFrame | None = None, excluded: DataFrame | None = None, ordered: bool = False) -> DataFrame:
     """Every check that the tables at hand allow; one that lacks its table is a skipped row.
 
+    ``ordered``: the tables are files that write_table() wrote. Their keys are then checked by runs (see repeated_keys()), and
+    only keys of runs that overlap are shuffled; the rows are the same either way.
+
     Tables are checked together: keys, person ids and concept ids of all tables are each made distinct and looked up by one
     shuffle, so the plan doesn't grow by a join for every table and column. Bad ids are written to the shared folder.
     """
@@ -244,7 +253,10 @@ def validate(tables: dict[str, DataFrame], coverage: DataFrame | None = None, ex
             parts.append(_filled(df, name, needed, main))
         if (key := schemas.primary_key(schema)) in df.columns:
             keys[name] = key
-    parts += [_repeats(rows) for rows in _stacked(tables, keys)]
+    if ordered:
+        parts += [_repeats_in_order(tables[n], n, key) for n, key in keys.items()]
+    else:
+        parts += [_repeats(rows) for rows in _stacked(tables, keys)]
     if "person" in tables:
         refs = {n: "person_id" for n in known if n != "person" and "person_id" in tables[n].columns}
         persons = tables["person"].select(F.col("person_id").alias("value"))
@@ -266,6 +278,49 @@ def validate(tables: dict[str, DataFrame], coverage: DataFrame | None = None, ex
     return reduce(DataFrame.unionByName, found)
 
 
+def planned_checks(tables: dict[str, DataFrame], coverage: DataFrame | None = None, excluded: DataFrame | None = None) -> list[tuple[str, str, bool]]:
+    """(check, table, runs) of all that validate() looks at, given the same tables: a row for each table that must be there and each
+    check of a table that is. ``runs`` is false where a check lacks the table that it compares with."""
+    known = {n: s for n, s in (schemas.TARGET | schemas.ERA | schemas.VOCABULARY).items() if n in tables}
+    out = [("tables", n, True) for n in schemas.TARGET] + [("schema", n, True) for n in known]
+    for name, schema in known.items():
+        has, main = set(tables[name].columns), schemas.MAIN_CONCEPT.get(name)
+        out += [("primary_key", name, True)] * (schemas.primary_key(schema) in has)
+        out += [("required", name, True)] * any(c in has for c in schemas.required(schema))
+        out += [("event_zero", name, True)] * (main in has)
+        out += [("person_refs", name, "person" in tables)] * (name != "person" and "person_id" in has)
+        if name not in schemas.VOCABULARY and name != "concept" and any(c.endswith("_concept_id") for c in has):
+            era = ERA_CONCEPTS.get(name, (None,))[0]
+            lookups = ["concepts_exist", "standard"] + ["event_domain"] * (main in has) + ["era_concepts"] * (era in has)
+            out += [(check, name, "concept" in tables) for check in lookups]
+    out += [("single_row", "cdm_source", True)] * ("cdm_source" in tables)
+    return [*out, ("coverage", "coverage", coverage is not None and excluded is not None)]
+
+
+def check_outcomes(issues: DataFrame, tables: dict[str, DataFrame], coverage: DataFrame | None = None, excluded: DataFrame | None = None) -> DataFrame:
+    """check, table, outcome (passed, failed, skipped), n_issues, rows of every planned check, so that one that ran clean can be told
+    from one that never ran.
+
+    ``issues``: what validate() gave for the same tables; it is read once, so write it down first. All issues of coverage,
+    whatever table they name, are those of one check. ``rows``: of the table, null where it is missing.
+    """
+    spark = issues.sparkSession
+    planned = spark.createDataFrame(planned_checks(tables, coverage, excluded), "check string, table string, runs boolean")
+    table = F.when(F.col("check") == "coverage", F.lit("coverage")).otherwise(F.col("table"))
+    found = issues.filter("not skipped").groupBy("check", table.alias("table")).agg(F.count("*").alias("n"))
+    rows = table_counts({n: t for n, t in tables.items() if n in schemas.TARGET | schemas.ERA | schemas.VOCABULARY})
+    outcome = F.when(~F.col("runs"), "skipped").when(F.col("n").isNull(), "passed").otherwise("failed")
+    joined = planned.join(found, ["check", "table"], "left").join(rows, "table", "left")
+    return joined.select("check", "table", outcome.alias("outcome"), F.coalesce("n", F.lit(0)).alias("n_issues"), "rows")
+
+
+def outcome_totals(outcomes: DataFrame) -> DataFrame:
+    """outcome, checks, n_issues; of an outcome that no check has there is a row of zeros."""
+    every = outcomes.sparkSession.createDataFrame([("passed",), ("failed",), ("skipped",)], "outcome string")
+    n = outcomes.groupBy("outcome").agg(F.count("*").alias("checks"), F.sum("n_issues").alias("n_issues"))
+    return every.join(n, "outcome", "left").fillna(0)
+
+
 def _pattern(glob: Column) -> Column:
     """Regular expression of a shell pattern with ``*`` and ``?``, for the whole lower-case id."""
     quoted = F.regexp_replace(F.lower(glob), r"([.+^${}()|\[\]\\])", r"\\$1")

@@ -176,12 +176,23 @@ def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{root}/{n}") for n in known if exists(spark, f"{root}/{n}")}
 
 
+def read_coverage(spark: SparkSession, root: str) -> tuple[DataFrame | None, DataFrame | None]:
+    """Written coverage and the counts of left-out rows, where they are there."""
+    if not exists(spark, f"{root}/coverage"):
+        return None, None
+    coverage = spark.read.option("header", True).schema("source_table string, code_system string, outcome string, rows long, rows_pct double, codes long, codes_pct double").csv(f"{root}/coverage")
+    parts = [spark.read.parquet(f"{root}/excluded/{n}").select(F.lit(n).alias("source_table"), "exclusion_reason") for n in RECORDS if exists(spark, f"{root}/excluded/{n}")]
+    return coverage, quality.excluded_counts(reduce(DataFrame.unionByName, parts)) if parts else None
+
+
 def validate(spark: SparkSession, root: str) -> DataFrame:
-    """Issues of the tables that convert() wrote; none means that all checks passed."""
-    tables = read_tables(spark, root)
-    coverage = excluded = None
-    if exists(spark, f"{root}/coverage"):
-        coverage = spark.read.option("header", True).schema("source_table string, code_system string, outcome string, rows long, rows_pct double, codes long, codes_pct double").csv(f"{root}/coverage")
-        parts = [spark.read.parquet(f"{root}/excluded/{n}").select(F.lit(n).alias("source_table"), "exclusion_reason") for n in RECORDS if exists(spark, f"{root}/excluded/{n}")]
-        excluded = quality.excluded_counts(reduce(DataFrame.unionByName, parts)) if parts else None
-    return quality.validate(tables, coverage, excluded)
+    """Issues of the tables that convert() wrote; none means that all checks passed. Keys are checked file by file."""
+    return quality.validate(read_tables(spark, root), *read_coverage(spark, root), ordered=True)
+
+
+def validation_report(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """``issues`` (see validate()), ``checks`` (each with its outcome, issues and rows) and ``totals`` by outcome."""
+    tables, said = read_tables(spark, root), read_coverage(spark, root)
+    issues = settled(quality.validate(tables, *said, ordered=True))
+    checks = settled(quality.check_outcomes(issues, tables, *said))
+    return {"issues": issues, "checks": checks, "totals": quality.outcome_totals(checks)}

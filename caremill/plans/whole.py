@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caremill import schemas
-from caremill.operators import cleaning, coverage, intervals, keys, quality, uniqueness, vocabulary
+from caremill.operators import cleaning, coverage, entities, intervals, keys, quality, uniqueness, vocabulary
 from caremill.plans.inputs import INPUTS
 from caremill.plans.refresh import refresh_clean
-from caremill.plans.registered import _ALIVE, _BUNDLED, _CONDITION_ERAS, _CUT, _NULLED, _REFERENCED, islands, query
+from caremill.plans.registered import _ALIVE, _BUNDLED, _CONDITION_ERAS, _CUT, _NULLED, _REFERENCED, QUERIES, islands, query
 from caremill.plans.steps import CODED, STEPS, quoted, values
 from caremill.scratch import bucketed, by_one_key, scratch, settled
 from caremill.sources import readers, writers
@@ -254,3 +254,48 @@ def _(spark, conditions):
     faults = quality.check_schema(table, "condition_occurrence", schemas.TARGET["condition_occurrence"], spark).select("error_type", "column")
     filled = table.agg(*(F.count(c).alias(c) for c in table.columns)).unpivot([], table.columns, "column", "filled")
     return faults.join(filled, "column", "left").select("error_type", "column", F.coalesce("filled", F.lit(0)).alias("filled"))
+
+
+# Outcomes of checks
+
+_CHECKED = {"person": QUERIES["person"][1], "death": QUERIES["death"][1], "condition_occurrence": "SELECT * FROM used", "concept": "SELECT * FROM catalog"}
+_USED = ["person_id", "condition_concept_id", "condition_source_concept_id", "condition_status_concept_id"]
+_CATALOG = ["concept_id", "domain_id", "concept_class_id", "standard_concept"]
+
+
+def _issue_counts() -> list[str]:
+    """SELECT of check, table and number of issues for each check of the tables."""
+    out = []
+    for name, sql in _CHECKED.items():
+        schema, main = schemas.TARGET[name], schemas.MAIN_CONCEPT.get(name)
+        names = [f.name for f in schema]
+        has = {"condition_occurrence": _USED, "concept": _CATALOG}.get(name, names)
+        add = lambda check, n, name=name, sql=sql: out.append(f"SELECT '{check}' AS c, '{name}' AS t, {n} AS n FROM ({sql}) AS x")
+        out.append(f"SELECT 'schema', '{name}', {len(set(names) - set(has))}")
+        add("required", " + ".join(f"CAST(count(*) > count({c}) AS INT)" for c in schemas.required(schema) if c in has))
+        if (key := schemas.primary_key(schema)) in has:
+            add("primary_key", f"CAST(count(*) > count(DISTINCT {key}) + CAST(count(*) > count({key}) AS INT) AS INT)")
+        if name not in ("person", "concept"):
+            add("person_refs", f"CAST(count(*) FILTER (person_id IS NULL OR person_id NOT IN (SELECT person_id FROM ({_CHECKED['person']}) AS p)) > 0 AS INT)")
+        if name == "concept":
+            continue
+        columns = [c for c in has if c.endswith("_concept_id")]
+        bad = lambda c, w: f"CAST(count(*) FILTER ({c} <> 0 AND {c} {w}) > 0 AS INT)"
+        add("concepts_exist", " + ".join(bad(c, "NOT IN (SELECT concept_id FROM catalog)") for c in columns))
+        add("standard", " + ".join(bad(c, "IN (SELECT concept_id FROM catalog WHERE standard_concept IS NULL)") for c in columns if not c.endswith("_source_concept_id")))
+        if main:
+            add("event_zero", f"CAST(count(*) FILTER (coalesce({main}, 0) = 0) > 0 AS INT)")
+            add("event_domain", bad(main, f"IN (SELECT concept_id FROM catalog WHERE coalesce(domain_id, '') <> {quoted(quality.SUPPORTED[name])})"))
+    return out
+
+
+_ROWS = " UNION ALL ".join(f"SELECT {quoted(n)} AS t, count(*) AS rows FROM ({sql}) AS x" for n, sql in _CHECKED.items())
+_TABLES = f"SELECT 'tables' AS c, t.n AS t, CASE WHEN t.n IN ({', '.join(map(quoted, _CHECKED))}) THEN 0 ELSE 1 END AS n FROM ({values([(n,) for n in schemas.TARGET], 'n')}) AS t"
+
+
+@query("check_outcomes", f"SELECT c AS \"check\", t AS \"table\", CASE WHEN n > 0 THEN 'failed' ELSE 'passed' END AS outcome, CAST(n AS BIGINT) AS n_issues, rows FROM ({' UNION ALL '.join([_TABLES, *_issue_counts()])}) AS i LEFT JOIN ({_ROWS}) AS r USING (t) UNION ALL SELECT 'coverage', 'coverage', 'skipped', 0, NULL", "patient", "used", "catalog")
+def _(spark, patient, used, catalog):
+    """What became of each check over four tables, one of which lacks columns; coverage isn't there."""
+    tables = {"person": entities.person(patient), "death": entities.death(patient), "condition_occurrence": used, "concept": catalog}
+    tables = {n: settled(t) for n, t in tables.items()}
+    return quality.check_outcomes(settled(quality.validate(tables, ordered=True)), tables)

@@ -78,3 +78,14 @@ def test_value_overrides_and_report(spark, out):
     report = caremill.coverage_report(spark, f"{root}/sources", f"{root}/vocabulary")
     assert {(r.source_table, r.rows, r.rows_std) for r in report["totals"].collect()} == {("diagnosis", 6, 4), ("medication_ingredient", 2, 2), ("lab_result", 2, 2)}
     assert all(df.columns and df.count() >= 0 for df in report.values())
+
+
+def test_report_tells_checks_that_ran_clean_from_those_that_never_ran(spark, out):
+    report = caremill.validation_report(spark, out)
+    checks = {(r.check, r.table): r for r in report["checks"].collect()}
+    assert {r.table for r in checks.values() if r.check == "tables"} == set(schemas.TARGET) and not any(r.outcome == "skipped" for r in checks.values())
+    failed = {(r.check, r.table) for r in report["issues"].collect()}
+    assert failed == {k for k, r in checks.items() if r.outcome == "failed"} and all(r.n_issues > 0 for r in checks.values() if r.outcome == "failed")
+    assert checks["primary_key", "condition_occurrence"].outcome == "passed" and checks["primary_key", "condition_occurrence"].rows == 2
+    totals = {r.outcome: r.checks for r in report["totals"].collect()}
+    assert set(totals) == {"passed", "failed", "skipped"} and totals["skipped"] == 0 and sum(totals.values()) == len(checks)

@@ -270,3 +270,20 @@ def test_digests(spark):
     moved = refresh.digests({"t": df.filter("p = 1").select("p", F.col("y").alias("x"), F.lit("a").alias("y"))}, ["p"]).first()
     assert (moved.n, moved.a, moved.b) != got[1]
     assert {r.p: (r.n, r.a, r.b) for r in refresh.digests({"t": df.select("y", "p", "x").repartition(3)}, ["p"]).collect()} == got
+
+
+def test_outcomes_of_checks_without_their_tables(spark):
+    death = spark.createDataFrame([(1, None), (1, 5), (None, 5)], "person_id long, cause_concept_id long")
+    issues = quality.validate({"death": death}, ordered=True)
+    got = {(r.check, r.table): (r.outcome, r.n_issues, r.rows) for r in quality.check_outcomes(issues, {"death": death}).collect()}
+    assert got["primary_key", "death"] == ("failed", 1, 3) and got["required", "death"] == ("failed", 1, 3)
+    assert {k for k, v in got.items() if v[0] == "skipped"} == {("person_refs", "death"), ("concepts_exist", "death"), ("standard", "death"), ("coverage", "coverage")}
+    assert got["tables", "death"] == ("passed", 0, 3) and got["tables", "person"] == ("failed", 1, None) and ("single_row", "cdm_source") not in got
+
+
+def test_keys_in_order_give_the_same_issues(spark):
+    rows = [(i // 2, None if i % 7 == 0 else i % 5) for i in range(60)]
+    death = spark.createDataFrame(rows, "person_id long, cause_concept_id long").repartition(4)
+    person = spark.createDataFrame([(i,) for i in range(28)], "person_id long")
+    plain, ordered = (sorted(map(str, quality.validate({"death": death, "person": person}, ordered=o).collect())) for o in (False, True))
+    assert plain == ordered and any("DUPLICATE_PRIMARY_KEY" in r for r in plain)
