@@ -3,18 +3,18 @@
 A notice with at most k edits is cut into k + 1 seeds; an occurrence with at most k edits holds at least one seed
 unchanged (pigeonhole). Seeds are found exactly, the text around each is verified with the bounded-error
 matching of the regex library, and the match's place and edits are kept. Edits must leave the words that tell one
-license from another recognisable: numbers stand as they are, and a telling word has one edit at most and is no other word.
+license from another recognisable: numbers stand as they are, and a telling word has one edit at most, a short one a slip of
+the finger, and is no other telling word. Notices are passages of license texts, and names in every form that
+named_notices() makes.
 
 Scale: one pass over the documents, no shuffle; the notices are a fixed, small table.
 """
 
 from __future__ import annotations
 
-import re
-from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import accumulate
 
+import ahocorasick
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -33,11 +33,44 @@ NOTICES = [
     ("permission is hereby granted free of charge to any person obtaining a copy", "mit", 6), ("released into the public domain", "public-domain", 3),
     (" under the mit license ", "mit", 2), (" apache license version 2 ", "apache-2", 2), (" cc by nc ", "cc-by-nc", 1),
 ]
-#: Words of notices that tell licenses apart, and words that are no misspelling of one: other licenses, plain words.
-TELLING = frozenset("mit apache cc by nc gnu general lesser affero mozilla commons attribution noncommercial sharealike noderivatives redistribution granted public domain font".split())
-OTHERS = frozenset("sa nd no x11 bsd isc mpl gpl lgpl agpl epl eupl ncsa nist zlib psf wtfpl artistic boost eclipse microsoft academic open new same above old it is in my me we he be bit fit hit kit lit pit sit wit met mat mid mix mint emit unit limit".split())
-#: Letters of a telling word up to which an edit must keep its length.
-SHORT = 3
+#: Licenses that go by a name: label, full names, short names, the version that the label means (None: any).
+#: A short name that is also another thing's (an institute, a server) needs "license" near it.
+NAMES = [
+    ("mit", ["mit license"], [], ["mit"], None),
+    ("apache-2", ["apache license", "apache software license"], [], ["apache"], "2"),
+    ("gpl", ["gnu general public license", "gnu gpl"], ["gpl"], [], None),
+    ("lgpl", ["gnu lesser general public license", "gnu lgpl"], ["lgpl"], [], None),
+    ("agpl", ["gnu affero general public license", "gnu agpl"], ["agpl"], [], None),
+    ("mpl-2", ["mozilla public license"], ["mpl"], [], "2"),
+]
+#: Rows of keys; a slip of the finger in a short word is one to the next key of its row.
+KEYS = ("qwertyuiop", "asdfghjkl", "zxcvbnm")
+#: Letters of a telling word up to which an edit must keep its length and be a slip.
+SHORT = 4
+#: Letters of a seed of a notice that is made from a name, at least; edits are allowed as far as seeds are that long, one in ten letters.
+SEED = 6
+
+
+def named_notices(names: list[tuple] = NAMES) -> list[tuple[str, str, int]]:
+    """(phrase, label, edits) of each way to write a license's name: any verb may lead in, so none is part of a phrase.
+
+    A full name stands by itself; a short one after "under", "under the" or "license identifier", or before "license"; one
+    that is also another thing's after "licensed under" in place of "under". The version, where the label means one, follows
+    the name as "version 2", "v2" or "2", each also with " 0".
+    """
+    out = []
+    for label, full, short, shared, version in names:
+        versions = [""] if version is None else [f"{form}{version}{zero}" for form in (" version ", " v", " ") for zero in ("", " 0")]
+        forms = [f"{n}{v}" for n in full for v in versions]
+        for some, leads in ((short, ("under", "under the")), (shared, ("licensed under", "licensed under the"))):
+            forms += [form for n in some for v in versions for form in (*(f"{lead} {n}{v}" for lead in (*leads, "license identifier")), f"{n}{v} license")]
+        out += [(f" {f} ", label, min((len(f) + 2) // 10, (len(f) + 2) // SEED - 1)) for f in forms]
+    return sorted(out, key=lambda x: -len(x[0]))
+
+
+#: Words of notices that tell licenses apart, with those of the names.
+TELLING = frozenset("cc by nc sa nd commons attribution noncommercial sharealike noderivatives redistribution granted domain font bsd isc".split()) | {w for _, *names, _ in NAMES for some in names for n in some for w in n.split()} - {"license", "software"}
+ALL_NOTICES = NOTICES + [n for n in named_notices() if n[0] not in {p for p, _, _ in NOTICES}]
 
 SCAN = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, notices array<struct<label:string,first_word:int,end_word:int,edits:int>>"
 
@@ -69,19 +102,43 @@ def one_edit(a: str, b: str) -> bool:
     return a[i:] == b[i + 1 :] or a[i + 1 :] == b[i:] or a[i + 1 :] == b[i + 1 :] or (a[i : i + 2] == b[i : i + 2][::-1] and a[i + 2 :] == b[i + 2 :])
 
 
+def slip(a: str, b: str) -> bool:
+    """Equal, or two neighbours swapped, or one letter typed on the next key of its row."""
+    if len(a) != len(b):
+        return False
+    off = [i for i, (x, y) in enumerate(zip(a, b, strict=True)) if x != y]
+    if len(off) == 2 and off[1] == off[0] + 1:
+        return a[off[0]] == b[off[1]] and a[off[1]] == b[off[0]]
+    return not off or len(off) == 1 and any(a[off[0]] + b[off[0]] in row or b[off[0]] + a[off[0]] in row for row in KEYS)
+
+
+def misspelt(word: str, found: str) -> bool:
+    """Whether a word that was found may be a telling word: the same, or one edit from it and no other telling word."""
+    return word == found or found not in TELLING and (slip if len(word) <= SHORT else one_edit)(word, found)
+
+
+def digits(text: str) -> str:
+    return "".join(c for c in text if c.isdigit())
+
+
 def recognisable(phrase: str, text: str, a: int, b: int) -> bool:
-    """Whether the numbers and telling words of the phrase stand in its match text[a:b], taken to whole words."""
+    """Whether the numbers and telling words of the phrase stand in its match text[a:b], taken to whole words.
+
+    Where a space was edited, a telling word may have grown together with its neighbours: it begins a found word, or ends one
+    that is the word before it and itself. The digits are those of the phrase, in order.
+    """
     a = text.rfind(" ", 0, a + 1) if text[a] != " " else a
     end = text.find(" ", b - 1)
     found, wanted = text[max(a, 0) : end if end >= 0 else len(text)].split(), phrase.split()
-    if len(found) != len(wanted):  # a space was edited
-        return all(w in found for w in wanted if w.isdigit() or w in TELLING)
-    for w, x in zip(wanted, found, strict=True):
-        if w.isdigit() or x.isdigit():
-            if w != x:
+    if len(found) == len(wanted):
+        return all(digits(w) == digits(x) and (w not in TELLING or misspelt(w, x)) for w, x in zip(wanted, found, strict=True))
+    if digits("".join(found)) != digits(phrase):
+        return False
+    for before, w in zip(["", *wanted], wanted, strict=False):
+        if w in TELLING:
+            lengths = (len(w),) if len(w) <= SHORT else range(len(w) - 1, len(w) + 2)
+            if not any(x == before + w or any(x[:n] == w or len(w) > SHORT and misspelt(w, x[:n]) for n in lengths) for x in found):
                 return False
-        elif w in TELLING and x != w and (x in OTHERS or x in TELLING or len(w) <= SHORT and len(x) != len(w) or not one_edit(w, x)):
-            return False
     return True
 
 
@@ -97,10 +154,17 @@ def outermost(found: list[tuple]) -> list[tuple]:
 
 
 class Scanner:
-    def __init__(self, base: dict[str, str] = BASE_PHRASES, notices: list[tuple[str, str, int]] = NOTICES):
+    def __init__(self, base: dict[str, str] = BASE_PHRASES, notices: list[tuple[str, str, int]] = ALL_NOTICES):
         self.base = [(f" {p} ", label) for p, label in base.items()]
-        self.notices = [(p, label, k, seeds_of(p, k), *(regex.compile(f"{flag}(?:{regex.escape(p)}){{e<={k}}}") for flag in ("", "(?b)"))) for p, label, k in notices]
-        self.any_seed = re.compile("|".join(sorted({re.escape(s) for n in self.notices for _, s in n[3]}, key=len, reverse=True)))
+        self.notices = [(p, label, k, *(regex.compile(f"{flag}(?:{regex.escape(p)}){{e<={k}}}") for flag in ("", "(?b)"))) for p, label, k in notices]
+        uses: dict[str, list[tuple[int, int]]] = {}
+        for i, (p, _, k) in enumerate(notices):
+            for offset, seed in seeds_of(p, k):
+                uses.setdefault(seed, []).append((i, offset))
+        self.seeds = ahocorasick.Automaton()
+        for seed, places in uses.items():
+            self.seeds.add_word(seed, (len(seed), places))
+        self.seeds.make_automaton()
 
     def exact(self, text: str) -> list[tuple[int, str]]:
         """(first word, label) of each place of a base phrase. ``text``: words with one space on each side."""
@@ -114,33 +178,40 @@ class Scanner:
 
     def fuzzy(self, text: str) -> list[tuple[int, int, str, int, int]]:
         """(start, end, label, edits, letters of the notice) of the verified occurrences of each notice, without overlaps of one notice."""
-        found = []
-        for phrase, label, k, seeds, first, best in self.notices:
-            windows: list[list[int]] = []
-            for offset, seed in seeds:
-                at = text.find(seed)
-                while at >= 0:
-                    windows.append([max(0, at - offset - k), min(len(text), at - offset + len(phrase) + k)])
-                    at = text.find(seed, at + 1)
+        windows: dict[int, list[list[int]]] = {}
+        for last, (n, uses) in self.seeds.iter(text):
+            for i, offset in uses:
+                phrase, _, k, *_ = self.notices[i]
+                at = last + 1 - n - offset
+                windows.setdefault(i, []).append([max(0, at - k), min(len(text), at + len(phrase) + k)])
+        found, named = [], []
+        for i in sorted(windows):
+            phrase, label, k, first, best = self.notices[i]
             joined: list[list[int]] = []
-            for a, b in sorted(windows):
+            for a, b in sorted(windows[i]):
                 if joined and a <= joined[-1][1]:
                     joined[-1][1] = max(b, joined[-1][1])
                 else:
                     joined.append([a, b])
             places = [(m.start(), m.end(), label, sum(m.fuzzy_counts), len(phrase.strip())) for a, b in joined for m in occurrences(phrase, k, first, best, text, a, b) if recognisable(phrase, text, m.start(), m.end())]
-            if phrase[0] == " " and places:  # a base phrase in a longer notice of its label is that notice
-                longer = sorted((a, b) for a, b, other, *_ in found if other == label)
-                ends = [0, *accumulate((b for _, b in longer), max)]
-                places = [x for x in places if ends[bisect_left(longer, (x[1] - 1,))] <= x[0] + 1]
-            found += places
+            (named if phrase[0] == " " else found).extend(places)
+        # of names of one label that share a place, the one with the fewest edits stays, then the longest; a notice goes first
+        taken: dict[str, bytearray] = {}
+        for a, b, label, *_ in found:
+            taken.setdefault(label, bytearray(len(text)))[a:b] = b"\1" * (b - a)
+        for x in sorted(named, key=lambda x: (x[3], x[0] - x[1], x)):
+            a, b, label, *_ = x
+            inner = taken.setdefault(label, bytearray(len(text)))
+            if inner.find(1, a + 1, b - 1) < 0:
+                inner[a + 1 : b - 1] = b"\1" * (b - a - 2)
+                found.append(x)
         return outermost(found)
 
     def scan(self, raw: bytes) -> dict:
         words = words_of(raw)
         text = b" ".join([b"", *words, b""]).decode("utf-8", "surrogateescape") if words else ""
         places = self.exact(text)
-        found = self.fuzzy(text) if text and self.any_seed.search(text) else []
+        found = self.fuzzy(text) if text else []
         starts = [p for p, _ in places]
         base = {label for _, label in places}
         score = max([1.0] * bool(places) + [1 - edits / letters for *_, edits, letters in found], default=0.0)
@@ -154,7 +225,7 @@ class Scanner:
 KINDS = {"n_words": pa.int64(), "n_base": pa.int64(), "first_word": pa.int64(), "last_word": pa.int64(), "base_labels": pa.string(), "labels": pa.string(), "score": pa.float64(), "notices": pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int32()), ("end_word", pa.int32()), ("edits", pa.int32())]))}
 
 
-def scan_licenses(docs: DataFrame, base: dict[str, str] = BASE_PHRASES, notices: list[tuple[str, str, int]] = NOTICES) -> DataFrame:
+def scan_licenses(docs: DataFrame, base: dict[str, str] = BASE_PHRASES, notices: list[tuple[str, str, int]] = ALL_NOTICES) -> DataFrame:
     """One row per document: counts, word places and labels, and the fuzzy notices with their word spans and edits.
 
     Null and empty texts have no words, no places, empty labels and score 0. Score: 1 for a base phrase, else the

@@ -179,6 +179,27 @@ def test_license_scan_leaves_other_licenses():
     assert scan(b"it is cc by mc here")["score"] == 1 - 1 / 8 and scan(b"gnu lesser generl public licence")["score"] == 1 - 2 / 33
 
 
+def test_license_scan_finds_names_in_every_form():
+    scan = license_scan.Scanner().scan
+    for text, label, edits in (("Distributed under the GNU General Public License v3", "gpl", 0), ("Licensed under GPL-3.0", "gpl", 0), ("Apache License 2.0", "apache-2", 0), ("Licensed under the Apache-2.0 license", "apache-2", 0),
+                               ("SPDX-License-Identifier: MIT", "mit", 0), ("under the Mozilla Public Licence, v2", "mpl-2", 1), ("Licensed undr the Apach Licens Version2.0", "apache-2", 4), ("relased under the mitlicense", "mit", 2),
+                               ("The MIT Licence", "mit", 1), ("under the LGPL v2.1", "lgpl", 0), ("SPDX-License-Identifier: AGPL-3.0-or-later", "agpl", 0)):
+        got = scan(text.encode())
+        assert (got["labels"], [x["edits"] for x in got["notices"]]) == (label, [edits]), text
+    for text in ("studied under the MIT professor", "released under the emitlicense", "under the kit license", "apache 1.1 license", "apache license v1", "mpl 1.1 license", "under the bgp", "apache licens version1 0",
+                 "under the apache server", "under the ggpl", "the unit license"):
+        assert scan(text.encode())["labels"] == "", text
+    rng = random.Random(4)
+    for phrase, label, edits in rng.sample(license_scan.named_notices(), 30):  # every form is found among other words, at its place
+        got = scan(f"some words {phrase.strip()} and more".encode())
+        assert got["labels"] == label and got["score"] == 1 and min(x["first_word"] for x in got["notices"]) >= 2, phrase
+
+
+def test_slip():
+    for a, b, same in (("mit", "mti", True), ("mit", "mot", True), ("mit", "mit", True), ("nc", "mc", True), ("mit", "kit", False), ("mit", "it", False), ("mit", "mni", False), ("nc", "nd", False)):
+        assert license_scan.slip(a, b) == same, (a, b)
+
+
 def test_one_edit():
     rng = random.Random(9)
     for _ in range(300):
