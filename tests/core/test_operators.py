@@ -121,7 +121,7 @@ def test_primary_key_counts_null_as_a_key(spark):
 
 SAMPLE = """read_source apply_types dictionary_diff load_terminology export_vocabulary medication_events lab_events build_drug person visit cdm_source clean_tables person_index
 record_ids order_table resolve_codes resolve_units apply_lookup route_by_domain concept_table drug_eras build_eras observation_period coverage coverage_by_row top_unmapped unit_summary check_person_refs
-check_concepts_exist check_coverage validate triage_results""".split()
+check_concepts_exist check_coverage check_outcomes validate triage_results""".split()
 
 
 @pytest.mark.skipif(not Path(SF).exists(), reason="needs the driver's tables")
