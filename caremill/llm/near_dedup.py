@@ -12,7 +12,9 @@ copies costs one comparison for each member.
 
 A family of texts that are only half alike shares buckets without being one class. What a text has alone among
 all that are still to be compared bounds its similarity to any of them, so most such pairs are settled without
-being made: a pair is made, once, in the first bucket it shares, if the bound leaves it a chance.
+being made. The rest of its shingles are dealt to PARTS parts by their hash: two texts have no more in common than the
+sum of the lesser weights of each part. A pair is made, once, in the first bucket it shares, if both bounds leave it a
+chance. Links found are followed from the classes of their ends, each once: those of earlier rounds aren't read again.
 """
 
 from __future__ import annotations
@@ -44,6 +46,8 @@ GROWTH = 4
 BUCKET_ROWS = 1000
 #: Slack of bounds on similarity, for rounding.
 SLACK = 1e-6
+#: Parts that shingles are dealt to by their hash; two texts have no more in common than the lesser weight of each part.
+PARTS = 32
 
 
 class Shingles:
@@ -214,39 +218,85 @@ def _verified(texts: DataFrame, pairs: DataFrame, idf, similarity: float) -> Dat
     return settled(map_arrow(both, run, "a long, b long"))
 
 
-def _own_weight(texts: DataFrame, idf) -> DataFrame:
-    """rep, own: the weight of the shingles that no other of these texts has, where there are any. ``texts``: _row, packed."""
+def part_weights(shingles: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Weight of the shingles of each part."""
+    return np.bincount((shingles & np.uint64(PARTS - 1)).astype(np.int64), weights=weights, minlength=PARTS)
+
+
+def _weights(texts: DataFrame, idf, schema: str, columns) -> DataFrame:
+    """Rows of ``schema`` made by ``columns`` of each text's _row, shingles and weights. ``texts``: _row, packed."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
         for batch in parts:
             for row, text in zip(batch.column("_row").to_pylist(), unpacked(batch), strict=True):
                 s, n = shingles.of(text)
-                columns = np.full(len(s), row, np.int64), s.view(np.int64), (n * idf.value[feature(s)]).astype(np.float64)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["rep", "shingle", "weight"])
+                made = columns(row, s, (n * idf.value[feature(s)]).astype(np.float64))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in made.values()], list(made))
+
+    return map_arrow(texts, run, schema)
+
+
+def _own_weight(texts: DataFrame, idf) -> DataFrame:
+    """rep, own, own_parts: the weight of the shingles that no other of these texts has, where there are any, and the same by part."""
+    every = _weights(texts, idf, "rep long, shingle long, weight double", lambda row, s, w: {"rep": np.full(len(s), row, np.int64), "shingle": s.view(np.int64), "weight": w})
+    once = every.groupBy("shingle").agg(F.count("*").alias("n"), F.min("rep").alias("rep"), F.min("weight").alias("weight")).filter("n = 1")
+    part = F.pmod("shingle", F.lit(PARTS))
+    return once.groupBy("rep").agg(F.sum("weight").alias("own"), F.array(*[F.sum(F.when(part == i, F.col("weight")).otherwise(0.0)) for i in range(PARTS)]).alias("own_parts"))
+
 
-    once = map_arrow(texts, run, "rep long, shingle long, weight double").groupBy("shingle").agg(F.count("*").alias("n"), F.min("rep").alias("rep"), F.min("weight").alias("weight")).filter("n = 1")
-    return once.groupBy("rep").agg(F.sum("weight").alias("own"))
+def _part_weights(texts: DataFrame, idf) -> DataFrame:
+    """rep, parts: the weight of each part of a text's shingles."""
+    return _weights(texts, idf, "rep long, parts array<double>", lambda row, s, w: {"rep": [row], "parts": [part_weights(s, w)]})
+
+
+def _renamed(rows: DataFrame, column: str, names: DataFrame) -> DataFrame:
+    """The settled rows with the name c of each value v of a column in its place; settled. Every value has a name. Values that
+    very many rows have meet them by a bounded broadcast: see looked_up()."""
+    counts = rows.groupBy(column).agg(F.count("*").alias("_n"))
+    table = settled(names.select(F.col("v").alias(column), F.col("c").alias("_name")).join(counts, column))
+    return settled(looked_up(rows, table, [column], "_n").drop(column, "_n").withColumnRenamed("_name", column))
 
 
 def components(links: DataFrame) -> DataFrame:
-    """Settled (v, c): the smallest node of each linked node's component. Labels spread and jump until none changes."""
-    both = settled(links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v"))).distinct())
-    labels = settled(both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("c")))
-    degrees = settled(both.groupBy("u").agg(F.count("*").alias("n")))
+    """Settled (v, c): the smallest node of each linked node's component.
+
+    Every node hangs on its smallest neighbour, if that is smaller, and ways up are halved until each ends at a root. Links are
+    then between roots; those inside a tree are done with, the others start anew.
+    """
+    edges = settled(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    labels = None
     while True:
-        # nodes with very many links, and labels of very large classes, meet their rows by a bounded broadcast: see looked_up()
-        said = settled(labels.withColumnRenamed("v", "u").join(degrees, "u"))
-        heard = looked_up(both, said, ["u"]).groupBy("v").agg(F.min("c").alias("m"))
-        spread = settled(labels.join(heard, "v").select("v", F.col("c").alias("old"), F.least("c", "m").alias("c")))
-        parents = spread.select(F.col("v").alias("c"), F.col("c").alias("top"))
-        tops = settled(parents.join(spread.groupBy("c").agg(F.count("*").alias("n")), "c"))
-        jumped = settled(looked_up(spread, tops, ["c"]).select("v", F.col("top").alias("c"), (F.col("top") != F.col("old")).alias("moved")))
-        labels = jumped.select("v", "c")
-        if jumped.filter("moved").isEmpty():
+        up = edges.select(F.col("b").alias("v"), F.col("a").alias("c")).unionByName(edges.select(F.col("a").alias("v"), F.col("a").alias("c")))
+        roots = settled(up.groupBy("v").agg(F.min("c").alias("c")))
+        while True:
+            higher = _renamed(roots.withColumn("old", F.col("c")), "c", roots)
+            roots = higher.select("v", "c")
+            if higher.filter("c <> old").isEmpty():
+                break
+        labels = roots if labels is None else _relabelled(labels, roots)
+        edges = _renamed(_renamed(edges, "a", roots), "b", roots).filter("a <> b")
+        edges = settled(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        if edges.isEmpty():
             return labels
 
 
+def _relabelled(labels: DataFrame, tops: DataFrame) -> DataFrame:
+    """Settled labels (v, c) whose classes have the names that tops gives to some of them; the others keep theirs."""
+    classes = labels.select(F.col("c").alias("v")).distinct()
+    others = classes.join(tops, "v", "left_anti").select("v", F.col("v").alias("c"))
+    return _renamed(labels, "c", settled(tops.select("v", "c").unionByName(others)))
+
+
+def linked(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Settled (v, c) of the links that gave the settled labels and of more settled ones, which alone are followed here."""
+    ends = links.select(F.col("a").alias("v")).unionByName(links.select(F.col("b").alias("v"))).distinct()
+    new = ends.join(labels, "v", "left_anti").select("v", F.col("v").alias("c"))
+    labels = settled(labels.unionByName(new))
+    between = _renamed(_renamed(links, "a", labels), "b", labels)
+    return _relabelled(labels, components(between))
+
+
 def _contested(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Settled members of the buckets that hold more than one class, with their class c."""
     named = settled(members.join(labels.withColumnsRenamed({"v": "rep", "c": "_c"}), "rep", "left").select(*members.columns, F.coalesce("_c", "rep").alias("c")))
@@ -257,12 +307,15 @@ def _contested(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _facts(members: DataFrame, same: DataFrame, texts: DataFrame, idf, least: float) -> DataFrame:
-    """Settled rep, own, shared (weight of the shingles that no other, or another, of the members has too), bands. A member
-    with so much of its own that no other can be similar is left out."""
+    """Settled rep, own, shared (weight of the shingles that no other, or another, of the members has too), parts (shared, by
+    part), bands. A member with so much of its own that no other can be similar is left out."""
     reps = settled(members.select("rep").distinct())
-    own = _own_weight(texts.join(reps.withColumnRenamed("rep", "_row"), "_row", "left_semi"), idf)
-    found = same.join(reps, "rep", "left_semi").join(own, "rep", "left").withColumn("own", F.coalesce("own", F.lit(0.0)))
-    return settled(found.withColumn("shared", F.col("weight") - F.col("own")).filter(F.col("shared") >= least * F.col("weight")).select("rep", "own", "shared", "bands"))
+    texts = texts.join(reps.withColumnRenamed("rep", "_row"), "_row", "left_semi")
+    found = same.join(reps, "rep", "left_semi").join(_own_weight(texts, idf), "rep", "left").withColumn("own", F.coalesce("own", F.lit(0.0)))
+    found = settled(found.withColumn("shared", F.col("weight") - F.col("own")).filter(F.col("shared") >= least * F.col("weight")).select("rep", "own", "own_parts", "shared", "bands"))
+    parts = _part_weights(texts.join(found.select(F.col("rep").alias("_row")), "_row", "left_semi"), idf)
+    shared = F.when(F.col("own_parts").isNull(), F.col("parts")).otherwise(F.zip_with("parts", "own_parts", lambda x, y: x - y))
+    return settled(found.join(parts, "rep").select("rep", "own", "shared", shared.alias("parts"), "bands"))
 
 
 def near_classes(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -278,8 +331,7 @@ def near_classes(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     release(rows.sparkSession)
     least = similarity * (1 - SLACK)
     chance = F.least("weight", "lead_weight") >= least * F.greatest("weight", "lead_weight")
-    links = _verified(texts, members.filter("rep <> lead").filter(chance).select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), idf, similarity)
-    labels = components(links)
+    labels = components(_verified(texts, members.filter("rep <> lead").filter(chance).select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), idf, similarity))
     members = _contested(members.filter("size > 2").select("key", "rep", "size", "lead"), labels).drop("c")
     if not members.isEmpty():
         members = settled(members.join(_facts(members, same, texts, idf, least), "rep"))
@@ -287,17 +339,18 @@ def near_classes(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     while not (members := _contested(members, labels)).isEmpty():
         after = max(1, reach) * GROWTH
         members = members.withColumn("place", F.pmod(F.xxhash64(F.lit(7), "rep"), F.lit(1 << 30)) / F.lit(float(1 << 30)) * F.col("size")).filter(F.col("place") >= reach)
-        leaders = members.filter((F.col("place") < after) & (F.col("rep") != F.col("lead"))).select("key", "size", F.col("rep").alias("x"), F.col("c").alias("cx"), F.col("own").alias("own_x"), F.col("shared").alias("shared_x"), F.col("bands").alias("bands_x"))
+        leaders = members.filter((F.col("place") < after) & (F.col("rep") != F.col("lead"))).select("key", "size", F.col("rep").alias("x"), F.col("c").alias("cx"), F.col("own").alias("own_x"), F.col("shared").alias("shared_x"), F.col("parts").alias("parts_x"), F.col("bands").alias("bands_x"))
         other = (F.col("c") != F.col("cx")) & (F.col("rep") != F.col("lead")) & ((F.col("x") < F.col("rep")) | (F.col("place") >= after))
         chance = F.least("shared", "shared_x") >= least * (F.col("own") + F.col("own_x") + F.greatest("shared", "shared_x"))
         first = F.array_intersect("bands_x", "bands")[0] == F.col("key")
+        common = F.aggregate(F.zip_with("parts_x", "parts", lambda x, y: F.least(x, y)), F.lit(0.0), lambda x, y: x + y)  # at most
+        closer = common * (1 + least) >= least * (F.col("own") + F.col("own_x") + F.col("shared") + F.col("shared_x"))
         parts = F.ceil(F.col("size") / BUCKET_ROWS).cast("int")  # a large bucket's members meet its leaders in several tasks
         salted = members.withColumn("part", F.pmod(F.xxhash64(F.lit(5), "rep"), parts).cast("int"))
-        more = leaders.select("*", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part")).drop("size").join(salted, ["key", "part"]).filter(other & chance & first)
+        more = leaders.select("*", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part")).drop("size").join(salted, ["key", "part"]).filter(other & chance & first & closer)
         found = _verified(texts, more.select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")), idf, similarity)
         if not found.isEmpty():
-            links = settled(links.unionByName(found))
-            labels = components(links)
+            labels = linked(labels, found)
         reach = after
         members = members.filter((F.col("size") > reach) & (F.col("place") >= reach)).drop("c", "place")
     to_class = settled(same.select("g1", "g2", "rep", "copies").join(labels.withColumnsRenamed({"v": "rep", "c": "_c"}), "rep", "left").select("g1", "g2", "copies", F.coalesce("_c", "rep").alias("_class")))
