@@ -17,6 +17,8 @@ import json
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,7 @@ WORDS, BARS = 250_000, 16
 #: Longest word, in bytes, that the lexicon takes.
 WORD_BYTES = 64
 #: Stretches without white space that a worker remembers between batches.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 #: Characters of text whose words are looked up together.
 CHUNK_CHARS = 4 << 20
 #: Distinct stretches that are counted together before their words are handed on.
@@ -136,6 +138,10 @@ class Words:
             return [x for x in self.space.split(text) if x]
         return text.split()
 
+    def words(self, stretch: str) -> list[str]:
+        """Words of a stretch; one of ASCII letters is a word."""
+        return [stretch] if stretch.isascii() and stretch.isalpha() else self.find(stretch)
+
     def parts(self, text: str) -> Iterator[tuple[int | None, list[str]]]:
         """(special id, no stretches) or (None, stretches), in order."""
         if self.cut and any(s in text for s in self.special):
@@ -233,45 +239,60 @@ class Lexicon:
 
 
 class Codec:
-    """Encodes and decodes texts in a worker."""
+    """Encodes and decodes texts in a worker.
+
+    What it remembers of a stretch is made once for each distinct one: its ids, or with ``digests`` their number, the ids in
+    decimal and their decoding, which joined by spaces are those of a text.
+    """
 
-    def __init__(self, path: str, folder: str):
+    def __init__(self, path: str, folder: str, digests: bool = False):
         self.merges, self.lexicon = Merges(path), Lexicon.mapped(folder)
         self.words = Words(self.merges.special)
-        self.seen: dict[str, list[int]] = {}
+        self.seen: dict[str, list[int] | tuple[int, bytes, bytes]] = {}
+        self.kept, self.joined = (self.written, joined) if digests else (list, lambda parts: list(chain.from_iterable(parts)))
+        self.digits = {i: b"%d" % i for i in self.merges.tokens}
+        self.bytes = {i: t.encode() for i, t in self.merges.tokens.items()}
+
+    def written(self, ids: list[int]) -> tuple[int, bytes, bytes]:
+        return len(ids), b" ".join([self.digits[i] for i in ids]), b" ".join([self.bytes[i] for i in ids])
 
     def learn(self, stretches: set[str]) -> None:
         """Ids of stretches: of their words from the transducer, else by merging."""
         if len(self.seen) > REMEMBERED:
             self.seen.clear()
-        new = [x for x in stretches if x not in self.seen]  # all of them, if it has just been emptied
-        cut = [self.words.find(x) for x in new]
-        words = list({w for one in cut for w in one})
-        if not words:
-            self.seen.update((x, []) for x in new)
-            return
+        new = list(stretches.difference(self.seen))  # all of them, if it has just been emptied
+        cut = list(map(self.words.words, new))
+        words = list(set().union(*cut))
         raw = [w.encode() for w in words]
-        starts, ids, found = self.lexicon.offsets, self.lexicon.ids, {}
-        for word, data, i in zip(words, raw, self.lexicon.places(raw).tolist(), strict=True):
-            found[word] = ids[starts[i] : starts[i + 1]].tolist() if i >= 0 else self.merges.merge(data)
+        places = self.lexicon.places(raw) if words else np.zeros(0, np.int64)
+        first, end = self.lexicon.offsets[places].tolist(), self.lexicon.offsets[places + (places >= 0)].tolist()
+        ids, kept, merge, found = self.lexicon.ids, self.kept, self.merges.merge, {}
+        for word, data, i, a, b in zip(words, raw, places.tolist(), first, end, strict=True):
+            found[word] = kept(ids[a:b].tolist() if i >= 0 else merge(data))
         for x, one in zip(new, cut, strict=True):
-            self.seen[x] = found[one[0]] if len(one) == 1 else [i for w in one for i in found[w]]
+            self.seen[x] = found[one[0]] if len(one) == 1 else self.joined([found[w] for w in one])
 
-    def encode_all(self, texts: list[str | None]) -> Iterator[list[int]]:
-        """Ids of each text; the words of all of them are looked up together."""
+    def pieces(self, texts: list[str | None]) -> Iterator[list]:
+        """What is kept of the special tokens and stretches of each text that have ids, in order; the words of all texts are looked
+        up together."""
+        special = {i: self.kept([i]) for i in self.words.special.values()}
         for a, b in groups_of([len(t or "") for t in texts], CHUNK_CHARS):
             cut = [list(self.words.parts(t or "")) for t in texts[a:b]]
-            self.learn({x for parts in cut for _, stretches in parts for x in stretches})
-            seen = self.seen
+            self.learn(set().union(*[stretches for parts in cut for _, stretches in parts]))
+            of = self.seen.__getitem__
             for parts in cut:
-                out: list[int] = []
-                for special, stretches in parts:
-                    if special is not None:
-                        out.append(special)
-                    for x in stretches:
-                        out += seen[x]
+                out: list = []
+                for token, stretches in parts:
+                    if token is not None:
+                        out.append(special[token])
+                    out += map(of, stretches)
                 yield out
 
+    def encode_all(self, texts: list[str | None]) -> Iterator[list[int]]:
+        """Ids of each text, by a codec that keeps ids."""
+        for out in self.pieces(texts):
+            yield list(chain.from_iterable(out))
+
     def encode(self, text: str) -> list[int]:
         return next(self.encode_all([text]))
 
@@ -290,7 +311,7 @@ def count_words(docs: DataFrame, special: dict[str, int]) -> DataFrame:
         def pack() -> pa.RecordBatch:
             words: dict[str, int] = {}
             for x, n in held.items():
-                for w in cut.find(x):
+                for w in cut.words(x):
                     words[w] = words.get(w, 0) + n
             return pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.string()), pa.array(words.values(), pa.int64())], ["word", "n"])
 
@@ -367,6 +388,12 @@ def decode(rows: DataFrame, path: str, folder: str) -> DataFrame:
     return map_arrow(rows.select("doc_id", "ids"), run, f"doc_id {id_type(rows)}, text string")
 
 
+def joined(parts: list[tuple[int, bytes, bytes]]) -> tuple[int, bytes, bytes]:
+    """Of stretches or a text: number of ids, ids, decoding. Parts without ids say nothing."""
+    counts, ids, texts = zip(*filter(itemgetter(0), parts), strict=True) if parts else ((), (), ())
+    return sum(counts), b" ".join(ids), b" ".join(texts)
+
+
 def coded(docs: DataFrame, path: str, folder: str) -> DataFrame:
     """doc_id, n_tokens and digests of the ids and of their decoding, made in one pass.
 
@@ -374,14 +401,14 @@ def coded(docs: DataFrame, path: str, folder: str) -> DataFrame:
     """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path, folder)
-        digits = {i: str(i) for i in codec.merges.tokens}
+        codec = Codec(path, folder, digests=True)
         for batch in parts:
             n, of_ids, of_text = [], [], []
-            for ids in codec.encode_all(batch.column("text").to_pylist()):
-                n.append(len(ids))
-                of_ids.append(sha256(" ".join([digits[i] for i in ids]).encode()))
-                of_text.append(sha256(codec.decode(ids).encode()))
+            for pieces in codec.pieces(batch.column("text").to_pylist()):
+                count, ids, decoded = joined(pieces)
+                n.append(count)
+                of_ids.append(sha256(ids))
+                of_text.append(sha256(decoded))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return map_arrow(docs.select("doc_id", "text"), run, f"doc_id {id_type(docs)}, n_tokens long, ids_sha256 string, decoded_sha256 string")
