@@ -52,22 +52,24 @@ def _(spark, lineage):
 
 @query("streamed_eras", _CONDITION_ERAS, "conditions")
 def _(spark, conditions):
-    """Files arrive in the order of their years; the stream is stopped after some of them and goes on from its checkpoint."""
+    """Files arrive in the order of their years; after each year the stream is stopped and then goes on from its checkpoint.
+
+    However many batches the files of a year take, in whatever order, the watermark stays before that year: nothing comes too late.
+    """
     root = scratch(spark)
-    years = settled(conditions).withColumn("_year", F.year("condition_start_date"))
-    first, last = years.agg(F.min("_year"), F.max("_year")).first()
-    arrived, middle = f"{root}/arrived", ((first or 0) + (last or 0)) // 2
+    arrived = f"{root}/arrived"
+    dated = conditions.withColumn("_year", F.coalesce(F.year("condition_start_date"), F.lit(9999)))
+    dated.write.partitionBy("_year").parquet(f"{root}/years")
+    years = spark.read.schema(dated.schema).parquet(f"{root}/years")
 
     def follow() -> None:
         stream = spark.readStream.schema(conditions.schema).option("maxFilesPerTrigger", 64).parquet(arrived)
         eras = streamed_condition_eras(stream, "400 days").writeStream.format("parquet").outputMode("append")
         eras.option("path", f"{root}/eras").option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
 
-    none = years.limit(0).drop("_year")
-    none.write.parquet(arrived)
-    for early in (True, False):
-        part = years.filter((F.col("_year") <= middle) if early else (F.coalesce(F.col("_year"), F.lit(9999)) > middle)).drop("_year")
-        part.write.mode("append").parquet(arrived)
+    conditions.limit(0).write.parquet(arrived)
+    for (year,) in sorted(years.select("_year").distinct().collect()):
+        years.filter(F.col("_year") == year).drop("_year").write.mode("append").parquet(arrived)
         follow()
     mark = spark.range(1).select(*(F.to_date(F.lit(MARK)).alias(f.name) if f.name == "condition_start_date" else F.lit(None).cast(f.dataType).alias(f.name) for f in conditions.schema))
     mark.write.mode("append").parquet(arrived)

@@ -6,7 +6,7 @@ from collections import Counter
 
 import pytest
 from caremill.operators import coverage, intervals, keys, quality, uniqueness, vocabulary
-from caremill.plans import inputs, refresh, whole
+from caremill.plans import inputs, refresh, registered, whole
 from caremill.scratch import bucketed, by_one_key
 from caremill.sources import writers
 from caremill.streaming.arrivals import follow_source
@@ -112,6 +112,26 @@ def test_streamed_intervals_with_late_rows_and_restarts(spark, tmp_path):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.select("k", "start", "n").collect()))
 
 
+def test_streamed_eras_of_many_files(spark, monkeypatch, tmp_path):
+    """What arrives between two stops takes more than two batches, and the watermark leaves nothing of it behind."""
+    start = F.expr("case when id % 97 > 0 then date_add(date'1995-01-01', cast(id * 37 % 1090 as int)) end")
+    rows = spark.range(2800).select((F.col("id") % 20).alias("person_id"), (F.col("id") % 3).alias("condition_concept_id"), start.alias("condition_start_date"))
+    rows = rows.withColumn("condition_end_date", F.expr("case when person_id > 2 then date_add(condition_start_date, cast(person_id as int) - 5) end"))
+    monkeypatch.setattr(registered, "load", lambda spark, path, *names: [rows.repartition(140)])
+    monkeypatch.setattr(whole, "scratch", lambda spark: f"file://{tmp_path}/stream")
+    conf = {"spark.sql.files.openCostInBytes": "64m", "spark.sql.files.maxPartitionBytes": "64m"}  # a task for each file
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        got = registered.QUERIES["streamed_eras"][0](spark, SF).collect()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    want = intervals.condition_eras(rows).collect()
+    assert len(list((tmp_path / "stream/arrived").glob("part-*"))) > 2 * 128
+    assert Counter(map(str, got)) == Counter(map(str, want))
+
+
 def test_heavy_values_are_exact(spark):
     rng = random.Random(3)
     texts = [f"v{min(rng.randint(0, 400), rng.randint(0, 400))}" for _ in range(4000)] + ["", None] * 50
